@@ -5,11 +5,14 @@ boarding passes, brands become aircraft and nations airports. Both derivations r
 the whole tables.
 """
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.functions.values import json_field, stable_id
 from skyledger.schemas import TABLES
+from skyledger.session import scratch_path
 
 
 def _code(column: str, width: int):
@@ -59,7 +62,7 @@ def _bookings(t):
 
 
 def _flights(t):
-    k = json_field(F.col("props"), "k").cast("int")
+    k = F.col("k")
     minutes = lambda n: F.make_dt_interval(mins=n)
     planned = F.date_trunc("second", F.col("ts").cast("timestamp"))
     # A few arrivals keep half a second, so that they find no time of day.
@@ -71,7 +74,7 @@ def _flights(t):
         .when(F.col("event_type") == "error", "Cancelled")
         .otherwise("Scheduled")
     )
-    return t.events.select(
+    return t.events.withColumn("k", json_field(F.col("props"), "k").cast("int")).select(
         F.col("event_id").alias("flight_id"),
         F.concat(F.lit("F"), _code("user_id", 5)).alias("flight_no"),
         planned.alias("scheduled_departure"),
@@ -133,8 +136,21 @@ _BUILDERS = {
 }
 
 
-def staging(t) -> dict[str, DataFrame]:
-    return {name: _finish(name, build(t)) for name, build in _BUILDERS.items()}
+def staging(t, *names: str) -> dict[str, DataFrame]:
+    """The named staging tables, or all of them, as queries."""
+    return {name: _finish(name, _BUILDERS[name](t)) for name in names or _BUILDERS}
+
+
+def stored(t, frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The frames written to the shared folder and read back, as a warehouse has them."""
+    root = scratch_path(t.spark, "derived")
+
+    def write(name: str) -> DataFrame:
+        frames[name].write.parquet(f"{root}/{name}")
+        return t.spark.read.parquet(f"{root}/{name}")
+
+    with ThreadPoolExecutor(max_workers=len(frames)) as pool:
+        return dict(zip(frames, pool.map(write, frames)))
 
 
 def _id(table: str, key: str) -> str:

@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from driver_queries.airline import STAGING_SQL, staging
+from driver_queries.airline import STAGING_SQL, staging, stored
 from driver_queries.registry import query
 from skyledger.operators import calendar
 from skyledger.operators.quality import table_violations
@@ -20,16 +20,21 @@ from skyledger.streaming.landings import stream_daily_landings
 ZONE = "Asia/Jakarta"
 
 
-def _dims(t, stg):
+_PLACES_AND_FLIGHTS = ("aircrafts_data", "airports_data", "flights")
+
+
+def _warehouse(t, *names: str):
+    """Staging tables and the dimensions and calendars over them."""
+    stg = stored(t, staging(t, *names))
     dates = calendar.dim_date_over(stg["flights"], *facts.PLANNED, *facts.FLOWN, zone=ZONE)
-    dates = dates.union(calendar.dim_date_over(stg["bookings"], "book_date", zone=ZONE)).distinct()
-    return {
-        "dim_date": dates,
-        "dim_time": calendar.dim_time(t.spark),
-        "dim_aircrafts": dimensions.dim_aircrafts(stg),
-        "dim_airport": dimensions.dim_airport(stg),
-        "dim_passenger": dimensions.dim_passenger(stg),
-    }
+    if "bookings" in names:
+        dates = dates.union(calendar.dim_date_over(stg["bookings"], "book_date", zone=ZONE)).distinct()
+    dims = stored(t, {"dim_date": dates.coalesce(1), "dim_time": calendar.dim_time(t.spark)})
+    dims["dim_aircrafts"] = dimensions.dim_aircrafts(stg)
+    dims["dim_airport"] = dimensions.dim_airport(stg)
+    if "tickets" in names:
+        dims["dim_passenger"] = dimensions.dim_passenger(stg)
+    return stg, dims
 
 
 def _roles(table: str, *roles: str) -> str:
@@ -63,7 +68,7 @@ _FLOWN = ("f.actual_departure", "f.actual_arrival")
     f"WITH {STAGING_SQL} SELECT id AS aircraft_id, aircraft_code AS aircraft_nk, model, range FROM aircrafts_data",
 )
 def dim_aircrafts(t):
-    return dimensions.dim_aircrafts(staging(t))
+    return dimensions.dim_aircrafts(staging(t, "aircrafts_data"))
 
 
 @query(
@@ -75,7 +80,7 @@ def dim_aircrafts(t):
     """,
 )
 def dim_airport(t):
-    return dimensions.dim_airport(staging(t)).select("*", "coordinates.x", "coordinates.y").drop("coordinates")
+    return dimensions.dim_airport(staging(t, "airports_data")).select("*", "coordinates.x", "coordinates.y").drop("coordinates")
 
 
 @query(
@@ -83,7 +88,7 @@ def dim_airport(t):
     f"WITH {STAGING_SQL} SELECT id AS passenger_id, passenger_id AS passenger_nk, passenger_name, phone, email FROM tickets",
 )
 def dim_passenger(t):
-    return dimensions.dim_passenger(staging(t))
+    return dimensions.dim_passenger(staging(t, "tickets"))
 
 
 @query(
@@ -95,7 +100,7 @@ def dim_passenger(t):
     """,
 )
 def dim_seat(t):
-    stg = staging(t)
+    stg = staging(t, "seats", "aircrafts_data")
     return dimensions.dim_seat(stg, {"dim_aircrafts": dimensions.dim_aircrafts(stg)})
 
 
@@ -116,8 +121,8 @@ def dim_seat(t):
     """,
 )
 def fct_seat_occupied_daily(t):
-    stg = staging(t)
-    return facts.fct_seat_occupied_daily(stg, _dims(t, stg), zone=ZONE)
+    stg, dims = _warehouse(t, *_PLACES_AND_FLIGHTS, "seats", "boarding_passes")
+    return facts.fct_seat_occupied_daily(stg, dims, zone=ZONE)
 
 
 _ACTIVITY_SQL = f"""
@@ -140,8 +145,8 @@ def _in_seconds(df):
 
 @query("fct_flight_activity", f"WITH {STAGING_SQL} {_ACTIVITY_SQL}")
 def fct_flight_activity(t):
-    stg = staging(t)
-    return _in_seconds(facts.fct_flight_activity(stg, _dims(t, stg), zone=ZONE))
+    stg, dims = _warehouse(t, *_PLACES_AND_FLIGHTS)
+    return _in_seconds(facts.fct_flight_activity(stg, dims, zone=ZONE))
 
 
 @query(
@@ -159,8 +164,8 @@ def fct_flight_activity(t):
     """,
 )
 def fct_boarding_pass(t):
-    stg = staging(t)
-    return facts.fct_boarding_pass(stg, _dims(t, stg), zone=ZONE)
+    stg, dims = _warehouse(t, *_PLACES_AND_FLIGHTS, "tickets", "ticket_flights", "boarding_passes")
+    return facts.fct_boarding_pass(stg, dims, zone=ZONE)
 
 
 def _booking_sql(trim: str = "") -> str:
@@ -182,15 +187,15 @@ _EXACT = "AND " + _on_the_second("b.book_date", *_PLANNED, *_FLOWN)
 
 @query("fct_booking_ticket", f"WITH {STAGING_SQL} {_booking_sql(_EXACT)}")
 def fct_booking_ticket(t):
-    stg = staging(t)
-    return facts.fct_booking_ticket(stg, _dims(t, stg), zone=ZONE)
+    stg, dims = _warehouse(t, *_PLACES_AND_FLIGHTS, "bookings", "tickets", "ticket_flights")
+    return facts.fct_booking_ticket(stg, dims, zone=ZONE)
 
 
 @query("fct_booking_ticket_truncated", f"WITH {STAGING_SQL} {_booking_sql()}")
 def fct_booking_ticket_truncated(t):
     """Times cut to whole seconds, so that no segment is lost to a fraction."""
-    stg = staging(t)
-    return facts.fct_booking_ticket(stg, _dims(t, stg), zone=ZONE, truncate=True, passenger_join="surrogate")
+    stg, dims = _warehouse(t, *_PLACES_AND_FLIGHTS, "bookings", "tickets", "ticket_flights")
+    return facts.fct_booking_ticket(stg, dims, zone=ZONE, truncate=True, passenger_join="surrogate")
 
 
 @query(
@@ -224,9 +229,9 @@ def staging_rules(t):
 FIRST_RUN, SECOND_RUN = dt.datetime(2024, 1, 15, 1), dt.datetime(2024, 1, 16, 1)
 
 
-def _next_day(t):
-    """Staging frames a day on: departed flights have arrived and some are new that day."""
-    stg = staging(t)
+def _next_day(t, tables):
+    """Staging frames a day on, on which departed flights have arrived."""
+    stg = staging(t, *tables)
     moved = F.col("status") == "Departed"
     stamp = F.lit("2024-01-15 09:00:00").cast("timestamp_ntz")
     stg["flights"] = stg["flights"].withColumns(
@@ -238,12 +243,15 @@ def _next_day(t):
     return stg
 
 
-def _two_days(t, tables=tuple(TABLES)):
-    """A full run and an incremental run a day later."""
+def _two_days(t, *tables: str):
+    """A full run and an incremental run a day later: store, and status of the second run."""
     store = Store(t.spark, scratch_path(t.spark, "store"))
     landing = scratch_path(t.spark, "landing")
-    before = run_staging(store, staging(t).get, landing, "2024-01-15", FIRST_RUN, tables=tables)
-    return store, landing, before
+    run_staging(store, staging(t, *tables).get, landing, "2024-01-15", FIRST_RUN, tables=tables)
+    yield store
+    yield run_staging(
+        store, _next_day(t, tables).get, landing, "2024-01-16", SECOND_RUN, incremental=True, tables=tables
+    )
 
 
 @query(
@@ -259,10 +267,7 @@ def _two_days(t, tables=tuple(TABLES)):
 )
 def run_status(t):
     """The second day touches some flights and no booking, so bookings are skipped."""
-    store, landing, _ = _two_days(t, ("flights", "bookings"))
-    status = run_staging(
-        store, _next_day(t).get, landing, "2024-01-16", SECOND_RUN, incremental=True, tables=("flights", "bookings")
-    )
+    _, status = _two_days(t, "flights", "bookings")
     return status.select("step", "table", "status", "rows", "data_date")
 
 
@@ -278,8 +283,7 @@ def run_status(t):
 )
 def staging_cycle(t):
     """Flights after a full and an incremental day through CSV and upsert."""
-    store, landing, _ = _two_days(t, ("flights",))
-    run_staging(store, _next_day(t).get, landing, "2024-01-16", SECOND_RUN, incremental=True, tables=("flights",))
+    store, _ = _two_days(t, "flights")
     instants = (*facts.PLANNED, *facts.FLOWN)
     return (
         store.read("stg.flights")
@@ -292,7 +296,7 @@ def staging_cycle(t):
     "landing_stream",
     f"""
     WITH {STAGING_SQL}
-    SELECT book_ref, book_date, CASE WHEN o_orderstatus = 'F' THEN total_amount + 1 ELSE total_amount END AS total_amount
+    SELECT book_ref, book_date, CAST(CASE WHEN o_orderstatus = 'F' THEN total_amount + 1 ELSE total_amount END AS DECIMAL(10, 2)) AS total_amount
     FROM bookings JOIN orders ON book_ref = lpad(o_orderkey::VARCHAR, 10, '0')
     """,
 )
@@ -301,7 +305,7 @@ def landing_stream(t):
     table = TABLES["bookings"]
     store = Store(t.spark, scratch_path(t.spark, "store"))
     landing = scratch_path(t.spark, "landing")
-    bookings = staging(t)["bookings"]
+    bookings = staging(t, "bookings")["bookings"]
     finished = t.orders.where("o_orderstatus = 'F'").select(F.lpad(F.col("o_orderkey").cast("string"), 10, "0").alias("book_ref"))
     raised = bookings.join(finished, "book_ref", "left_semi").select(
         *[(F.col(c) + 1).cast("decimal(10,2)").alias(c) if c == "total_amount" else F.col(c) for c in bookings.columns]
@@ -327,8 +331,9 @@ def landing_stream(t):
 def warehouse_cycle(t):
     """Two days of staging and warehouse; the history of flight activity after them."""
     names = ("dim_aircrafts", "dim_airport", "fct_flight_activity")
-    store, landing, _ = _two_days(t)
+    days = _two_days(t, *_PLACES_AND_FLIGHTS, "bookings")
+    store = next(days)
     run_warehouse(store, FIRST_RUN, ZONE, names=names)
-    run_staging(store, _next_day(t).get, landing, "2024-01-16", SECOND_RUN, incremental=True)
+    next(days)
     run_warehouse(store, SECOND_RUN, ZONE, names=names)
     return _in_seconds(store.read_history("final.fct_flight_activity")).drop("dbt_updated_at")

@@ -143,4 +143,5 @@ def run_staging(
 
 
 def staging_frames(store: Store) -> dict[str, DataFrame]:
-    return {name: store.read(f"stg.{name}") for name in TABLES}
+    """The staging tables written so far."""
+    return {name: store.read(f"stg.{name}") for name in TABLES if store.exists(f"stg.{name}")}

@@ -88,8 +88,10 @@ def run_warehouse(
     """Snapshot the named tables; every table reads what the ones before it stored."""
     stg = staging_frames(store)
     write_calendar(store, stg, zone, span)
+    dims = {d: store.read(f"final.{d}") for d in ("dim_date", "dim_time")}
+    dims.update({d: store.read_history(f"final.{d}") for d in DIMENSIONS if store.exists(f"final.{d}")})
+    options = {"zone": zone, "versions": versions, "truncate": truncate, "passenger_join": passenger_join}
     for name in names:
-        dims = {d: store.read(f"final.{d}") for d in ("dim_date", "dim_time")}
-        dims.update({d: store.read_history(f"final.{d}") for d in DIMENSIONS if store.exists(f"final.{d}")})
-        options = {"zone": zone, "versions": versions, "truncate": truncate, "passenger_join": passenger_join}
         snapshot_table(store, name, TARGETS[name].build(stg, dims, **options), run_ts)
+        if name in DIMENSIONS:
+            dims[name] = store.read_history(f"final.{name}")
