@@ -11,7 +11,10 @@ POINT = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.D
 
 
 def json_field(col: Column, key: str) -> Column:
-    """The value of a top-level key as text; NULL when the input or the key is missing."""
+    """The value of a top-level key as text; NULL when the input or the key is missing.
+
+    Strings come back exactly; a number comes back in its shortest form (1.50 as 1.5).
+    """
     return F.get_json_object(col, f"$['{key}']")
 
 

@@ -1,7 +1,7 @@
 """Parquet tables that a job may read and replace.
 
 A path cannot be overwritten while it is read. So each write of a table goes to a new
-folder v=<n>, and the table is the highest n that Spark has marked with _SUCCESS. A job
+folder store_version=<n>, and the table is the highest n that Spark has marked with _SUCCESS. A job
 that dies leaves a folder without the mark, which readers never see.
 """
 
@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from skyledger.operators.snapshot import VALID_TO
 
+# Partition columns of the folders, named so that no table column clashes with them.
+VERSION, SEGMENT = "store_version", "store_segment"
+
 
 class Store:
     def __init__(self, spark: SparkSession, root: str):
@@ -25,10 +28,11 @@ class Store:
         jvm = self.spark._jvm
         base = jvm.org.apache.hadoop.fs.Path(self.path(table))
         fs = base.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(base, "v=*")) or []
-        done = fs.globStatus(jvm.org.apache.hadoop.fs.Path(base, "v=*/_SUCCESS")) or []
-        numbers = sorted(int(s.getPath().getName()[2:]) for s in found)
-        complete = sorted(int(s.getPath().getParent().getName()[2:]) for s in done)
+        found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(base, f"{VERSION}=*")) or []
+        done = fs.globStatus(jvm.org.apache.hadoop.fs.Path(base, f"{VERSION}=*/_SUCCESS")) or []
+        number = lambda path: int(path.getName().split("=")[1])
+        numbers = sorted(number(s.getPath()) for s in found)
+        complete = sorted(number(s.getPath().getParent()) for s in done)
         return complete, numbers
 
     def versions(self, table: str) -> list[int]:
@@ -45,11 +49,11 @@ class Store:
 
     def _next_path(self, table: str) -> str:
         numbers = self._listing(table)[1]
-        return f"{self.path(table)}/v={(numbers[-1] if numbers else 0) + 1}"
+        return f"{self.path(table)}/{VERSION}={(numbers[-1] if numbers else 0) + 1}"
 
     def read(self, table: str) -> DataFrame:
         live, _ = self._live(table)
-        return self.spark.read.parquet(f"{self.path(table)}/v={live}")
+        return self.spark.read.parquet(f"{self.path(table)}/{VERSION}={live}")
 
     def write(self, table: str, df: DataFrame) -> None:
         """Replace the table; fails when another writer took the same version."""
@@ -62,20 +66,18 @@ class Store:
         written once and never again; only the open ones are replaced by the next run.
         """
         segment = F.when(F.col(VALID_TO).isNull(), "open").otherwise("closed")
-        step.withColumn("segment", segment).write.mode("error").partitionBy("segment").parquet(
-            self._next_path(table)
-        )
+        step.withColumn(SEGMENT, segment).write.mode("error").partitionBy(SEGMENT).parquet(self._next_path(table))
 
     def _segments(self, table: str) -> tuple[DataFrame, int]:
         live, complete = self._live(table)
-        paths = [f"{self.path(table)}/v={n}" for n in complete]
+        paths = [f"{self.path(table)}/{VERSION}={n}" for n in complete]
         return self.spark.read.option("basePath", self.path(table)).parquet(*paths), live
 
     def read_open(self, table: str) -> DataFrame:
         rows, live = self._segments(table)
-        return rows.where((F.col("v") == live) & (F.col("segment") == "open")).drop("v", "segment")
+        return rows.where((F.col(VERSION) == live) & (F.col(SEGMENT) == "open")).drop(VERSION, SEGMENT)
 
     def read_history(self, table: str) -> DataFrame:
         """Open versions of the last run and the closed versions of all runs."""
         rows, live = self._segments(table)
-        return rows.where((F.col("segment") == "closed") | (F.col("v") == live)).drop("v", "segment")
+        return rows.where((F.col(SEGMENT) == "closed") | (F.col(VERSION) == live)).drop(VERSION, SEGMENT)

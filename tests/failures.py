@@ -1,0 +1,6 @@
+"""What a job that fails inside a task may raise on the Python side."""
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+
+JOB_FAILURE = (PySparkException, Py4JJavaError)

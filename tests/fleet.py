@@ -1,0 +1,126 @@
+"""A small airline, one row per edge case, as plain Python rows."""
+
+import datetime as dt
+from decimal import Decimal
+
+from skyledger.functions.values import stable_id
+from skyledger.schemas import TABLES
+
+UTC = dt.timezone.utc
+
+
+def at(text: str) -> dt.datetime:
+    return dt.datetime.fromisoformat(text).replace(tzinfo=UTC)
+
+
+ROWS = {
+    "aircrafts_data": [
+        {"aircraft_code": "773", "model": '{"en":"Boeing 777","ru":"B"}', "range": 11100},
+        {"aircraft_code": "CN1", "model": '{"en":"Cessna 208"}', "range": 1200},
+        {"aircraft_code": "SU9", "model": '{"en":"Superjet"}', "range": 3000},  # has no seats
+    ],
+    "airports_data": [
+        {"airport_code": "CGK", "airport_name": '{"en":"Jakarta"}', "city": r'{"en":"A \"q\", b","ru":null}',
+         "coordinates": (106.65, -6.125), "timezone": "Asia/Jakarta"},
+        {"airport_code": "SUB", "airport_name": '{"en":"Surabaya"}', "city": '{"en":"Surabaya"}',
+         "coordinates": (112.78, -7.38), "timezone": "Asia/Jakarta"},
+        {"airport_code": "DPS", "airport_name": '{"en":"Bali"}', "city": '{"ru":"no English"}',
+         "coordinates": (115.16, -8.75), "timezone": "Asia/Makassar"},
+    ],
+    "bookings": [
+        {"book_ref": "00000A", "book_date": at("2024-01-10 22:00:00"), "total_amount": Decimal("300.00")},
+        {"book_ref": "00000B", "book_date": at("2024-01-11 10:11:12"), "total_amount": Decimal("12.50")},
+        {"book_ref": "00000C", "book_date": at("2024-01-11 10:11:12.500000"), "total_amount": Decimal("9.99")},
+    ],
+    "flights": [
+        # flown, early departure, arrives after midnight
+        {"flight_id": 1, "flight_no": "PG0001", "scheduled_departure": at("2024-01-15 22:00:00"),
+         "scheduled_arrival": at("2024-01-16 00:30:00"), "departure_airport": "CGK", "arrival_airport": "SUB",
+         "status": "Arrived", "aircraft_code": "773", "actual_departure": at("2024-01-15 21:58:00"),
+         "actual_arrival": at("2024-01-16 00:40:30")},
+        # planned only
+        {"flight_id": 2, "flight_no": "PG0002", "scheduled_departure": at("2024-01-20 08:00:00"),
+         "scheduled_arrival": at("2024-01-20 09:00:00"), "departure_airport": "SUB", "arrival_airport": "DPS",
+         "status": "Scheduled", "aircraft_code": "CN1", "actual_departure": None, "actual_arrival": None},
+        # in the air, with passes
+        {"flight_id": 3, "flight_no": "PG0003", "scheduled_departure": at("2024-01-15 08:00:00"),
+         "scheduled_arrival": at("2024-01-15 09:00:00"), "departure_airport": "CGK", "arrival_airport": "DPS",
+         "status": "Departed", "aircraft_code": "773", "actual_departure": at("2024-01-15 08:10:00"),
+         "actual_arrival": None},
+        # arrived without passes
+        {"flight_id": 4, "flight_no": "PG0004", "scheduled_departure": at("2024-01-14 08:00:00"),
+         "scheduled_arrival": at("2024-01-14 09:00:00"), "departure_airport": "DPS", "arrival_airport": "CGK",
+         "status": "Arrived", "aircraft_code": "CN1", "actual_departure": at("2024-01-14 08:00:00"),
+         "actual_arrival": at("2024-01-14 09:00:00")},
+        # sub-second actual departure
+        {"flight_id": 5, "flight_no": "PG0005", "scheduled_departure": at("2024-01-14 10:00:00"),
+         "scheduled_arrival": at("2024-01-14 11:00:00"), "departure_airport": "CGK", "arrival_airport": "SUB",
+         "status": "Arrived", "aircraft_code": "CN1", "actual_departure": at("2024-01-14 10:11:12.500000"),
+         "actual_arrival": at("2024-01-14 11:11:12")},
+        # arrived on an aircraft without seats
+        {"flight_id": 6, "flight_no": "PG0006", "scheduled_departure": at("2024-01-14 12:00:00"),
+         "scheduled_arrival": at("2024-01-14 13:00:00"), "departure_airport": "CGK", "arrival_airport": "SUB",
+         "status": "Arrived", "aircraft_code": "SU9", "actual_departure": at("2024-01-14 12:00:00"),
+         "actual_arrival": at("2024-01-14 13:00:00")},
+    ],
+    "seats": [
+        {"aircraft_code": "773", "seat_no": "1A", "fare_conditions": "Business"},
+        {"aircraft_code": "773", "seat_no": "2A", "fare_conditions": "Comfort"},
+        {"aircraft_code": "773", "seat_no": "3A", "fare_conditions": "Economy"},
+        {"aircraft_code": "CN1", "seat_no": "1A", "fare_conditions": "Economy"},
+        {"aircraft_code": "CN1", "seat_no": "1B", "fare_conditions": "Economy"},
+    ],
+    "tickets": [
+        {"ticket_no": "0005432000987", "book_ref": "00000A", "passenger_id": "8149 604011", "passenger_name": "ANA, P",
+         "contact_data": '{"email":"a@example.org","phone":"+62"}'},
+        {"ticket_no": "0005432000988", "book_ref": "00000A", "passenger_id": "8149 604011", "passenger_name": "ANA, P",
+         "contact_data": None},  # the same passenger again
+        {"ticket_no": "0005432000989", "book_ref": "00000B", "passenger_id": "7000 000001", "passenger_name": ' two "B"\nlines ',
+         "contact_data": '{"phone":"+1"}'},
+        {"ticket_no": "0005432000990", "book_ref": "00000C", "passenger_id": "7000 000002", "passenger_name": "C",
+         "contact_data": None},
+    ],
+    "ticket_flights": [
+        {"ticket_no": t, "flight_id": f, "fare_conditions": fare, "amount": Decimal(amount)}
+        for t, f, fare, amount in (
+            ("0005432000987", 1, "Economy", "100.00"),
+            ("0005432000987", 2, "Economy", "50.00"),
+            ("0005432000988", 1, "Business", "150.00"),
+            ("0005432000989", 1, "Economy", "12.50"),
+            ("0005432000989", 3, "Economy", "0.00"),
+            ("0005432000989", 4, "Economy", "7.00"),
+            ("0005432000989", 5, "Economy", "5.00"),
+            ("0005432000989", 6, "Economy", "5.00"),
+            ("0005432000990", 1, "Economy", "9.99"),
+        )
+    ],
+    "boarding_passes": [
+        {"ticket_no": t, "flight_id": f, "boarding_no": n, "seat_no": seat}
+        for t, f, n, seat in (
+            ("0005432000987", 1, 1, "3A"),
+            ("0005432000988", 1, 2, "1A"),
+            ("0005432000987", 2, 1, "1A"),  # planned flight with a pass
+            ("0005432000989", 3, 1, "2A"),
+            ("0005432000989", 5, 1, "1B"),
+            ("0005432000989", 6, 1, "9Z"),
+        )
+    ],
+}
+
+STAMP = dt.datetime(2024, 1, 14, 9, 30, 0, 123456)
+
+
+def frames(spark, rows=None, with_ids=True, stamp=STAMP):
+    """Staging frames of the rows; ids as the first load would give them."""
+    out = {}
+    for name, table_rows in (rows or ROWS).items():
+        table = TABLES[name]
+        fields = [f.name for f in table.schema.fields]
+        data = [tuple({"created_at": stamp, "updated_at": stamp, **r}.get(f) for f in fields) for r in table_rows]
+        df = spark.createDataFrame(data, table.schema.simpleString().removeprefix("struct<").removesuffix(">"))
+        if with_ids:
+            df = df.withColumn("id", stable_id(name, *[df[k] for k in table.key]))
+        else:
+            df = df.drop("id")
+        out[name] = df
+    return out
