@@ -59,7 +59,7 @@ def write_csv(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> N
 
 
 def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
-    """The columns named in the header, all as text; empty fields are NULL."""
+    """The columns named in the header, all as text; empty fields, quoted or not, are NULL."""
     return spark.read.options(**_READ).csv(path)
 
 

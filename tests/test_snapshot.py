@@ -34,7 +34,7 @@ def brute(history, new, run_ts, checks=("v", "w")):
 def test_many_runs_match_brute_force(spark, tmp_path, checks):
     rng = random.Random(7)
     store, history, expected = Store(spark, str(tmp_path)), None, []
-    for run, at in enumerate(DAY[:4]):
+    for run, at in enumerate(DAY[:3]):
         keys = rng.sample([(a, b) for a in range(6) for b in "xy"], 9)
         new = [dict(a=a, b=b, v=rng.choice([None, 1]), w=rng.choice([None, "p"])) for a, b in keys]
         df = spark.createDataFrame([(r["a"], r["b"], r["v"], r["w"]) for r in new], SCHEMA)
