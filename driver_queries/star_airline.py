@@ -218,7 +218,7 @@ def fct_booking_ticket_truncated(t):
 )
 def staging_rules(t):
     """Every declared rule of every staging table."""
-    stg = staging(t)
+    stg = stored(t, staging(t))
     found = [table_violations(table, stg) for table in TABLES.values()]
     out = found[0]
     for more in found[1:]:

@@ -4,10 +4,36 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyledger.operators.joins import BROADCAST_BYTES, one_row_per_key, plan_bytes
 
 
+def first_rows(
+    batch: DataFrame,
+    schema: T.StructType,
+    keys: Sequence[str],
+    defaults: Mapping[str, Column] | None = None,
+    on_duplicates: str = "error",
+    order_by: str = "updated_at",
+) -> DataFrame:
+    """A table that does not exist yet, after its first batch: every row is an insert."""
+    types = {f.name: f.dataType for f in schema.fields}
+    batch = _checked(batch, types, keys)
+    batch = one_row_per_key(batch, keys, "upsert", on_duplicates, order_by)
+    defaults = {name: value.cast(types[name]) for name, value in (defaults or {}).items()}
+    return batch.select(*[_inserted(c, batch, defaults, types[c]) for c in types])
+
+
+def _checked(batch: DataFrame, types: Mapping[str, T.DataType], keys: Sequence[str]) -> DataFrame:
+    """The batch in the types of the table; every key present, no column unknown."""
+    unknown = [c for c in batch.columns if c not in types]
+    missing = [k for k in keys if k not in batch.columns]
+    if unknown or missing:
+        raise ValueError(f"batch has unknown columns {unknown} or lacks keys {missing}")
+    return batch.select(*[F.col(c).cast(types[c]).alias(c) for c in batch.columns])
+
+
 def upsert(
     target: DataFrame,
     batch: DataFrame,
@@ -27,12 +53,8 @@ def upsert(
     same rows.
     """
     keys = list(keys)
-    unknown = [c for c in batch.columns if c not in target.columns]
-    missing = [k for k in keys if k not in batch.columns]
-    if unknown or missing:
-        raise ValueError(f"batch has unknown columns {unknown} or lacks keys {missing}")
     types = {f.name: f.dataType for f in target.schema.fields}
-    batch = batch.select(*[F.col(c).cast(types[c]).alias(c) for c in batch.columns])
+    batch = _checked(batch, types, keys)
     small = plan_bytes(batch) <= small_batch_bytes
     batch = one_row_per_key(batch, keys, "upsert", on_duplicates, order_by)
     defaults = {name: value.cast(types[name]) for name, value in (defaults or {}).items()}

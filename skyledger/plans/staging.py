@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions.clock import parse_day
 from skyledger.functions.values import stable_id
-from skyledger.operators.upsert import upsert
+from skyledger.operators.upsert import first_rows, upsert
 from skyledger.schemas import LOAD_ORDER, TABLES, Table
 from skyledger.sources.extract import Source, extract
 from skyledger.sources.landing import landing_path, read_csv, to_landing, write_csv
@@ -91,9 +91,12 @@ def upsert_table(
     store: Store, table: Table, batch: DataFrame, run_ts: dt.datetime, on_duplicates: str = "error", **options
 ) -> None:
     """Upsert a batch into stg.<table> and store the result as its next version."""
-    name = f"stg.{table.name}"
-    target = store.read(name) if store.exists(name) else store.spark.createDataFrame([], table.schema)
-    store.write(name, upsert(target, batch, table.key, insert_defaults(table, run_ts), on_duplicates, **options))
+    name, defaults = f"stg.{table.name}", insert_defaults(table, run_ts)
+    if store.exists(name):
+        after = upsert(store.read(name), batch, table.key, defaults, on_duplicates, **options)
+    else:
+        after = first_rows(batch, table.schema, table.key, defaults, on_duplicates)
+    store.write(name, after)
 
 
 def load_table(

@@ -23,16 +23,21 @@ class Store:
         """`table` is schema.name, for example stg.flights."""
         return f"{self.root}/{table.replace('.', '/')}"
 
+    def _hadoop(self, path: str):
+        """A Hadoop path and its file system, so that any storage Spark reads will do."""
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return at, at.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _glob(self, pattern: str) -> list:
+        path, fs = self._hadoop(pattern)
+        return [s.getPath() for s in fs.globStatus(path) or []]
+
     def _listing(self, table: str) -> tuple[list[int], list[int]]:
         """Versions that are complete, and all that have a folder."""
-        jvm = self.spark._jvm
-        base = jvm.org.apache.hadoop.fs.Path(self.path(table))
-        fs = base.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(base, f"{VERSION}=*")) or []
-        done = fs.globStatus(jvm.org.apache.hadoop.fs.Path(base, f"{VERSION}=*/_SUCCESS")) or []
         number = lambda path: int(path.getName().split("=")[1])
-        numbers = sorted(number(s.getPath()) for s in found)
-        complete = sorted(number(s.getPath().getParent()) for s in done)
+        numbers = sorted(number(p) for p in self._glob(f"{self.path(table)}/{VERSION}=*"))
+        done = self._glob(f"{self.path(table)}/{VERSION}=*/_SUCCESS")
+        complete = sorted(number(p.getParent()) for p in done)
         return complete, numbers
 
     def versions(self, table: str) -> list[int]:
@@ -81,3 +86,15 @@ class Store:
         """Open versions of the last run and the closed versions of all runs."""
         rows, live = self._segments(table)
         return rows.where((F.col(SEGMENT) == "closed") | (F.col(VERSION) == live)).drop(VERSION, SEGMENT)
+
+    def drop_superseded(self, table: str, keep: int = 2) -> None:
+        """Delete what no reader of the last `keep` versions needs.
+
+        Of a history only the open rows of older runs go; their closed rows are kept.
+        """
+        complete, numbers = self._listing(table)
+        for n in [n for n in numbers if n < (complete or [0])[-keep:][0]]:
+            folder = f"{self.path(table)}/{VERSION}={n}"
+            history = self._glob(f"{folder}/{SEGMENT}=*")
+            path, fs = self._hadoop(f"{folder}/{SEGMENT}=open" if history and n in complete else folder)
+            fs.delete(path, True)

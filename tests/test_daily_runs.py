@@ -7,10 +7,12 @@ from failures import JOB_FAILURE
 from fleet import ROWS, frames
 from pyspark.sql import functions as F
 
+from skyledger.daily import run_day
 from skyledger.plans.staging import load_table, run_staging, run_status
 from skyledger.plans.warehouse import TARGETS, run_warehouse
 from skyledger.schemas import LOAD_ORDER, TABLES
 from skyledger.session import scratch_path
+from skyledger.sources.extract import parquet_source
 from skyledger.sources.landing import landing_path, to_landing, write_csv
 from skyledger.sources.store import Store
 from skyledger.streaming.landings import stream_daily_landings
@@ -149,6 +151,21 @@ def test_stream_catches_up_on_missed_days(spark, tmp_path):
     assert store.versions("stg.bookings") == seen
 
 
+def test_one_day_end_to_end(spark, tmp_path):
+    for name, df in frames(spark, with_ids=False).items():
+        df.write.parquet(f"{tmp_path}/source/{name}")
+    status = run_day(
+        spark, f"{tmp_path}/lake", parquet_source(spark, f"{tmp_path}/source"), "2024-01-15", DAY1,
+        zone="Asia/Jakarta", passenger_join="surrogate",
+    )
+    assert {r["status"] for r in status.collect()} == {"success"}
+    store = Store(spark, f"{tmp_path}/lake/tables")
+    activity = store.read_history("final.fct_flight_activity")
+    assert {r["flight_nk"] for r in activity.collect()} == {1, 4, 6}
+    first = activity.where("flight_nk = 1").first()
+    assert (first["scheduled_departure_date_local"], first["scheduled_departure_date_utc"]) == (20240116, 20240115)
+
+
 def test_scratch_is_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir", None)
     path = scratch_path(spark, "x")

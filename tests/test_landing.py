@@ -112,7 +112,9 @@ def test_day_window(spark):
 def test_day_window_reaches_the_scan(spark, tmp_path):
     stamped(spark).write.parquet(f"{tmp_path}/t")
     source = parquet_source(spark, str(tmp_path))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
     plan = touched_on(source("t"), dt.date(2024, 1, 15))._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
     pushed = plan.split("PushedFilters:")[1]
     assert "GreaterThanOrEqual(created_at" in pushed and "LessThan(updated_at" in pushed
     assert "cast(created_at" not in plan

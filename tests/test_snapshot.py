@@ -125,6 +125,22 @@ def test_unfinished_version_is_ignored(spark, tmp_path):
     assert store.versions("stg.t") == [1, 3] and store.read("stg.t").count() == 2
 
 
+def test_superseded_rows_can_be_dropped(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    for at, w in zip(DAY, "abcd"):
+        current = store.read_open("final.h") if store.exists("final.h") else None
+        df = spark.createDataFrame([(1, w), (2, "same")], "k int, w string")
+        store.write_history("final.h", snapshot_step(current, df, ["k"], at))
+        store.write("stg.t", df)
+    (tmp_path / "stg/t/store_version=5").mkdir()
+    before = rows(store.read_history("final.h"))
+    store.drop_superseded("final.h")
+    store.drop_superseded("stg.t")
+    assert rows(store.read_history("final.h")) == before and store.versions("stg.t") == [3, 4]
+    assert len(list((tmp_path / "final/h").glob("*/store_segment=open"))) == 2
+    assert (tmp_path / "stg/t/store_version=5").exists()  # may be a write in progress
+
+
 def test_visible_versions(spark):
     history = snapshot_check(None, spark.createDataFrame([(1, "x")], "k int, w string"), ["k"], DAY[0])
     history = snapshot_check(history, spark.createDataFrame([(1, "y")], "k int, w string"), ["k"], DAY[1])

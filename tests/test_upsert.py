@@ -4,7 +4,7 @@ import pytest
 from failures import JOB_FAILURE
 from pyspark.sql import functions as F
 
-from skyledger.operators.upsert import merge_into, upsert
+from skyledger.operators.upsert import first_rows, merge_into, upsert
 
 SCHEMA = "k1 int, k2 string, id string, v int, w string"
 
@@ -62,6 +62,18 @@ def test_latest_of_duplicates(spark):
     assert sorted(map(tuple, got)) == [(1, "y", 7), (2, None, 1)]
 
 
+def test_first_batch_equals_upsert_into_an_empty_table(spark):
+    batch = spark.createDataFrame([(1, "a", 5), (2, "b", None)], "k1 int, k2 string, v int")
+    empty = spark.createDataFrame([], SCHEMA)
+    defaults = {"id": F.concat("k1", "k2")}
+    first = first_rows(batch, empty.schema, ["k1", "k2"], defaults)
+    merged = upsert(empty, batch, ["k1", "k2"], defaults, small_batch_bytes=0)
+    assert first.columns == merged.columns
+    assert sorted(map(tuple, first.collect())) == sorted(map(tuple, merged.collect())) == [
+        (1, "a", "1a", 5, None), (2, "b", "2b", None, None),
+    ]
+
+
 def test_unknown_columns_are_refused(spark):
     target = spark.createDataFrame([(1,)], "k int")
     with pytest.raises(ValueError, match="unknown"):
