@@ -1,5 +1,6 @@
 """Sources, sinks, projections, expressions, calendars and counts."""
 
+import uuid
 from pathlib import Path
 
 from pyspark.sql import functions as F
@@ -90,8 +91,8 @@ def transform_by_name(t):
 
 @query("append_rows", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
 def append_rows(t):
-    location = scratch_path(t.spark, "appended")
-    table = location.rsplit("/", 1)[-1].replace("-", "_")
+    table = f"appended_{uuid.uuid4().hex}"
+    location = scratch_path(t.spark, table)
     t.spark.sql(
         f"CREATE TABLE {table} (o_orderkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE) "
         f"USING parquet LOCATION '{location}'"

@@ -24,11 +24,14 @@ def run_day(
     run_ts: dt.datetime,
     incremental: bool = False,
     on_duplicates: str = "error",
+    rules: bool = True,
     **warehouse,
 ) -> DataFrame:
     """Staging and warehouse of one day under `root`; returns the status of the staging steps."""
     store = Store(spark, f"{root}/tables")
-    status = run_staging(store, source, f"{root}/landing", ds, run_ts, incremental, on_duplicates=on_duplicates)
+    status = run_staging(
+        store, source, f"{root}/landing", ds, run_ts, incremental, on_duplicates=on_duplicates, rules=rules
+    )
     run_warehouse(store, run_ts, **warehouse)
     return status
 
@@ -44,6 +47,7 @@ def _arguments() -> argparse.Namespace:
     parser.add_argument("--passenger-join", choices=["natural", "surrogate"], default="natural")
     parser.add_argument("--truncate", action="store_true", help="cut times to whole seconds")
     parser.add_argument("--on-duplicates", choices=["error", "latest"], default="error")
+    parser.add_argument("--no-rules", action="store_true", help="load rows that break a rule of their table")
     source = parser.add_mutually_exclusive_group(required=True)
     source.add_argument("--source-parquet", help="folder with one Parquet folder per table")
     source.add_argument("--source-database", help="catalog database with the tables")
@@ -73,6 +77,7 @@ def main() -> None:
         run_ts.replace(tzinfo=None),
         args.incremental,
         args.on_duplicates,
+        not args.no_rules,
         zone=args.zone,
         versions=args.versions,
         truncate=args.truncate,

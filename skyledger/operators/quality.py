@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skyledger.operators.joins import broadcast_if_small
 from skyledger.schemas import Table
 
 
@@ -56,25 +57,54 @@ def orphan_keys(
     return refs.join(known, list(child_cols), "left_anti")
 
 
-def table_violations(table: Table, frames: Mapping[str, DataFrame]) -> DataFrame:
-    """Every broken rule of one staging table: rule, key text, rows."""
-    df = frames[table.name]
+def _listed(found: DataFrame, rule: Column | str, columns: Sequence[str], rows: Column) -> DataFrame:
+    """Violations in one shape: rule, key text, rows."""
+    rule = F.lit(rule) if isinstance(rule, str) else rule
+    key = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in columns])
+    return found.select(rule.alias("rule"), key.alias("key"), rows.cast("bigint").alias("rows"))
 
-    def listed(found: DataFrame, rule: Column | str, columns: Sequence[str], rows: Column) -> DataFrame:
-        rule = F.lit(rule) if isinstance(rule, str) else rule
-        key = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in columns])
-        return found.select(rule.alias("rule"), key.alias("key"), rows.cast("bigint").alias("rows"))
 
-    parts = [listed(row_violations(df, table_rules(table)), F.col("rule"), table.key, F.lit(1))]
-    for columns in (table.key, *table.unique):
-        found = duplicate_keys(df, columns)
-        parts.append(listed(found, f"unique_{'_'.join(columns)}", columns, F.col("rows")))
+def _row_and_reference_violations(table: Table, df: DataFrame, parents: Mapping[str, DataFrame]) -> list[DataFrame]:
+    parts = [_listed(row_violations(df, table_rules(table)), F.col("rule"), table.key, F.lit(1))]
     for ref in table.references:
-        found = orphan_keys(df, frames[ref.parent], ref.columns, ref.parent_columns)
-        parts.append(listed(found, f"{'_'.join(ref.columns)}_in_{ref.parent}", ref.columns, F.col("rows")))
+        found = orphan_keys(df, parents[ref.parent], ref.columns, ref.parent_columns)
+        parts.append(_listed(found, f"{'_'.join(ref.columns)}_in_{ref.parent}", ref.columns, F.col("rows")))
+    return parts
+
+
+def _unique_violations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return _listed(duplicate_keys(df, columns), f"unique_{'_'.join(columns)}", columns, F.col("rows"))
+
+
+def _collected(table: Table, parts: list[DataFrame]) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, parts).select(F.lit(table.name).alias("table"), "*")
 
 
+def table_violations(table: Table, frames: Mapping[str, DataFrame]) -> DataFrame:
+    """Every broken rule of one staging table: table, rule, key text, rows."""
+    df = frames[table.name]
+    parts = _row_and_reference_violations(table, df, frames)
+    return _collected(table, parts + [_unique_violations(df, columns) for columns in (table.key, *table.unique)])
+
+
+def batch_violations(
+    table: Table, after: DataFrame, batch_keys: DataFrame, parents: Mapping[str, DataFrame]
+) -> DataFrame:
+    """Rules that a batch broke in the table `after` it.
+
+    Only rows with a key of the batch are tested, and for uniqueness the rows that share
+    a value with them: rows loaded earlier passed then, and parents are never deleted.
+    The key itself is not tested, an upsert cannot repeat it.
+    """
+    touched = after.join(broadcast_if_small(batch_keys.select(*table.key)), list(table.key), "left_semi")
+    parts = _row_and_reference_violations(table, touched, parents)
+    for columns in table.unique:
+        columns = list(columns)
+        same_value = after.select(*columns).join(broadcast_if_small(touched.select(*columns)), columns, "left_semi")
+        parts.append(_unique_violations(same_value, columns))
+    return _collected(table, parts)
+
+
 def enforce(violations: DataFrame) -> None:
     """Fail when there is any violation, naming a few of them."""
     found = violations.limit(5).collect()

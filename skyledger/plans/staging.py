@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions.clock import parse_day
 from skyledger.functions.values import stable_id
+from skyledger.operators.quality import batch_violations, enforce
 from skyledger.operators.upsert import first_rows, upsert
 from skyledger.schemas import LOAD_ORDER, TABLES, Table
 from skyledger.sources.extract import Source, extract
@@ -88,15 +89,29 @@ def insert_defaults(table: Table, run_ts: dt.datetime) -> dict:
 
 
 def upsert_table(
-    store: Store, table: Table, batch: DataFrame, run_ts: dt.datetime, on_duplicates: str = "error", **options
+    store: Store,
+    table: Table,
+    batch: DataFrame,
+    run_ts: dt.datetime,
+    on_duplicates: str = "error",
+    rules: bool = True,
+    **options,
 ) -> None:
-    """Upsert a batch into stg.<table> and store the result as its next version."""
+    """Upsert a batch into stg.<table> and store the result as its next version.
+
+    With `rules` a batch that breaks a rule of the table fails and leaves it as it was.
+    """
     name, defaults = f"stg.{table.name}", insert_defaults(table, run_ts)
     if store.exists(name):
         after = upsert(store.read(name), batch, table.key, defaults, on_duplicates, **options)
     else:
         after = first_rows(batch, table.schema, table.key, defaults, on_duplicates)
-    store.write(name, after)
+
+    def check(written: DataFrame) -> None:
+        parents = {ref.parent: store.read(f"stg.{ref.parent}") for ref in table.references}
+        enforce(batch_violations(table, written, batch, parents))
+
+    store.write(name, after, check if rules else None)
 
 
 def load_table(
@@ -107,6 +122,7 @@ def load_table(
     run_ts: dt.datetime,
     incremental: bool = False,
     on_duplicates: str = "error",
+    rules: bool = True,
 ) -> tuple:
     """Upsert a landed extract. Without a successful extract for `ds` nothing is read or written."""
     last = last_extract(store, table.name, ds)
@@ -115,7 +131,7 @@ def load_table(
     batch = read_csv(store.spark, landing_path(landing, table.name, incremental, ds), table.schema, table)
     if batch.isEmpty():
         return _status(table.name, "load", SKIPPED, ds, run_ts, 0)
-    upsert_table(store, table, batch, run_ts, on_duplicates)
+    upsert_table(store, table, batch, run_ts, on_duplicates, rules)
     return _status(table.name, "load", SUCCESS, ds, run_ts, last[1])
 
 
@@ -128,6 +144,7 @@ def run_staging(
     incremental: bool = False,
     tables: Iterable[str] = tuple(TABLES),
     on_duplicates: str = "error",
+    rules: bool = True,
 ) -> DataFrame:
     """One daily run; returns the status of every table and step.
 
@@ -137,7 +154,7 @@ def run_staging(
     statuses = extract_tables(source, landing, ds, run_ts, incremental, tables)
     record_status(store, statuses)
     loads = [
-        load_table(store, table, landing, ds, run_ts, incremental, on_duplicates)
+        load_table(store, table, landing, ds, run_ts, incremental, on_duplicates, rules)
         for table in LOAD_ORDER
         if table.name in tables
     ]

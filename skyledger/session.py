@@ -55,5 +55,10 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path under the scratch folder, never one used before."""
-    return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path under the scratch folder, removed with its content when the JVM ends."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark).rstrip('/')}/run-{uuid.uuid4().hex}")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(folder)
+    fs.deleteOnExit(folder)
+    return f"{folder.toString()}/{name}"

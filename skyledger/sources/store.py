@@ -5,6 +5,8 @@ folder store_version=<n>, and the table is the highest n that Spark has marked w
 that dies leaves a folder without the mark, which readers never see.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,9 +62,21 @@ class Store:
         live, _ = self._live(table)
         return self.spark.read.parquet(f"{self.path(table)}/{VERSION}={live}")
 
-    def write(self, table: str, df: DataFrame) -> None:
-        """Replace the table; fails when another writer took the same version."""
-        df.write.mode("error").parquet(self._next_path(table))
+    def write(self, table: str, df: DataFrame, check: Callable[[DataFrame], None] | None = None) -> None:
+        """Replace the table; fails when another writer took the same version.
+
+        `check` sees the rows as written and may raise; the version then stays unmarked,
+        which leaves the table as it was.
+        """
+        path = self._next_path(table)
+        if check is None:
+            df.write.mode("error").parquet(path)
+            return
+        unmarked = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
+        df.write.mode("error").options(**unmarked).parquet(path)
+        check(self.spark.read.parquet(path))
+        mark, fs = self._hadoop(f"{path}/_SUCCESS")
+        fs.create(mark).close()
 
     def write_history(self, table: str, step: DataFrame) -> None:
         """Store the result of `snapshot_step`.

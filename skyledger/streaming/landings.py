@@ -13,7 +13,7 @@ from skyledger.sources.store import Store
 
 
 def stream_daily_landings(
-    store: Store, table: Table, landing: str, checkpoint: str, run_ts: dt.datetime
+    store: Store, table: Table, landing: str, checkpoint: str, run_ts: dt.datetime, rules: bool = True
 ) -> StreamingQuery:
     """Upsert the landed days that the checkpoint has not seen, then stop.
 
@@ -27,7 +27,7 @@ def stream_daily_landings(
         typed = with_types(batch, table.schema, table, keep=("dt",))
         newest = latest_per_key(typed, table.key, "dt").drop("dt")
         if not newest.isEmpty():
-            upsert_table(store, table, newest, run_ts)
+            upsert_table(store, table, newest, run_ts, rules=rules)
 
     return (
         stream_csv_text(store.spark, path, columns)

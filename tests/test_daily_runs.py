@@ -8,7 +8,8 @@ from fleet import ROWS, frames
 from pyspark.sql import functions as F
 
 from skyledger.daily import run_day
-from skyledger.plans.staging import load_table, run_staging, run_status
+from skyledger.operators.quality import RuleBroken
+from skyledger.plans.staging import load_table, run_staging, run_status, upsert_table
 from skyledger.plans.warehouse import TARGETS, run_warehouse
 from skyledger.schemas import LOAD_ORDER, TABLES
 from skyledger.session import scratch_path
@@ -99,6 +100,38 @@ def test_load_needs_a_successful_extract(spark, two_days):
     assert status[2] == "skipped" and store.versions("stg.flights") == [1, 2]
 
 
+BAD = {
+    "flights": (
+        dict(ROWS["flights"][1], flight_id=100, flight_no="PG0001", scheduled_departure=ROWS["flights"][0]["scheduled_departure"]),
+        "unique_flight_no_scheduled_departure",
+    ),
+    "ticket_flights": (dict(ROWS["ticket_flights"][0], flight_id=77), "flight_id_in_flights"),
+    "seats": (dict(ROWS["seats"][0], fare_conditions="Roof"), "fare_known"),
+    "aircrafts_data": (dict(ROWS["aircrafts_data"][0], model=None), "not_null_model"),
+}
+
+
+@pytest.mark.parametrize("name", list(BAD))
+def test_a_batch_that_breaks_a_rule_changes_nothing(spark, two_days, name):
+    """The bad row clashes with rows loaded before, refers to none, or is bad by itself."""
+    store, *_ = two_days
+    row, rule = BAD[name]
+    before, versions = rows(store.read(f"stg.{name}")), store.versions(f"stg.{name}")
+    batch = frames(spark, {name: [row]}, with_ids=False)[name]
+    with pytest.raises(RuleBroken, match=rule):
+        upsert_table(store, TABLES[name], batch, DAY2)
+    assert rows(store.read(f"stg.{name}")) == before and store.versions(f"stg.{name}") == versions
+
+
+def test_rows_loaded_earlier_are_not_tested_again(spark, tmp_path):
+    store, table = Store(spark, str(tmp_path)), TABLES["aircrafts_data"]
+    bad = [dict(ROWS["aircrafts_data"][0], range=0)]
+    upsert_table(store, table, frames(spark, {table.name: bad}, with_ids=False)[table.name], DAY1, rules=False)
+    good = frames(spark, {table.name: ROWS[table.name][1:2]}, with_ids=False)[table.name]
+    upsert_table(store, table, good, DAY2)
+    assert store.versions("stg.aircrafts_data") == [1, 2]
+
+
 def test_load_order_puts_parents_first():
     names = [t.name for t in LOAD_ORDER]
     for table in LOAD_ORDER:
@@ -109,7 +142,7 @@ def test_load_order_puts_parents_first():
 def test_batch_without_some_columns_keeps_them(spark, tmp_path):
     store, table = Store(spark, f"{tmp_path}/s"), TABLES["aircrafts_data"]
     full = frames(spark, with_ids=False)["aircrafts_data"]
-    run_staging(store, {"aircrafts_data": full}.get, f"{tmp_path}/l", "2024-01-15", DAY1, tables=["aircrafts_data"])
+    run_staging(store, {"aircrafts_data": full}.get, f"{tmp_path}/l", "2024-01-15", DAY1, tables=["aircrafts_data"], rules=False)
     part = full.where("aircraft_code = 'CN1'").select("aircraft_code", F.lit(7).alias("range"))
     run_staging(store, {"aircrafts_data": part}.get, f"{tmp_path}/l", "2024-01-16", DAY2, tables=["aircrafts_data"])
     got = store.read(f"stg.{table.name}").where("aircraft_code = 'CN1'").first()
@@ -122,7 +155,7 @@ def test_json_key_order_makes_no_new_version(spark, tmp_path):
     for ds, at, data in (("2024-01-15", DAY1, ROWS), ("2024-01-16", DAY2, swapped)):
         source = frames(spark, data, with_ids=False)
         tables = ["aircrafts_data", "airports_data", "flights", "bookings"]
-        run_staging(store, source.get, f"{tmp_path}/l", ds, at, tables=tables)
+        run_staging(store, source.get, f"{tmp_path}/l", ds, at, tables=tables, rules=False)
         run_warehouse(store, at, span=SPAN, names=("dim_aircrafts",))
     assert store.read_history("final.dim_aircrafts").count() == 3
 
