@@ -1,6 +1,7 @@
 """Rules a database would enforce on write, as frames of what breaks them."""
 
 import functools
+import operator
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -23,10 +24,9 @@ def row_violations(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
 
     All rules are tested in one scan. As for an SQL CHECK, a rule that is NULL holds.
     """
-    broken = [F.when(~holds, F.lit(name)) for name, holds in rules.items()]
-    names = F.array_compact(F.array(*broken))
-    any_broken = functools.reduce(lambda a, b: a | b, [F.coalesce(~holds, F.lit(False)) for holds in rules.values()])
-    return df.where(any_broken).select(F.explode(names).alias("rule"), "*")
+    broken = F.array(*[F.when(~holds, F.lit(name)) for name, holds in rules.items()])
+    any_broken = functools.reduce(operator.or_, [~holds for holds in rules.values()])
+    return df.where(any_broken).select(F.explode(broken).alias("rule"), "*").where(F.col("rule").isNotNull())
 
 
 def table_rules(table: Table) -> dict[str, Column]:

@@ -101,17 +101,17 @@ def snapshot_step(
         at.alias(VALID_FROM),
         F.lit(None).cast("timestamp_ntz").alias(VALID_TO),
     )
-    versions = F.array_compact(
-        F.array(
-            F.when(old.isNotNull(), old_version),
-            F.when(old.isNull() | F.col("_changed"), new_version),
-        )
+    versions = F.array(
+        F.when(old.isNotNull(), old_version),
+        F.when(old.isNull() | F.col("_changed"), new_version),
     )
     # One join feeds both versions of a row; three filters of it would run it three times.
+    # The empty slot is filtered after the explode, which keeps all of it in generated code.
     return (
         before.join(after, keys, "full_outer")
         .withColumn("_changed", changed)
         .select(*keys, F.explode(versions).alias("_v"))
+        .where(F.col("_v").isNotNull())
         .select(*[F.col(c) if c in keys else F.col("_v")[c].alias(c) for c in [*new.columns, *VERSION_COLUMNS]])
     )
 
