@@ -129,5 +129,8 @@ def keep_good(df: DataFrame, text: str = "text") -> DataFrame:
     """The rows whose text passes, with the columns they came with."""
     clash = {*MEASURES, "base_failed", "kept"} & {*df.columns}
     named = df.withColumnsRenamed({c: f"_in_{c}" for c in clash})
-    good = judge(named, f"_in_{text}" if text in clash else text).where("kept")
-    return good.drop(*MEASURES, "base_failed", "kept").withColumnsRenamed({f"_in_{c}": c for c in clash}).select(df.columns)
+    judged = judge(named, f"_in_{text}" if text in clash else text)
+    # A filter on a plain expression is moved below the projections and repeats all of their work in each
+    # lambda; it stays where it is if it depends on a row number.
+    good = judged.withColumn("_q_pass", F.col("kept") & (F.monotonically_increasing_id() >= 0)).where("_q_pass")
+    return good.drop(*MEASURES, "base_failed", "kept", "_q_pass").withColumnsRenamed({f"_in_{c}": c for c in clash}).select(df.columns)

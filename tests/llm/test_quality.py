@@ -21,7 +21,7 @@ TEXTS = [
     "the and of " * 30 + "é" * 50,
     " ".join(f"w{i % 997}" for i in range(30_000)),
     "same words again and again " * 4000,
-    " ".join(f"the{i} a of word" for i in range(20)),
+    " ".join(f"the{i} a{i} of word{i}" for i in range(20)),
 ]
 
 
