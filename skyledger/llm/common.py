@@ -105,3 +105,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def map_batches(df: DataFrame, one: Callable[[pa.RecordBatch], pa.RecordBatch], schema, rows: int) -> DataFrame:
+    """Apply `one` to Arrow batches of at most `rows` rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, batch.num_rows, rows):
+                yield one(batch.slice(low, rows))
+
+    return df.mapInArrow(run, schema)

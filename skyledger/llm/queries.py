@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from skyledger.llm import quality, secrets
-from skyledger.llm.common import WORD, scratch, table
+from skyledger.llm import pieces, quality, secrets, tokens
+from skyledger.llm.common import WORD, scratch, scratch_path, table
+
+#: The vocabulary the queries use; any path that all executors have may be passed to the operators.
+MODEL = "piece_bpe_32k.model"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -68,3 +73,18 @@ def op5_quality_rules(spark, folder):
 def op10_secret_scans(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return secrets.summarise(secrets.find_secrets(docs))
+
+
+@query
+def op2_token_counts(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    # A cache of its own for each run, so that a run's work does not depend on earlier ones.
+    return tokens.token_counts(docs, scratch_path(spark, "token_cache"), public_tokenizers.path(MODEL))
+
+
+@query
+def op9_sentencepiece(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    verify = F.col("doc_id") % 50 == 0
+    out = pieces.encode(docs, public_tokenizers.path(MODEL), verify=verify)
+    return out.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", "round_trip", "parity")
