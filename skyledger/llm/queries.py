@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import pieces, quality, secrets, tokens
+from skyledger.llm import html, pieces, quality, secrets, tokens
 from skyledger.llm.common import WORD, scratch, scratch_path, table
 
 #: The vocabulary the queries use; any path that all executors have may be passed to the operators.
@@ -88,3 +88,8 @@ def op9_sentencepiece(spark, folder):
     verify = F.col("doc_id") % 50 == 0
     out = pieces.encode(docs, public_tokenizers.path(MODEL), verify=verify)
     return out.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", "round_trip", "parity")
+
+
+@query
+def op1_html_extraction(spark, folder):
+    return html.extract(table(spark, folder, "pages").select("page_id", "url", "html"))
