@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import html, pieces, quality, secrets, tokens
-from skyledger.llm.common import WORD, scratch, scratch_path, table
+from skyledger.llm import html, mixing, pieces, quality, secrets, tokens
+from skyledger.llm.common import WORD, scratch, scratch_path, stored, table
 
 #: The vocabulary the queries use; any path that all executors have may be passed to the operators.
 MODEL = "piece_bpe_32k.model"
@@ -93,3 +93,12 @@ def op9_sentencepiece(spark, folder):
 @query
 def op1_html_extraction(spark, folder):
     return html.extract(table(spark, folder, "pages").select("page_id", "url", "html"))
+
+
+@query
+def op6_source_mix(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "source", mixing.n_words("text").alias("size"))
+    plan = mixing.plan_mix(stored(docs, "sizes"))
+    each = plan.withColumn("_row", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
+    taken = (F.col("size") * F.col("copies")).cast("bigint").alias("taken")
+    return each.select("doc_id", "source", "size", "source_size", "target", taken, "copies")

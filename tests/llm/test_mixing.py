@@ -1,0 +1,90 @@
+"""Targets against a loop that deals excess again, and what a balanced sample has to keep."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from skyledger.llm import mixing, queries
+
+SIZES = T.StructType(
+    [T.StructField("doc_id", T.LongType()), T.StructField("source", T.StringType()), T.StructField("size", T.LongType())]
+)
+
+
+def dealt(sizes, weights=(5, 2, 1), share=1.5, most=2.0):
+    """Targets by dealing the excess again until none is above its bound."""
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: weights[i % 3] for i, s in enumerate(order)}
+    full, left, is_open = {}, share * sum(sizes.values()), set(order)
+    while is_open:
+        level = left / sum(weight[s] for s in is_open)
+        over = {s for s in is_open if level * weight[s] > most * sizes[s]}
+        if not over:
+            return {**full, **{s: level * weight[s] for s in is_open}}
+        for s in over:
+            full[s] = most * sizes[s]
+            left -= full[s]
+        is_open -= over
+    return full
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_targets(spark, seed):
+    rng = random.Random(seed)
+    names = [None, "", "a", "B", "é", "😀", "z", "", "ab"][: rng.randrange(2, 10)]
+    rows = [(i, rng.choice(names), rng.choice([0, 1, 10, rng.randrange(2000)])) for i in range(60)]
+    sizes = {}
+    for _, s, n in rows:
+        sizes[s] = sizes.get(s, 0) + n
+    got = {r.source: r for r in mixing.targets(spark.createDataFrame(rows, SIZES)).collect()}
+    assert {s: r.source_size for s, r in got.items()} == sizes
+    assert {s: r.target for s, r in got.items()} == pytest.approx(dealt(sizes))
+
+
+def test_flight_keeps_totals():
+    rng = random.Random(5)
+    import numpy as np
+
+    pi = np.full(500, 0.3)
+    size, count = np.array([rng.randrange(1, 900) for _ in pi], float), np.ones(500)
+    words, docs = pi @ size, pi.sum()
+    left = mixing.flight(pi, size, count, rng, 2)
+    assert len(left) <= 2 and sum(0 < p < 1 for p in pi) == len(left)
+    assert pi @ size == pytest.approx(words) and pi.sum() == pytest.approx(docs)
+
+
+def check(rows, plan, near):
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.size) for r in plan) == sorted((i is None, i or 0, n) for i, _, n in rows)
+    taken, target = {}, {}
+    for r in plan:
+        assert 0 <= r.taken <= 2 * r.size
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+        target[r.source] = r.target
+    for s, t in target.items():
+        assert abs(taken[s] - t) <= near * max(t, 1), (s, taken[s], t)
+
+
+def test_mix_of_many_blocks(spark, tmp_path):
+    rng = random.Random(6)
+    rows = [(i, "hot" if i % 3 else f"s{i % 7}", int(rng.paretovariate(1.2) * 20)) for i in range(9000)]
+    words = spark.createDataFrame(rows, SIZES).withColumn("text", F.repeat(F.lit("w "), F.col("size").cast("int")))
+    words.drop("size").repartition(7).write.parquet(f"{tmp_path}/documents.parquet")
+    plan = queries.QUERIES["op6_source_mix"](spark, str(tmp_path)).collect()
+    check(rows, plan, 0.01)
+    again = queries.QUERIES["op6_source_mix"](spark, str(tmp_path)).collect()
+    assert sorted(plan) == sorted(again)
+
+
+def test_awkward_rows(spark, tmp_path):
+    schema = T.StructType([*SIZES.fields[:2], T.StructField("text", T.StringType()), T.StructField("copies", T.StringType())])
+    rows = [(1, "a", "x y", "own"), (1, "a", "x y", "own"), (None, None, "z", None), (2, None, None, ""), (3, "empty", " \n", "")]
+    docs = spark.createDataFrame(rows, schema)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    plan = queries.QUERIES["op6_source_mix"](spark, str(tmp_path)).collect()
+    check([(i, s, len((t or "").split())) for i, s, t, _ in rows], plan, 1)
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns
+    assert mixed.where("doc_id = 1").count() % 2 == 0
+    assert mixing.mix(spark.createDataFrame([], schema)).count() == 0
