@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import html, mixing, pieces, quality, secrets, tokens
+from skyledger.llm import html, mixing, pieces, quality, secrets, tokens, warc
 from skyledger.llm.common import WORD, scratch, scratch_path, stored, table
 
 #: The vocabulary the queries use; any path that all executors have may be passed to the operators.
@@ -102,3 +102,34 @@ def op6_source_mix(spark, folder):
     each = plan.withColumn("_row", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
     taken = (F.col("size") * F.col("copies")).cast("bigint").alias("taken")
     return each.select("doc_id", "source", "size", "source_size", "target", taken, "copies")
+
+
+ORACLES["op4_warc"] = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) || '0' AS h,
+         max(page_id) OVER (PARTITION BY coalesce(html, '')) AS largest
+  FROM pages
+)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         (((('0x' || substr(h, ((5 * i) // 4 + 1)::INT, 2))::INT >> (3 - (5 * i) % 4)::INT) & 31) + 1)::INT, 1)), '')
+         AS payload_digest,
+       CASE WHEN page_id < largest THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < largest THEN largest END AS refers_to
+FROM p
+"""
+
+
+@query
+def op4_warc(spark, folder):
+    path = scratch_path(spark, "archives")
+    warc.write_pages(table(spark, folder, "pages"), path)
+    columns = ["record_id", "record_type", "payload_digest", "refers_to", "payload_bytes"]
+    records = warc.read_warc(spark, path, columns, verify=True)
+    return records.select(
+        warc.page_number("record_id").alias("page_id"),
+        "payload_bytes",
+        F.substring_index("payload_digest", ":", -1).alias("payload_digest"),
+        "record_type",
+        warc.page_number("refers_to").alias("refers_to"),
+    )

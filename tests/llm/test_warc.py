@@ -1,0 +1,104 @@
+"""Archives: a round trip, foreign files, pushed predicates and payloads that stay packed."""
+
+import gzip
+
+import pytest
+from pyspark.sql import types as T
+
+from skyledger.llm import queries, warc
+
+SCHEMA = T.StructType(
+    [
+        T.StructField("page_id", T.LongType()),
+        T.StructField("url", T.StringType()),
+        T.StructField("html", T.StringType()),
+        T.StructField("payload", T.StringType()),
+    ]
+)
+PAGES = [
+    (1, "http://a/x", "same", "own"),
+    (2, "http://a/y\r\nWARC-Type: no", "same", None),
+    (9, None, "same", None),
+    (3, "http://b/é", "", None),
+    (4, "http://b/", None, None),
+    (5, "http://c/", "long é " * 50_000, None),
+    (6, "http://d/", "\r\n\r\nWARC/1.1\r\n\r\n", None),
+    (None, "http://d/", "no number", None),
+    (7, "u", "twice", None),
+    (7, "u", "twice", None),
+]
+
+
+def by_id(rows):
+    return {r.page_id: r for r in rows}
+
+
+def test_round_trip(spark, tmp_path):
+    df = spark.createDataFrame(PAGES, SCHEMA)
+    df.write.parquet(f"{tmp_path}/pages.parquet")
+    rows = queries.QUERIES["op4_warc"](spark, str(tmp_path)).collect()
+    assert len(rows) == len(PAGES)
+    got = by_id(rows)
+    for number, _, html, _ in PAGES:
+        payload = (html or "").encode()
+        assert (got[number].payload_bytes, got[number].payload_digest) == (len(payload), warc.base32_sha1(payload))
+    refers = {k: r.refers_to for k, r in got.items()}
+    assert refers == {1: 9, 2: 9, 9: None, 3: 4, 4: None, 5: None, 6: None, None: None, 7: None}
+    assert all(r.record_type == ("response" if r.refers_to is None else "revisit") for r in rows)
+
+
+def test_smaller_payloads_are_kept_whole(spark, tmp_path):
+    warc.write_pages(spark.createDataFrame(PAGES, SCHEMA), f"{tmp_path}/w", least=5)
+    records = warc.read_warc(spark, f"{tmp_path}/w")
+    assert records.where("record_type = 'revisit'").count() == 0
+    texts = {r.target_uri: bytes(r.payload).decode() for r in records.collect()}
+    assert set(texts) == {"http://a/x", "http://a/y%0D%0AWARC-Type:%20no", None, "http://b/é", "http://b/", "http://c/", "http://d/", "u"}
+    assert texts["http://c/"] == PAGES[5][2] and texts["http://d/"] in (PAGES[6][2], "no number")
+    assert texts["http://a/y%0D%0AWARC-Type:%20no"] == "same"
+
+
+def test_empty_table_and_folder(spark, tmp_path):
+    warc.write_pages(spark.createDataFrame([], SCHEMA), f"{tmp_path}/none")
+    assert warc.read_warc(spark, f"{tmp_path}/none").count() == 0
+
+
+def members(*records, extra=True):
+    return b"".join(warc.member(r) if extra else gzip.compress(r) for r in records)
+
+
+def plain(kind, number, body):
+    head = f"WARC/1.1\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:page:{number}>\r\nX-Long: a\r\n b\r\nContent-Length: {len(body)}\r\n\r\n"
+    return head.encode() + body + b"\r\n\r\n"
+
+
+@pytest.mark.parametrize("name", ["own.warc.gz", "foreign.warc.gz", "plain.warc"])
+def test_foreign_files(spark, tmp_path, name):
+    records = [plain("resource", i, b"\r\n\r\n" * i + bytes(range(256)) * 40 * i) for i in range(4)]
+    data = b"".join(records) if name == "plain.warc" else members(*records, extra=name.startswith("own"))
+    (tmp_path / name).write_bytes(data)
+    (tmp_path / "note.txt").write_text("not an archive")
+    rows = warc.read_warc(spark, str(tmp_path)).orderBy("record_id").collect()
+    assert [bytes(r.payload) for r in rows] == [b"\r\n\r\n" * i + bytes(range(256)) * 40 * i for i in range(4)]
+    assert all(r.headers["x-long"] == "a b" for r in rows)
+
+
+def test_predicates_go_down_and_payloads_are_skipped(spark, tmp_path):
+    record = warc.record("response", 1, "http://a/", "d", b"x" * 500_000, "D", 500_000, None)
+    broken = bytearray(warc.member(plain("resource", 2, bytes(range(256)) * 4000)))
+    broken[-3000:-2000] = b"\xff" * 1000
+    (tmp_path / "a.warc.gz").write_bytes(record + bytes(broken) + record)
+    heads = warc.read_warc(spark, str(tmp_path), ["record_id", "record_type", "payload_bytes"])
+    assert [r.payload_bytes for r in heads.collect()] == [500_000, 1_024_000, 500_000]
+    tests = {"record_type": ["response", "request"], "target_uri": "http://a*"}
+    whole = warc.read_warc(spark, str(tmp_path), tests=tests)
+    assert [len(r.payload) for r in whole.collect()] == [500_000] * 2
+    both = warc.read_warc(spark, str(tmp_path), ["record_type"], {"record_type": ["resource"]}).union(whole.select("record_type"))
+    assert sorted(r.record_type for r in both.collect()) == ["resource", "response", "response"]
+    with pytest.raises(Exception, match="digest|Digest"):
+        warc.read_warc(spark, str(tmp_path), ["record_id"], verify=True).collect()
+
+
+def test_refused_tests(spark):
+    for tests in ({"payload_bytes": ["3"]}, {"target_uri": "http://a"}):
+        with pytest.raises(ValueError, match="no test"):
+            warc.read_warc(spark, "x", tests=tests)
