@@ -17,7 +17,7 @@ SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Bytes of text that numpy code handles at once; a longer text is handled alone.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 #: Rows that Python objects are made of at once.
 ROWS = 256
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import html, mixing, pieces, quality, secrets, tokens, warc
+from skyledger.llm import html, mixing, pieces, quality, secrets, syncmers, tokens, warc
 from skyledger.llm.common import WORD, scratch, scratch_path, stored, table
 
 #: The vocabulary the queries use; any path that all executors have may be passed to the operators.
@@ -133,3 +133,8 @@ def op4_warc(spark, folder):
         "record_type",
         warc.page_number("refers_to").alias("refers_to"),
     )
+
+
+@query
+def op8_fingerprints(spark, folder):
+    return syncmers.compare_with_edits(table(spark, folder, "documents").select("doc_id", "text"))

@@ -1,0 +1,92 @@
+"""Fingerprints against a plain search of closed syncmers."""
+
+import hashlib
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import types as T
+
+from skyledger.llm import queries, syncmers
+from skyledger.llm.common import mix
+
+RNG = random.Random(8)
+TEXTS = ["", None, "a", "short text", "é" * 30, "x" * 500] + [
+    "".join(RNG.choices("abcdé 漢\n", k=RNG.randrange(20, 3000))) for _ in range(12)
+]
+
+
+def plain(text):
+    """Anchors as (position, k-mer) by the definition."""
+    data = text.encode()
+    rank = lambda w: int(mix(np.frombuffer(w, "<u8"))[0])
+    found = []
+    for i in range(len(data) - syncmers.K + 1):
+        inner = [rank(data[j : j + 8]) for j in range(i, i + syncmers.K - 7)]
+        if min(inner) in (inner[0], inner[-1]):
+            found.append((i, data[i : i + syncmers.K]))
+    return found
+
+
+def test_words_and_minima():
+    data = np.frombuffer(bytes(range(1, 40)), np.uint8)
+    words = syncmers.words_at(data)
+    assert all(int(words[i]) == int.from_bytes(bytes(data[i : i + 8]), "little") for i in range(39))
+    values = np.array([5, 3, 9, 1, 7, 7, 2])
+    for width in range(1, 8):
+        assert list(syncmers.sliding_min(values, width)) == [min(values[i : i + width]) for i in range(8 - width)]
+
+
+def test_anchors_are_closed_syncmers():
+    texts = [t or "" for t in TEXTS]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    bounds = np.cumsum([0, *(len(t.encode()) for t in texts)])
+    text, at, hashes = syncmers.anchors(data, bounds)
+    got = [(int(i), int(p)) for i, p in zip(text, at)]
+    kmers = [(i, p, k) for i, t in enumerate(texts) for p, k in plain(t)]
+    assert got == [(i, p) for i, p, _ in kmers]
+    by_kmer = {}
+    for h, (_, _, k) in zip(hashes, kmers):
+        assert by_kmer.setdefault(k, h) == h
+
+
+def test_likeness():
+    a, b = (np.array(x, np.uint32) for x in ([1, 2, 3], [2, 3, 4]))
+    assert syncmers.likeness(a, b) == 0.5 and syncmers.likeness(a, a) == 1
+    none = np.zeros(0, np.uint32)
+    assert syncmers.likeness(none, none) == 1 and syncmers.likeness(a, none) == 0
+
+
+def expected(rows):
+    distinct = sorted(dict.fromkeys((i, t or "") for i, t in rows), key=lambda r: -r[0])
+    sketch = lambda t: syncmers.sketches(pa.array([t]))[0]
+    for k, (i, text) in enumerate(distinct):
+        after = distinct[(k + 1) % len(distinct)][1]
+        edited = text[: len(text) - len(text) // 2] + after[: len(text) // 2]
+        own, changed, other = map(sketch, (text, edited, after))
+        yield (
+            i, len(text), hashlib.sha256(edited.encode()).hexdigest(), syncmers.written(own), syncmers.written(changed),
+            syncmers.likeness(own, changed), syncmers.likeness(own, other),
+        )
+
+
+@pytest.mark.parametrize("n", [1, len(TEXTS)])
+def test_query(spark, tmp_path, n):
+    rows = [(7 * i - 20, t) for i, t in enumerate(TEXTS)][-n:]
+    schema = "doc_id bigint, text string"
+    spark.createDataFrame(rows + rows[:1], schema).repartition(5).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.QUERIES["op8_fingerprints"](spark, str(tmp_path)).collect()
+    assert len(got) == len(rows) + 1
+    assert sorted({tuple(r) for r in got}) == sorted(expected(rows))
+
+
+def test_frames(spark):
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("text", "fingerprint", "h")])
+    out = syncmers.fingerprints(spark.createDataFrame([(t, "own", "own") for t in TEXTS], schema))
+    assert out.columns == ["h", "fingerprint"] and out.where("fingerprint = ''").count() == 2
+    assert syncmers.fingerprints(spark.createDataFrame([], schema)).count() == 0
+    empty = spark.createDataFrame([], "doc_id bigint, text string")
+    assert syncmers.compare_with_edits(empty).count() == 0
+    nulls = spark.createDataFrame([(None, "a b"), (None, None), (3, "c")], "doc_id bigint, text string")
+    assert syncmers.compare_with_edits(nulls).count() == 3
