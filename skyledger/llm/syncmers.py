@@ -146,7 +146,8 @@ def compare_with_edits(docs: DataFrame) -> DataFrame:
             columns = [batch.column("p_id"), batch.column("p_h"), pa.array(heads, pa.string()), pa.array(made, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["id", "h", "head", "next"])
 
-    heads = texts.select("text", "p_id", "p_h", "p_n").mapInArrow(send, "id bigint, h bigint, head string, next string")
+    # With the columns that the other side takes from the same rows too, so that one shuffle of texts serves both.
+    heads = texts.select("doc_id", "text", "p_id", "p_h", "p_n").mapInArrow(send, "id bigint, h bigint, head string, next string")
     both = texts.join(heads.dropDuplicates(["id", "h"]), ["id", "h"]).select("doc_id", "text", "head", "next")
 
     def judge(batches):
