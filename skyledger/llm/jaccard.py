@@ -431,13 +431,10 @@ def _labelled(rows: DataFrame, sets: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def keep_one(df: DataFrame) -> DataFrame:
-    """The rows whose doc_id is the smallest of their component, one row for each doc_id and text; columns stay.
+    """The rows of `df` but those whose doc_id is not the smallest of their component; columns stay.
 
-    Of rows that repeat a doc_id with a linked text one stays; rows without shingles all stay, as do rows
-    without an id that are linked with no row that has one.
+    Rows without shingles stay, as do rows without an id. Rows that repeat an id and a text stay or go together.
     """
     found = near_duplicates(df.select("doc_id", "text"))
-    gone = found.where("component_id < doc_id OR (doc_id IS NULL AND component_id IS NOT NULL)").select("doc_id").distinct()
-    gone = gone.select(F.col("doc_id").alias("_j_id"))
-    kept = df.join(gone, df["doc_id"].eqNullSafe(gone["_j_id"]), "left_anti")
-    return kept.select(df.columns)
+    gone = found.where("component_id < doc_id").select("doc_id")
+    return df.join(gone, "doc_id", "left_anti").select(df.columns)
