@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import html, jaccard, mixing, pieces, quality, secrets, syncmers, tokens, warc
+from skyledger.llm import html, jaccard, mixing, pieces, quality, secrets, suffixes, syncmers, tokens, warc
 from skyledger.llm.common import WORD, scratch, scratch_path, stored, table
 
 #: The vocabulary the queries use; any path that all executors have may be passed to the operators.
@@ -143,3 +143,8 @@ def op8_fingerprints(spark, folder):
 @query
 def op7_jaccard_join(spark, folder):
     return jaccard.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query
+def op3_repeated_passages(spark, folder):
+    return suffixes.repeated_passages(table(spark, folder, "documents").select("doc_id", "text"))
