@@ -27,7 +27,7 @@ from skyledger.llm.graph import components
 SHINGLE = 5
 #: Similarity at least PART / WHOLE.
 PART, WHOLE = 80, 100
-GROUPS, LEAF = 32, 32
+GROUPS, LEAF = 128, 32
 #: Counters of the rarity table: 2 ** COUNTER_BITS, in CHUNKS parts.
 COUNTER_BITS, CHUNKS = 21, 64
 _BASE = np.uint64(0x9E3779B97F4A7C15)
