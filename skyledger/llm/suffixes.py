@@ -8,9 +8,10 @@ smallest identifier is an anchor, and neighbouring windows with one anchor form
 on the window alone, so equal windows have equal anchors at equal places.
 
 1. Runs meet in the bucket of their anchor and are refined by the identifier of all of the run's bytes.
-   A run equal to one of a smaller id is removed. A bucket of one document is done.
-2. First runs that share their anchor with other documents may agree with these in part. Their windows
-   are refined to LENGTH bytes and meet once more; a window that a smaller id has is removed.
+   A run equal to one of a smaller id is removed. Of first runs the anchor's bucket is refined by the 2 Q
+   bytes from the anchor on and by those that end with it. Each window holds one of these two, so windows
+   for which that bucket has one document are done.
+2. The windows left are refined to LENGTH bytes and meet once more; one that a smaller id has is removed.
 
 Tasks resolve what they hold first and send one document for each identifier, so that a passage which
 very many documents share is a row for each task.
@@ -35,8 +36,11 @@ LENGTH, Q = 50, 16
 FLUSH, CROWD = 1_500_000, 256
 _A, _B, _C, _D = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93))
 
-#: Columns of the runs and windows that are sent, and the bytes that each keeps.
-RUN = {"anchor": ("<u8", 8), "whole": ("<u8", 8), "id": ("<i8", 8), "h": ("<i4", 4), "at": ("<u4", 4), "more": ("<u1", 1)}
+#: Columns of the runs and windows that are sent, and the low bytes of each that are kept.
+RUN = {
+    "anchor": ("<u8", 6), "whole": ("<u8", 6), "right": ("<u1", 1), "left": ("<u1", 1), "id": ("<i8", 8), "h": ("<i4", 4),
+    "at": ("<u4", 4), "more": ("<u1", 1), "lead": ("<u1", 1),
+}
 WINDOW = {"window": ("<u8", 8), "check": ("<u4", 4), "id": ("<i8", 8), "h": ("<i4", 4), "at": ("<u4", 4)}
 BLOCK = "bucket int, rows int, block binary, id bigint, h int, gone binary, open binary"
 
@@ -52,11 +56,17 @@ def identifiers(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def runs(data: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
-    """Text number, first window, further windows, anchor and whole identifier of each run of the texts."""
+    """Text number, first window, further windows, lead and identifiers of each run of the texts.
+
+    `lead` is how far the anchor is behind the first window; `right` and `left` are of the 2 Q bytes from the
+    anchor on and to its end. They cross the bounds of the text only where no window of the run holds them.
+    """
     if len(data) < LENGTH:
         none = np.zeros(0, np.int64)
-        return {"text": none, "at": none, "more": none, "anchor": none.astype(np.uint64), "whole": none.astype(np.uint64)}
-    short, _, full = identifiers(data)
+        return {n: none for n in ("text", "at", "more", "lead")} | {
+            n: none.astype(np.uint64) for n in ("anchor", "whole", "right", "left")
+        }
+    short, double, full = identifiers(data)
     # The position in the low bits makes the leftmost of equal identifiers the smallest.
     mask = np.uint64((1 << max(20, len(data).bit_length())) - 1)
     ranked = (short & ~mask) | np.arange(len(short), dtype=np.uint64)
@@ -75,15 +85,22 @@ def runs(data: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
         "text": text,
         "at": first - bounds[text],
         "more": last - first,
-        "anchor": short[at],
+        "lead": at - first,
+        "anchor": short[at] >> np.uint64(16),
         # Two windows less than LENGTH apart hold all bytes between them.
-        "whole": mix(full[first] * _A + full[last] * _B + shape * _D) | np.uint64(1),
+        "whole": (mix(full[first] * _A + full[last] * _B + shape * _D) >> np.uint64(16)) | np.uint64(1),
+        "right": double[np.minimum(at, len(double) - 1)] >> np.uint64(56),
+        "left": double[np.clip(at - Q, 0, len(double) - 1)] >> np.uint64(56),
     }
 
 
+def _bytes(values: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize)
+
+
 def packed(rows: dict[str, np.ndarray], kinds: dict) -> bytes:
     """Rows as columns, byte plane by byte plane, so that what is sorted or small packs well."""
-    planes = [np.ascontiguousarray(rows[n].astype(t).view(np.uint8).reshape(-1, w).T).tobytes() for n, (t, w) in kinds.items()]
+    planes = [np.ascontiguousarray(_bytes(rows[n].astype(t))[:, :w].T).tobytes() for n, (t, w) in kinds.items()]
     return pa.compress(b"".join(planes), "zstd", asbytes=True)
 
 
@@ -95,7 +112,9 @@ def unpacked(blocks: pa.ChunkedArray, counts: pa.ChunkedArray, kinds: dict) -> d
         n, low = count.as_py(), 0
         data = np.frombuffer(pa.decompress(block.as_buffer(), n * width, "zstd"), np.uint8)
         for name, (kind, w) in kinds.items():
-            found[name].append(np.ascontiguousarray(data[low : low + n * w].reshape(w, n).T).view(kind).ravel())
+            values = np.zeros(n, kind)
+            _bytes(values)[:, :w] = data[low : low + n * w].reshape(w, n).T
+            found[name].append(values)
             low += n * w
     return {n: np.concatenate(x) for n, x in found.items()}
 
@@ -149,8 +168,8 @@ def answers(
 
 def blocks(rows: dict[str, np.ndarray], key: str, kinds: dict, buckets: int) -> Iterator[pa.RecordBatch]:
     """A block of rows for each bucket of the key."""
-    bucket = ((rows[key] >> np.uint64(40)) % np.uint64(buckets)).astype(np.int32)
-    order = np.lexsort((rows[key], bucket))
+    bucket = ((rows[key] >> np.uint64(8)) % np.uint64(buckets)).astype(np.int32)
+    order = np.lexsort((rows["at"], rows["h"], rows["id"], bucket))
     rows, bucket = taken(rows, order), bucket[order]
     edges = np.searchsorted(bucket, np.arange(buckets + 1))
     for b in np.flatnonzero(np.diff(edges)):
@@ -180,17 +199,33 @@ def sent_runs(rows: dict[str, np.ndarray], buckets: int) -> Iterator[pa.RecordBa
 
 
 def met_runs(rows: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """Resolve a bucket: runs equal to one of a smaller id go, and first ones stay open if another document has their anchor."""
+    """Resolve a bucket: runs equal to one of a smaller id go; of first ones some windows may stay open."""
     rows, first = firsts(rows, ["anchor", "whole"])
+    gone, rows = taken(rows, ~first & (rows["whole"] != 0)), taken(rows, first)
     group = groups(rows["anchor"])
-    n = group[-1] + 1 if len(group) else 0
-    low, high, marked = np.full(n, np.iinfo(np.int64).max), np.full(n, np.iinfo(np.int64).min), np.zeros(n, bool)
-    np.minimum.at(low, group, rows["id"])
-    np.maximum.at(high, group, rows["id"])
-    real = rows["whole"] != 0
-    marked[group[~real]] = True
-    mixed = ((low != high) | marked)[group]
-    yield from answers(taken(rows, real & ~first), taken(rows, real & first & mixed))
+    marked = np.zeros(group[-1] + 1 if len(group) else 0, bool)
+    marked[group[rows["whole"] == 0]] = True
+    right, left = (shared(group, rows[n], rows["id"]) | marked[group] for n in ("right", "left"))
+    lead, more = rows["lead"].astype(np.int64), rows["more"].astype(np.int64)
+    # A window that begins k behind the first one holds the bytes to the right if lead - k <= LENGTH - 2 * Q,
+    # and those to the left if lead - k >= Q; where it holds both, both are needed.
+    low = np.where(left, 0, np.maximum(0, lead - Q + 1))
+    high = np.where(right, more, np.minimum(more, lead - (LENGTH - 2 * Q) - 1))
+    opened = (right | left) & (low <= high) & (rows["whole"] != 0)
+    left_open = {"id": rows["id"], "h": rows["h"], "at": rows["at"].astype(np.int64) + low, "more": high - low}
+    yield from answers(gone, taken(left_open, opened))
+
+
+def shared(group: np.ndarray, value: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Whether another id has the same group and value."""
+    order = np.lexsort((ids, value, group))
+    part = groups(group[order], value[order])
+    ids = ids[order]
+    edges = np.append(np.flatnonzero(np.append(True, np.diff(part) > 0)), len(ids)) if len(ids) else np.zeros(1, np.int64)
+    several = ids[edges[:-1]] != ids[edges[1:] - 1]
+    out = np.zeros(len(ids), bool)
+    out[order] = several[part] if len(ids) else False
+    return out
 
 
 def sent_windows(rows: dict[str, np.ndarray], buckets: int) -> Iterator[pa.RecordBatch]:
