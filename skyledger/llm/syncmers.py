@@ -14,6 +14,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -141,23 +142,27 @@ def compare_with_edits(docs: DataFrame) -> DataFrame:
 
     def send(batches):
         for batch in batches:
-            made = [written(s) for s in sketches(batch.column("text"))]
-            heads = [t[: n // 2] for t, n in zip(batch.column("text").to_pylist(), batch.column("p_n").to_pylist())]
-            columns = [batch.column("p_id"), batch.column("p_h"), pa.array(heads, pa.string()), pa.array(made, pa.string())]
+            made = [s.tobytes() for s in sketches(batch.column("text"))]
+            pack = zstandard.ZstdCompressor(9).compress
+            texts = zip(batch.column("text").to_pylist(), batch.column("p_n").to_pylist())
+            heads = [pack(t[: n // 2].encode()) for t, n in texts]
+            columns = [batch.column("p_id"), batch.column("p_h"), pa.array(heads, pa.binary()), pa.array(made, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["id", "h", "head", "next"])
 
     # With the columns that the other side takes from the same rows too, so that one shuffle of texts serves both.
-    heads = texts.select("doc_id", "text", "p_id", "p_h", "p_n").mapInArrow(send, "id bigint, h bigint, head string, next string")
+    heads = texts.select("doc_id", "text", "p_id", "p_h", "p_n").mapInArrow(send, "id bigint, h bigint, head binary, next binary")
     both = texts.join(heads.dropDuplicates(["id", "h"]), ["id", "h"]).select("doc_id", "text", "head", "next")
 
     def judge(batches):
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
                 part = batch.slice(low, 256)
                 texts = part.column("text").to_pylist()
-                edited = [t[: len(t) - len(t) // 2] + head for t, head in zip(texts, part.column("head").to_pylist())]
+                heads = [unpack(x).decode() for x in part.column("head").to_pylist()]
+                edited = [t[: len(t) - len(t) // 2] + head for t, head in zip(texts, heads)]
                 own, changed = sketches(part.column("text")), sketches(pa.array(edited, pa.string()))
-                after = [np.frombuffer(bytes.fromhex(x), ">u4").astype(np.uint32) for x in part.column("next").to_pylist()]
+                after = [np.frombuffer(x, np.uint32) for x in part.column("next").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
