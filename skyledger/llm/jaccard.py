@@ -1,7 +1,7 @@
 """Near-duplicate documents: an exact join of shingle sets at a Jaccard similarity of 0.8 or more.
 
-Sets that are equal become one node first. The counts of a set's shingles in GROUPS hashed groups are a
-point; the overlap of two sets is at most the sum of the smaller coordinates, which bounds whole boxes of
+Sets that are equal become one node first. The counts of a set's shingles in hashed groups, GROUPS or
+more, are a point; the overlap of two sets is at most the sum of the smaller coordinates, which bounds whole boxes of
 points too. One tree over all points would compare nearly every pair of boxes, as counts of unrelated
 texts of one length differ little, so there is a forest: a key's points have a tree of their own. Keys are
 a set's rarest shingles, as many as two sets at the threshold cannot all differ in, and decide nothing but
@@ -103,11 +103,24 @@ def nodes_of(sigs: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(s[:8] or bytes(8) for s in sigs), "<i8")
 
 
-def points(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Counts of each set's shingles in the groups."""
-    owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    flat = np.bincount(owner * GROUPS + (hashes % GROUPS).astype(int), minlength=(len(bounds) - 1) * GROUPS)
-    return flat.reshape(-1, GROUPS).astype(np.uint32)
+def points(hashes: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """Counts of each set's shingles in hashed groups, a byte each.
+
+    There are GROUPS groups, or the power of two from a quarter of the set's size on, so that counts of
+    unrelated sets differ enough at any size; more where a count would not fit a byte.
+    """
+    out = []
+    for low, high in zip(bounds[:-1], bounds[1:]):
+        n = max(GROUPS, 1 << max(0, int(high - low - 1) // 4).bit_length())
+        while (held := np.bincount((hashes[low:high] % np.uint64(n)).astype(np.int64), minlength=n)).max() > 255:
+            n *= 2
+        out.append(held.astype(np.uint8).tobytes())
+    return out
+
+
+def folded(point: bytes, n: int) -> np.ndarray:
+    """The counts of a point in `n` groups, which divide its own."""
+    return np.frombuffer(point, np.uint8).reshape(-1, n).sum(0, dtype=np.int64)
 
 
 def profile(docs: DataFrame) -> DataFrame:
@@ -125,8 +138,7 @@ def profile(docs: DataFrame) -> DataFrame:
                 counted = hashes[np.repeat(fresh, n)] >> np.uint64(64 - COUNTER_BITS)
                 np.add.at(counters, counted.astype(int), 1)
                 part = batch.slice(low, len(n))
-                held = [p.tobytes() for p in points(hashes, bounds)]
-                yield rows(part, n, sigs, held)
+                yield rows(part, n, sigs, points(hashes, bounds))
         parts = counters.reshape(CHUNKS, -1)
         if seen:
             yield pa.RecordBatch.from_pydict(
@@ -344,7 +356,7 @@ def near_duplicates(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     held = sets.select("node", "point")
     first = stored(verified(_bounded(_stars(lists), held), texts), "links")
     known = stored(components(first), "components")
-    rest = stored(verified(_across(lists, known, held), texts), "links")
+    rest = stored(verified(_bounded(_across(lists, known, held), held), texts), "links")
     every = stored(components(first.union(rest)), "components")
     return _labelled(rows, sets, every)
 
@@ -390,10 +402,11 @@ def _bounded(pairs: DataFrame, held: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            p, q = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, GROUPS) for c in ("p", "q")
-            )
-            yield batch.select(["a", "b"]).filter(pa.array(may_link(p, q)))
+            links = []
+            for p, q in zip(batch.column("p").to_pylist(), batch.column("q").to_pylist()):
+                n = min(len(p), len(q))
+                links.append(bool(may_link(folded(p, n), folded(q, n))))
+            yield batch.select(["a", "b"]).filter(pa.array(links, pa.bool_()))
 
     return both.mapInArrow(run, "a bigint, b bigint")
 
@@ -411,7 +424,7 @@ def _across(lists: DataFrame, known: DataFrame, held: DataFrame) -> DataFrame:
             for members in batch.column("rows"):
                 rows = members.values
                 node, component = (rows.field(c).to_numpy() for c in ("node", "component"))
-                p = np.frombuffer(b"".join(rows.field("point").to_pylist()), np.uint32).reshape(-1, GROUPS).astype(np.int64)
+                p = np.stack([folded(x, GROUPS) for x in rows.field("point").to_pylist()])
                 for x, y in Tree(p).pairs():
                     apart = component[x] != component[y]
                     a, b = node[x[apart]], node[y[apart]]

@@ -91,6 +91,17 @@ def test_tree_finds_all_pairs_that_may_link():
     assert list(jaccard.Tree(held[:1]).pairs()) == [] or all(len(x) == 0 for x, _ in jaccard.Tree(held[:1]).pairs())
 
 
+def test_points_bound_the_overlap():
+    rng = np.random.default_rng(7)
+    for n in (0, 1, 5, 500, 6000):
+        a = np.unique(rng.integers(0, 2**63, n, np.uint64))
+        b = np.unique(np.concatenate([a[: n - n // 9], rng.integers(0, 2**63, n // 20, np.uint64)]))
+        p, q = (jaccard.points(x, np.array([0, len(x)]))[0] for x in (a, b))
+        assert len(p) >= max(jaccard.GROUPS, n / 4) and jaccard.folded(p, jaccard.GROUPS).sum() == len(a)
+        m = min(len(p), len(q))
+        assert np.minimum(jaccard.folded(p, m), jaccard.folded(q, m)).sum() >= len(np.intersect1d(a, b))
+
+
 def test_rarity_order_decides_no_link():
     """Any classes give two linked sets a key in common."""
     rng = np.random.default_rng(5)
