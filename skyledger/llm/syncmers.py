@@ -130,7 +130,7 @@ def compare_with_edits(docs: DataFrame) -> DataFrame:
     Edited: the last floor(n / 2) code points are replaced by the first as many (or all) of the text of the
     document with the next smaller doc_id, after the smallest that of the largest. Ids come before null;
     texts with one id follow the order of their hashes, and equal rows count as one document and have equal
-    results. Texts move once, their heads once more.
+    results. Texts move once, their heads once more, both packed.
     """
     content = F.coalesce(F.col("text"), F.lit(""))
     lowest = F.lit(-(2**63)).cast("bigint")
@@ -138,30 +138,38 @@ def compare_with_edits(docs: DataFrame) -> DataFrame:
         {"id": F.coalesce(F.col("doc_id"), lowest), "h": F.xxhash64(F.col("doc_id").isNull(), "text"), "n": F.length("text")}
     )
     links = stored(followers(rows.select("id", "h", "n").distinct()), "followers")
-    texts = rows.drop("n").join(links, ["id", "h"])
+
+    def shrink(batches):
+        pack = zstandard.ZstdCompressor(9).compress
+        for batch in batches:
+            column = pa.array([pack(t.encode()) for t in batch.column("text").to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "id", "h")), column], ["doc_id", "id", "h", "packed"])
+
+    small = rows.select("doc_id", "id", "h", "text").mapInArrow(shrink, "doc_id bigint, id bigint, h bigint, packed binary")
+    texts = small.join(links, ["id", "h"])
 
     def send(batches):
+        pack, unpack = zstandard.ZstdCompressor(9).compress, zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            made = [s.tobytes() for s in sketches(batch.column("text"))]
-            pack = zstandard.ZstdCompressor(9).compress
-            texts = zip(batch.column("text").to_pylist(), batch.column("p_n").to_pylist())
-            heads = [pack(t[: n // 2].encode()) for t, n in texts]
+            texts = [unpack(x).decode() for x in batch.column("packed").to_pylist()]
+            made = [s.tobytes() for s in sketches(pa.array(texts, pa.string()))]
+            heads = [pack(t[: n // 2].encode()) for t, n in zip(texts, batch.column("p_n").to_pylist())]
             columns = [batch.column("p_id"), batch.column("p_h"), pa.array(heads, pa.binary()), pa.array(made, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["id", "h", "head", "next"])
 
     # With the columns that the other side takes from the same rows too, so that one shuffle of texts serves both.
-    heads = texts.select("doc_id", "text", "p_id", "p_h", "p_n").mapInArrow(send, "id bigint, h bigint, head binary, next binary")
-    both = texts.join(heads.dropDuplicates(["id", "h"]), ["id", "h"]).select("doc_id", "text", "head", "next")
+    heads = texts.select("doc_id", "packed", "p_id", "p_h", "p_n").mapInArrow(send, "id bigint, h bigint, head binary, next binary")
+    both = texts.join(heads.dropDuplicates(["id", "h"]), ["id", "h"]).select("doc_id", "packed", "head", "next")
 
     def judge(batches):
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
                 part = batch.slice(low, 256)
-                texts = part.column("text").to_pylist()
+                texts = [unpack(x).decode() for x in part.column("packed").to_pylist()]
                 heads = [unpack(x).decode() for x in part.column("head").to_pylist()]
                 edited = [t[: len(t) - len(t) // 2] + head for t, head in zip(texts, heads)]
-                own, changed = sketches(part.column("text")), sketches(pa.array(edited, pa.string()))
+                own, changed = sketches(pa.array(texts, pa.string())), sketches(pa.array(edited, pa.string()))
                 after = [np.frombuffer(x, np.uint32) for x in part.column("next").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [
