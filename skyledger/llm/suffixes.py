@@ -62,10 +62,7 @@ def runs(data: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
     anchor on and to its end. They cross the bounds of the text only where no window of the run holds them.
     """
     if len(data) < LENGTH:
-        none = np.zeros(0, np.int64)
-        return {n: none for n in ("text", "at", "more", "lead")} | {
-            n: none.astype(np.uint64) for n in ("anchor", "whole", "right", "left")
-        }
+        return {n: np.zeros(0, np.int64 if n == "text" else RUN[n][0]) for n in ("text", *RUN) if n not in ("id", "h")}
     short, double, full = identifiers(data)
     # The position in the low bits makes the leftmost of equal identifiers the smallest.
     mask = np.uint64((1 << max(20, len(data).bit_length())) - 1)
@@ -81,8 +78,7 @@ def runs(data: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
     at = anchor[first].astype(np.int64)
     shape = ((at - first) * 64 + (last - first)).astype(np.uint64)
     text = np.searchsorted(bounds, first, "right") - 1
-    return {
-        "text": text,
+    found = {
         "at": first - bounds[text],
         "more": last - first,
         "lead": at - first,
@@ -92,6 +88,7 @@ def runs(data: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
         "right": double[np.minimum(at, len(double) - 1)] >> np.uint64(56),
         "left": double[np.clip(at - Q, 0, len(double) - 1)] >> np.uint64(56),
     }
+    return {"text": text} | {n: x.astype(RUN[n][0]) for n, x in found.items()}
 
 
 def _bytes(values: np.ndarray) -> np.ndarray:
@@ -302,7 +299,9 @@ def window_rows(batch: pa.RecordBatch) -> Iterator[dict]:
         at = first + np.arange(len(first)) - np.repeat(np.cumsum(n) - n, n)
         p = at + bounds[row]
         check = mix(double[p] + double[p + LENGTH - 2 * Q] * _D) >> np.uint64(32)
-        yield {"window": full[p], "check": check.astype(np.uint32), "id": ids[row + low], "h": h[row + low], "at": at}
+        yield {
+            "window": full[p], "check": check.astype(np.uint32), "id": ids[row + low], "h": h[row + low], "at": at.astype(np.uint32)
+        }
 
 
 def spans_of(parts: list[bytes] | None) -> np.ndarray:
