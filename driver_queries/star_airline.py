@@ -336,7 +336,7 @@ def warehouse_cycle(t):
     names = ("dim_aircrafts", "dim_airport", "fct_flight_activity")
     days = _two_days(t, *_PLACES_AND_FLIGHTS, "bookings")
     store = next(days)
-    run_warehouse(store, FIRST_RUN, ZONE, names=names)
+    run_warehouse(store, FIRST_RUN, ZONE, versions="all", passenger_join="natural", names=names)
     next(days)
-    run_warehouse(store, SECOND_RUN, ZONE, names=names)
+    run_warehouse(store, SECOND_RUN, ZONE, versions="all", passenger_join="natural", names=names)
     return _in_seconds(store.read_history("final.fct_flight_activity")).drop("dbt_updated_at")

@@ -31,7 +31,7 @@ def json_document(col: Column, data_type: T.DataType, empty_is_null: bool = Fals
     text = F.to_json(col) if not isinstance(data_type, T.StringType) else col
     text = canonical_json(text)
     if empty_is_null:
-        text = F.when(~text.isin("{}", "[]", '""', "0", "false"), text)
+        text = F.when(~text.isin("{}", "[]", '""', "0", "false", "null"), text)
     return text
 
 

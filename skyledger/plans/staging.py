@@ -163,5 +163,8 @@ def run_staging(
 
 
 def staging_frames(store: Store) -> dict[str, DataFrame]:
-    """The staging tables written so far."""
-    return {name: store.read(f"stg.{name}") for name in TABLES if store.exists(f"stg.{name}")}
+    """All staging tables; one that no load has written yet has no rows."""
+    return {
+        name: store.read(f"stg.{name}") if store.exists(f"stg.{name}") else store.spark.createDataFrame([], table.schema)
+        for name, table in TABLES.items()
+    }

@@ -85,9 +85,9 @@ def run_warehouse(
     store: Store,
     run_ts: dt.datetime,
     zone: str = clock.UTC,
-    versions: str = "all",
+    versions: str = "current",
     truncate: bool = False,
-    passenger_join: str = "natural",
+    passenger_join: str = "surrogate",
     span: tuple[dt.date, dt.date] | None = None,
     names: tuple[str, ...] = tuple(TARGETS),
 ) -> None:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from skyledger.daily import run_day
 from skyledger.operators.quality import RuleBroken
-from skyledger.plans.staging import load_table, run_staging, run_status, upsert_table
+from skyledger.plans.staging import load_table, run_staging, run_status, staging_frames, upsert_table
 from skyledger.plans.warehouse import TARGETS, run_warehouse
 from skyledger.schemas import LOAD_ORDER, TABLES
 from skyledger.session import scratch_path
@@ -37,12 +37,12 @@ def two_days(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("two")
     store, landing = Store(spark, f"{root}/store"), f"{root}/landing"
     first = run_staging(store, frames(spark, with_ids=False).get, landing, "2024-01-15", DAY1)
-    run_warehouse(store, DAY1, passenger_join="surrogate", span=SPAN)
+    run_warehouse(store, DAY1, span=SPAN)
     stamp = dt.datetime(2024, 1, 15, 23, 59, 59)
     day2 = changed("aircrafts_data", "CN1", range=1300, updated_at=stamp)
     day2 = {**day2, "flights": changed("flights", 3, status="Arrived", updated_at=stamp)["flights"]}
     second = run_staging(store, frames(spark, day2, with_ids=False).get, landing, "2024-01-16", DAY2, incremental=True)
-    run_warehouse(store, DAY2, passenger_join="surrogate", versions="current", span=SPAN)
+    run_warehouse(store, DAY2, span=SPAN)
     return store, landing, first, second
 
 
@@ -91,7 +91,9 @@ def test_histories(spark, two_days):
 def test_passenger_repeated_by_natural_key_fails_its_snapshot(spark, two_days):
     store, *_ = two_days
     with pytest.raises(JOB_FAILURE, match="more than one row"):
-        run_warehouse(store, DAY2, span=SPAN, names=("fct_booking_ticket",))
+        run_warehouse(
+            store, DAY2, versions="all", passenger_join="natural", span=SPAN, names=("fct_booking_ticket",)
+        )
 
 
 def test_load_needs_a_successful_extract(spark, two_days):
@@ -204,3 +206,12 @@ def test_scratch_is_the_shared_folder(spark):
     path = scratch_path(spark, "x")
     assert path != scratch_path(spark, "x")
     assert shared is None or path.startswith(shared)
+
+
+def test_a_table_without_any_load_is_empty(spark, tmp_path):
+    given = {n: df for n, df in frames(spark, with_ids=False).items() if n != "boarding_passes"}
+    store = Store(spark, f"{tmp_path}/store")
+    for name, df in given.items():
+        store.write(f"stg.{name}", df)
+    passes = staging_frames(store)["boarding_passes"]
+    assert passes.columns == TABLES["boarding_passes"].schema.names and passes.isEmpty()

@@ -65,6 +65,20 @@ def test_one_file_of_another_program(spark, tmp_path):
     assert row["updated_at"] == dt.datetime(2024, 1, 15, 10, 0, 0, 500000) and "timezone" not in row
 
 
+def test_files_with_other_headers_fail(spark, tmp_path):
+    """Read by position they would exchange the two airports."""
+    (tmp_path / "a.csv").write_text("flight_id,departure_airport,arrival_airport\n1,CGK,DPS\n")
+    (tmp_path / "b.csv").write_text("flight_id,arrival_airport,departure_airport\n2,CGK,DPS\n")
+    with pytest.raises(JOB_FAILURE):
+        read_csv(spark, str(tmp_path), TABLES["flights"].schema).collect()
+
+
+def test_json_null_is_missing_where_a_column_may_be(spark, tmp_path):
+    df = spark.sql("SELECT '1' AS ticket_no, 'null' AS contact_data UNION ALL SELECT '2', '{\"a\":1}'")
+    got = {r.ticket_no: r.contact_data for r in to_landing(df, TABLES["tickets"]).collect()}
+    assert got == {"1": None, "2": '{"a":1}'}
+
+
 def test_unknown_column_and_bad_value_fail(spark, tmp_path):
     (tmp_path / "a.csv").write_text("flight_id,extra\n1,2\n")
     with pytest.raises(ValueError, match="extra"):
