@@ -9,11 +9,13 @@ which points meet; rarity comes from a table of counters of fixed size, and any
 pass the bound are verified on their texts.
 
 Only components are asked for, so pairs that are known to be connected are passed over: the members of a
-key are verified against one of them first, and then, tree by tree, across the components that are left.
+key are verified against one of them first; then, tree by tree, each against one that the bound allows; and
+then all pairs across the components that are left.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -126,7 +128,8 @@ def folded(point: bytes, n: int) -> np.ndarray:
 def profile(docs: DataFrame) -> DataFrame:
     """Of each row of (doc_id, text): n, sig and point, with t and n_chars that tell its text; and the counters.
 
-    Rows of the counters have a chunk and its values in `point`, and no sig. They count each set once per task.
+    Rows of the counters have a chunk and its values, compressed, in `point`, and no sig. They count each set once per
+    task.
     """
 
     def run(batches):
@@ -144,7 +147,7 @@ def profile(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": [None] * CHUNKS, "t": [None] * CHUNKS, "n_chars": [None] * CHUNKS, "n": [0] * CHUNKS,
-                    "sig": [None] * CHUNKS, "node": [None] * CHUNKS, "point": [p.tobytes() for p in parts], "chunk": list(range(CHUNKS)),
+                    "sig": [None] * CHUNKS, "node": [None] * CHUNKS, "point": [zlib.compress(p.tobytes(), 1) for p in parts], "chunk": list(range(CHUNKS)),
                 },
                 kinds,
             )
@@ -174,7 +177,7 @@ def rarity(profiled: DataFrame) -> np.ndarray:
     def add(group: pa.Table) -> pa.Table:
         total = np.zeros((1 << COUNTER_BITS) // CHUNKS, np.uint64)
         for value in group.column("point"):
-            total += np.frombuffer(value.as_buffer(), np.uint32)
+            total += np.frombuffer(zlib.decompress(value.as_buffer()), np.uint32)
         return pa.table({"chunk": group.column("chunk")[:1], "total": pa.array([total.tobytes()], pa.binary())})
 
     parts = profiled.where("chunk IS NOT NULL").select("chunk", "point").groupBy("chunk")
@@ -263,6 +266,22 @@ def may_link(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return WHOLE * most >= PART * (p.sum(-1, dtype=np.int64) + q.sum(-1, dtype=np.int64) - most)
 
 
+def finer(held: list[bytes], x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the pairs (x, y) of points those that may link by as many groups as both points have."""
+    size = np.array([len(p) for p in held])
+    least = np.minimum(size[x], size[y])
+    passed = least == GROUPS
+    for n in np.unique(least[~passed]):
+        rows = np.flatnonzero(least == n)
+        step = max(1, (1 << 22) // n)
+        for k in range(0, len(rows), step):
+            part = rows[k : k + step]
+            own, at = np.unique(np.concatenate([x[part], y[part]]), return_inverse=True)
+            p = np.stack([folded(held[i], n) for i in own]).astype(np.int32)
+            passed[part] = may_link(p[at[: len(part)]], p[at[len(part) :]])
+    return x[passed], y[passed]
+
+
 class Tree:
     """A packed R-tree: points sorted by size and then by coordinates, in leaves of LEAF, boxes over boxes."""
 
@@ -356,8 +375,14 @@ def near_duplicates(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     held = sets.select("node", "point")
     first = stored(verified(_bounded(_stars(lists), held), texts), "links")
     known = stored(components(first), "components")
-    rest = stored(verified(_bounded(_across(lists, known, held), held), texts), "links")
-    every = stored(components(first.union(rest)), "components")
+    nearest = stored(_across(_members(lists), known, held, nearest=True), "nearest")
+    second = stored(verified(nearest.select("a", "b").distinct(), texts), "links")
+    found = first.union(second)
+    known = stored(components(found), "components")
+    open_lists = nearest.where("more").select("list").distinct()
+    rest = _across(_members(lists).join(open_lists, "list", "left_semi"), known, held)
+    third = stored(verified(rest.select("a", "b").distinct(), texts), "links")
+    every = stored(components(found.union(third)), "components")
     return _labelled(rows, sets, every)
 
 
@@ -411,26 +436,46 @@ def _bounded(pairs: DataFrame, held: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a bigint, b bigint")
 
 
-def _across(lists: DataFrame, known: DataFrame, held: DataFrame) -> DataFrame:
-    """Pairs of a list whose nodes are in different components so far and whose points allow a link."""
-    each = _members(lists).select("list", F.explode("nodes").alias("node"))
+def _across(members: DataFrame, known: DataFrame, held: DataFrame, nearest: bool = False) -> DataFrame:
+    """(list, a, b, more): pairs of a list in different components so far whose points allow a link.
+
+    `nearest` keeps one pair for each node that is not the first of its list, as a star around an early node,
+    and tells by `more` whether the list has other pairs.
+    """
+    each = members.select("list", F.explode("nodes").alias("node"))
     placed = each.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = placed.groupBy("list").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y")
     rows = placed.join(stored(mixed.select("list"), "mixed"), "list", "left_semi").join(held, "node")
     packed = rows.groupBy("list").agg(F.collect_list(F.struct("node", "component", "point")).alias("rows"))
+    kinds = pa.schema([("list", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("more", pa.bool_())])
 
     def run(batches):
         for batch in batches:
-            for members in batch.column("rows"):
+            for name, members in zip(batch.column("list").to_pylist(), batch.column("rows")):
                 rows = members.values
                 node, component = (rows.field(c).to_numpy() for c in ("node", "component"))
-                p = np.stack([folded(x, GROUPS) for x in rows.field("point").to_pylist()])
-                for x, y in Tree(p).pairs():
+                held = rows.field("point").to_pylist()
+                rank = np.argsort(np.argsort(node))
+                order, partner, count = np.argsort(node), np.full(len(node), len(node)), 0
+                for x, y in Tree(np.stack([folded(p, GROUPS) for p in held])).pairs():
                     apart = component[x] != component[y]
-                    a, b = node[x[apart]], node[y[apart]]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
-
-    return packed.select("rows").mapInArrow(run, "a bigint, b bigint").distinct()
+                    x, y = finer(held, x[apart], y[apart])
+                    low, high = np.minimum(rank[x], rank[y]), np.maximum(rank[x], rank[y])
+                    count += len(x)
+                    if nearest:
+                        np.minimum.at(partner, high, low)
+                    else:
+                        yield sent(name, node[order[low]], node[order[high]], False)
+                if nearest:
+                    high = np.flatnonzero(partner < len(node))
+                    yield sent(name, node[order[partner[high]]], node[order[high]], count > len(high))
+
+    def sent(name, a, b, more):
+        n = len(a)
+        columns = [np.full(n, name, np.int64), a, b, np.full(n, more)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=kinds)
+
+    return packed.select("list", "rows").mapInArrow(run, "list bigint, a bigint, b bigint, more boolean")
 
 
 def _labelled(rows: DataFrame, sets: DataFrame, found: DataFrame) -> DataFrame:
