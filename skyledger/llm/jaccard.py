@@ -9,7 +9,7 @@ which points meet; rarity comes from a table of counters of fixed size, and any
 pass the bound are verified on their texts.
 
 Only components are asked for, so pairs that are known to be connected are passed over: the members of a
-key are verified against one of them first; then, tree by tree, each against one that the bound allows; and
+key are verified against one of them first; then, tree by tree, each against two that the bound allows; and
 then all pairs across the components that are left.
 """
 
@@ -266,20 +266,50 @@ def may_link(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return WHOLE * most >= PART * (p.sum(-1, dtype=np.int64) + q.sum(-1, dtype=np.int64) - most)
 
 
-def finer(held: list[bytes], x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of the pairs (x, y) of points those that may link by as many groups as both points have."""
+def finer(held: list[bytes], x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the pairs (x, y) of points those that may link by as many groups as both points have, and their bounds."""
     size = np.array([len(p) for p in held])
     least = np.minimum(size[x], size[y])
-    passed = least == GROUPS
-    for n in np.unique(least[~passed]):
+    most, total = np.zeros(len(x), np.int64), np.zeros(len(x), np.int64)
+    for n in np.unique(least):
         rows = np.flatnonzero(least == n)
         step = max(1, (1 << 22) // n)
         for k in range(0, len(rows), step):
             part = rows[k : k + step]
             own, at = np.unique(np.concatenate([x[part], y[part]]), return_inverse=True)
-            p = np.stack([folded(held[i], n) for i in own]).astype(np.int32)
-            passed[part] = may_link(p[at[: len(part)]], p[at[len(part) :]])
-    return x[passed], y[passed]
+            points = np.stack([folded(held[i], n) for i in own]).astype(np.int32)
+            p, q = at[: len(part)], at[len(part) :]
+            most[part] = np.minimum(points[p], points[q]).sum(-1)
+            total[part] = points.sum(-1)[p] + points.sum(-1)[q]
+    passed = WHOLE * most >= PART * (total - most)
+    return x[passed], y[passed], most[passed] / np.maximum(1, total - most)[passed]
+
+
+class Nearest:
+    """Of each of `n` nodes the first partner, by number, among lower nodes, and the partner of the highest bound."""
+
+    def __init__(self, n: int):
+        self.first, self.best, self.bound, self.count = np.full(n, n), np.full(n, n), np.zeros(n), 0
+
+    def add(self, low: np.ndarray, high: np.ndarray, bound: np.ndarray) -> None:
+        self.count += len(low)
+        np.minimum.at(self.first, high, low)
+        end, other = np.concatenate([low, high]), np.concatenate([high, low])
+        bound = np.concatenate([bound, bound])
+        order = np.lexsort((other, -bound, end))
+        end, other, bound = end[order], other[order], bound[order]
+        top = np.ones(len(end), bool)
+        top[1:] = end[1:] != end[:-1]
+        end, other, bound = end[top], other[top], bound[top]
+        better = (bound > self.bound[end]) | ((bound == self.bound[end]) & (other < self.best[end]))
+        self.best[end[better]], self.bound[end[better]] = other[better], bound[better]
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        n = len(self.first)
+        node = np.arange(n)
+        both = np.stack([np.concatenate([self.first, np.minimum(self.best, node)]), np.concatenate([node, np.maximum(self.best, node)])])
+        low, high = np.unique(both[:, (both < n).all(0)], axis=1)
+        return low, high
 
 
 class Tree:
@@ -439,8 +469,8 @@ def _bounded(pairs: DataFrame, held: DataFrame) -> DataFrame:
 def _across(members: DataFrame, known: DataFrame, held: DataFrame, nearest: bool = False) -> DataFrame:
     """(list, a, b, more): pairs of a list in different components so far whose points allow a link.
 
-    `nearest` keeps one pair for each node that is not the first of its list, as a star around an early node,
-    and tells by `more` whether the list has other pairs.
+    `nearest` keeps two pairs of each node at most, that with an early node of the list, which makes stars, and
+    that with the highest bound; `more` tells whether the list has others.
     """
     each = members.select("list", F.explode("nodes").alias("node"))
     placed = each.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -456,19 +486,18 @@ def _across(members: DataFrame, known: DataFrame, held: DataFrame, nearest: bool
                 node, component = (rows.field(c).to_numpy() for c in ("node", "component"))
                 held = rows.field("point").to_pylist()
                 rank = np.argsort(np.argsort(node))
-                order, partner, count = np.argsort(node), np.full(len(node), len(node)), 0
+                order, near = np.argsort(node), Nearest(len(node))
                 for x, y in Tree(np.stack([folded(p, GROUPS) for p in held])).pairs():
                     apart = component[x] != component[y]
-                    x, y = finer(held, x[apart], y[apart])
+                    x, y, bound = finer(held, x[apart], y[apart])
                     low, high = np.minimum(rank[x], rank[y]), np.maximum(rank[x], rank[y])
-                    count += len(x)
                     if nearest:
-                        np.minimum.at(partner, high, low)
+                        near.add(low, high, bound)
                     else:
                         yield sent(name, node[order[low]], node[order[high]], False)
                 if nearest:
-                    high = np.flatnonzero(partner < len(node))
-                    yield sent(name, node[order[partner[high]]], node[order[high]], count > len(high))
+                    low, high = near.pairs()
+                    yield sent(name, node[order[low]], node[order[high]], near.count > len(low))
 
     def sent(name, a, b, more):
         n = len(a)
