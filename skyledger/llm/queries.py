@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import html, jaccard, mixing, pieces, quality, secrets, suffixes, syncmers, tokens, warc
+from skyledger.llm import html, jaccard, mixing, periods, pieces, quality, secrets, suffixes, syncmers, tokens, warc
 from skyledger.llm.common import WORD, scratch, scratch_path, stored, table
 
 #: The vocabulary the queries use; any path that all executors have may be passed to the operators.
@@ -148,3 +149,18 @@ def op7_jaccard_join(spark, folder):
 @query
 def op3_repeated_passages(spark, folder):
     return suffixes.repeated_passages(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+def planted(doc_id: int | None, n: int) -> tuple[int, int] | None:
+    """Where a tenth of all texts is made periodic, and its period; texts without an id stay as they are."""
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or not n:
+        return None
+    a = h // 10 % n
+    return a, 1 + (n - a) // (3 + h // 10 % 8)
+
+
+@query
+def op12_periodic_runs(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return periods.digests(periods.find_runs(docs, rewrite=planted))
