@@ -9,7 +9,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import html, jaccard, mixing, periods, pieces, quality, secrets, suffixes, syncmers, tokens, warc
+from skyledger.llm import (
+    divergence,
+    html,
+    jaccard,
+    mixing,
+    periods,
+    pieces,
+    quality,
+    ranking,
+    secrets,
+    suffixes,
+    syncmers,
+    tokens,
+    warc,
+)
 from skyledger.llm.common import WORD, scratch, scratch_path, stored, table
 
 #: The vocabulary the queries use; any path that all executors have may be passed to the operators.
@@ -151,6 +165,12 @@ def op3_repeated_passages(spark, folder):
     return suffixes.repeated_passages(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+@query
+def op11_quality_ranking(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return ranking.score_quality(docs, table(spark, folder, "labels").select("doc_id", "quality"))
+
+
 def planted(doc_id: int | None, n: int) -> tuple[int, int] | None:
     """Where a tenth of all texts is made periodic, and its period; texts without an id stay as they are."""
     h = zlib.crc32(str(doc_id).encode())
@@ -164,3 +184,47 @@ def planted(doc_id: int | None, n: int) -> tuple[int, int] | None:
 def op12_periodic_runs(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return periods.digests(periods.find_runs(docs, rewrite=planted))
+
+
+ORACLES["op13_source_divergence"] = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), w AS (
+  SELECT lang, source, row, unnest(words) AS term FROM d
+), k AS (
+  SELECT lang, term, count(*) AS total FROM w GROUP BY lang, term HAVING count(DISTINCT row) >= 30
+), c AS (
+  SELECT lang, source, term, count(*) AS n FROM w JOIN k USING (lang, term) GROUP BY lang, source, term
+), v AS (
+  SELECT lang, count(*) AS v, sum(total) AS lang_n FROM k GROUP BY lang
+), g AS (
+  SELECT lang, source, coalesce(v, 0) AS v, coalesce(lang_n, 0) AS lang_n,
+         coalesce((SELECT sum(n) FROM c WHERE c.lang = x.lang AND c.source = x.source), 0) AS group_n
+  FROM (SELECT DISTINCT lang, source FROM d) x LEFT JOIN v USING (lang)
+), f AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+         (1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (group_n + 5 * v))::BIGINT AS p,
+         (1 + (1000000000::HUGEINT * (total + 5)) // (lang_n + 5 * v))::BIGINT AS q
+  FROM g JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), s AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM f a JOIN f b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), r AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM f WHERE n > 0 AND p > q
+), o AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM r
+)
+SELECT lang, source, part, item, value, rank FROM o WHERE part = 'pair' OR rank <= 50
+"""
+
+
+@query
+def op13_source_divergence(spark, folder):
+    return divergence.audit(table(spark, folder, "documents").select("lang", "source", "text"))
