@@ -28,19 +28,18 @@ _UPSERT_SQL = """
 """
 
 
-def _customer_upsert(t, **options):
+def _customer_upsert(t):
     base = t.customer.where("c_mktsegment <> 'BUILDING'").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
     batch = t.customer.where("c_acctbal < 2500").select(
         "c_custkey",
         (F.col("c_acctbal") + 1).alias("c_acctbal"),
         F.nullif("c_mktsegment", F.lit("FURNITURE")).alias("c_mktsegment"),
     )
-    return upsert(base, batch, ["c_custkey"], {"c_name": F.lit("new")}, **options)
+    return upsert(base, batch, ["c_custkey"], {"c_name": F.lit("new")})
 
 
 @query("upsert_single", _UPSERT_SQL)
 def upsert_single(t):
-    """A batch known to be small: the target is not shuffled."""
     return _customer_upsert(t)
 
 

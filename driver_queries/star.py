@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from driver_queries.registry import query
 from skyledger.operators import calendar, counts
-from skyledger.operators.joins import broadcast_if_small, lookup
+from skyledger.operators.joins import lookup
 
 
 @query(
@@ -27,7 +27,7 @@ from skyledger.operators.joins import broadcast_if_small, lookup
 )
 def occupancy_fact(t):
     """Lines are reduced to one row per order in one aggregate before any other join."""
-    brands = broadcast_if_small(t.part.select("p_partkey", "p_brand"))
+    brands = t.part.select("p_partkey", "p_brand")
     lines = t.lineitem.select("l_orderkey", "l_partkey", "l_returnflag")
     per_order = (
         lines.join(brands, lines["l_partkey"] == brands["p_partkey"])
@@ -39,7 +39,7 @@ def occupancy_fact(t):
     dates = calendar.dim_date_over(t.orders, "o_orderdate")
     orders = calendar.add_roles(orders, {"flight": "o_orderdate"}, dates)
     out = orders.join(per_order, orders["o_orderkey"] == per_order["l_orderkey"])
-    out = out.join(broadcast_if_small(room), out["aircraft_code"] == room["p_brand"])
+    out = out.join(room, out["aircraft_code"] == room["p_brand"])
     return out.select(
         F.col("flight_date_local").alias("date_flight"),
         F.col("o_orderkey").alias("flight_nk"),
@@ -123,9 +123,9 @@ def booking_fact(t):
         {"scheduled_departure": "l_shipdate"},
         dates,
     )
-    lines = lines.join(broadcast_if_small(origins), lines["l_suppkey"] == origins["s_suppkey"])
-    lines = lines.join(broadcast_if_small(aircraft), lines["l_partkey"] == aircraft["p_partkey"])
-    bookings = bookings.join(broadcast_if_small(passengers), bookings["o_custkey"] == passengers["c_custkey"])
+    lines = lines.join(origins, lines["l_suppkey"] == origins["s_suppkey"])
+    lines = lines.join(aircraft, lines["l_partkey"] == aircraft["p_partkey"])
+    bookings = bookings.join(passengers, bookings["o_custkey"] == passengers["c_custkey"])
     return lines.join(bookings, lines["l_orderkey"] == bookings["o_orderkey"]).select(
         F.col("o_orderkey").alias("book_nk"),
         F.col("c_custkey").alias("passenger_id"),

@@ -188,7 +188,7 @@ _EXACT = "AND " + _on_the_second("b.book_date", *_PLANNED, *_FLOWN)
 @query("fct_booking_ticket", f"WITH {STAGING_SQL} {_booking_sql(_EXACT)}")
 def fct_booking_ticket(t):
     stg, dims = _warehouse(t, *_PLACES_AND_FLIGHTS, "bookings", "tickets", "ticket_flights")
-    return facts.fct_booking_ticket(stg, dims, zone=ZONE)
+    return facts.fct_booking_ticket(stg, dims, zone=ZONE, passenger_join="natural")
 
 
 @query("fct_booking_ticket_truncated", f"WITH {STAGING_SQL} {_booking_sql()}")

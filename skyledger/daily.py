@@ -43,7 +43,7 @@ def _arguments() -> argparse.Namespace:
     parser.add_argument("--incremental", action="store_true")
     parser.add_argument("--run-ts", help="time stamped on new versions, default now (UTC)")
     parser.add_argument("--zone", default="UTC", help="zone of the local date and time columns")
-    parser.add_argument("--versions", choices=["all", "current"], default="current")
+    parser.add_argument("--versions", choices=["all", "current", "as_of"], default="current")
     parser.add_argument("--passenger-join", choices=["natural", "surrogate"], default="surrogate")
     parser.add_argument("--truncate", action="store_true", help="cut times to whole seconds")
     parser.add_argument("--on-duplicates", choices=["error", "latest"], default="error")

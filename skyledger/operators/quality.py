@@ -7,7 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.operators.joins import broadcast_if_small
 from skyledger.schemas import Table
 
 
@@ -43,17 +42,50 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return filled.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
 
 
+#: Bits of a key bitmap. Bitmaps are at most this many bits in all, 2 MB, whatever the data.
+KEY_BITS = 1 << 24
+
+
+def key_bitmaps(df: DataFrame, columns: Sequence[str], bits: int = KEY_BITS) -> DataFrame:
+    """(_part, _bits): bitmaps in which the hash of each key of `df` has its bit set."""
+    place = _key_place(columns, bits)
+    return df.groupBy(F.bitmap_bucket_number(place).alias("_part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("_bits")
+    )
+
+
+def _key_place(columns: Sequence[str], bits: int) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(bits)) + 1
+
+
+def with_key_in(df: DataFrame, columns: Sequence[str], bitmaps: DataFrame, bits: int = KEY_BITS) -> DataFrame:
+    """The rows whose key may be among those of the bitmaps: all that are, and few others.
+
+    The bitmaps, bounded by `bits`, are sent to every task, so rows are left out where they are read,
+    before any exchange.
+    """
+    place = _key_place(columns, bits)
+    position = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = df.join(F.broadcast(bitmaps), F.bitmap_bucket_number(place) == F.col("_part"))
+    return found.where(F.getbit(byte, (position % 8).cast("int")) == 1).select(*df.columns)
+
+
 def orphan_keys(
     child: DataFrame, parent: DataFrame, child_cols: Sequence[str], parent_cols: Sequence[str] | None = None
 ) -> DataFrame:
     """References of `child` that no row of `parent` has, with the number of child rows.
 
     The child is reduced to one row per reference before the anti-join, so neither a hot
-    reference nor wide rows are shuffled. A reference with a NULL in it is not checked.
+    reference nor wide rows are shuffled. A bitmap of these references leaves most other rows of
+    the parent out where they are read; what is left is compared exactly. A reference with a NULL
+    in it is not checked.
     """
     parent_cols = list(parent_cols or child_cols)
+    types = dict(child.dtypes)
     refs = child.dropna(subset=list(child_cols)).groupBy(*child_cols).agg(F.count(F.lit(1)).alias("rows"))
-    known = parent.select(*[F.col(p).alias(c) for p, c in zip(parent_cols, child_cols)])
+    known = parent.select(*[F.col(p).cast(types[c]).alias(c) for p, c in zip(parent_cols, child_cols)])
+    known = with_key_in(known, child_cols, key_bitmaps(refs, child_cols))
     return refs.join(known, list(child_cols), "left_anti")
 
 
@@ -88,20 +120,22 @@ def table_violations(table: Table, frames: Mapping[str, DataFrame]) -> DataFrame
 
 
 def batch_violations(
-    table: Table, after: DataFrame, batch_keys: DataFrame, parents: Mapping[str, DataFrame]
+    table: Table,
+    after: DataFrame,
+    batch_keys: DataFrame,
+    parents: Mapping[str, DataFrame],
+    clashes: Mapping[tuple[str, ...], DataFrame],
 ) -> DataFrame:
-    """Rules that a batch broke in the table `after` it.
+    """Rules that a batch broke in the table `after` it, of which the buckets it touched suffice.
 
-    Only rows with a key of the batch are tested, and for uniqueness the rows that share
-    a value with them: rows loaded earlier passed then, and parents are never deleted.
-    The key itself is not tested, an upsert cannot repeat it.
+    Only rows with a key of the batch are tested: rows loaded earlier passed then, and parents
+    are never deleted. `clashes` holds, for each further unique key, its values that several rows
+    have now and the batch brought (see `keyindex`). The key itself is not tested, an upsert
+    cannot repeat it.
     """
-    touched = after.join(broadcast_if_small(batch_keys.select(*table.key)), list(table.key), "left_semi")
+    touched = after.join(batch_keys.select(*table.key), list(table.key), "left_semi")
     parts = _row_and_reference_violations(table, touched, parents)
-    for columns in table.unique:
-        columns = list(columns)
-        same_value = after.select(*columns).join(broadcast_if_small(touched.select(*columns)), columns, "left_semi")
-        parts.append(_unique_violations(same_value, columns))
+    parts += [_listed(clashes[c], f"unique_{'_'.join(c)}", c, F.col("rows")) for c in table.unique]
     return _collected(table, parts)
 
 

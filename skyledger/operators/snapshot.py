@@ -65,9 +65,12 @@ def snapshot_step(
     check_cols: Sequence[str] | None = None,
     on_duplicates: str = "error",
     order_by: str = "updated_at",
+    changes_only: bool = False,
 ) -> DataFrame:
     """The versions that one run leaves open, and those it closes (valid_to = `run_ts`).
 
+    With `changes_only` the open versions that stay as they were are left out.
+
     Closed versions of earlier runs play no part, so the work depends on the number of
     current rows and not on the length of the history. A key only in `new` is inserted,
     a key only in `open_rows` stays open, a key in both gets a new version when any
@@ -102,7 +105,7 @@ def snapshot_step(
         F.lit(None).cast("timestamp_ntz").alias(VALID_TO),
     )
     versions = F.array(
-        F.when(old.isNotNull(), old_version),
+        F.when(F.col("_changed") if changes_only else old.isNotNull(), old_version),
         F.when(old.isNull() | F.col("_changed"), new_version),
     )
     # One join feeds both versions of a row; three filters of it would run it three times.
@@ -116,6 +119,18 @@ def snapshot_step(
     )
 
 
+def snapshot_changes(
+    open_rows: DataFrame | None,
+    new: DataFrame,
+    keys: Sequence[str],
+    run_ts: dt.datetime,
+    check_cols: Sequence[str] | None = None,
+    **options,
+) -> DataFrame:
+    """Only the versions that one run opens or closes; a run without changes has none."""
+    return snapshot_step(open_rows, new, keys, run_ts, check_cols, changes_only=True, **options)
+
+
 def snapshot_check(
     history: DataFrame | None,
     new: DataFrame,
@@ -132,9 +147,12 @@ def snapshot_check(
 
 
 def visible_versions(dim: DataFrame, versions: str = "all") -> DataFrame:
-    """Dimension rows that facts join: every version, or only the open one of each key."""
+    """Dimension rows that facts join: every version, or only the open one of each key.
+
+    `as_of` is for places, which flights look up at their departure; elsewhere it means the open one.
+    """
     if versions == "all" or VALID_TO not in dim.columns:
         return dim
-    if versions == "current":
+    if versions in ("current", "as_of"):
         return open_versions(dim)
-    raise ValueError(f"versions is 'all' or 'current', not {versions!r}")
+    raise ValueError(f"versions is 'all', 'current' or 'as_of', not {versions!r}")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyledger.operators.joins import BROADCAST_BYTES, one_row_per_key, plan_bytes
+from skyledger.operators.joins import one_row_per_key
 
 
 def first_rows(
@@ -41,25 +41,21 @@ def upsert(
     defaults: Mapping[str, Column] | None = None,
     on_duplicates: str = "error",
     order_by: str = "updated_at",
-    small_batch_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """`target` after `batch`: new keys are inserted, known keys take the batch's columns.
 
     A NULL in the batch overwrites. Columns the batch does not have keep their value on
     update and take `defaults` (or NULL) on insert, so a generated id stays the same.
 
-    A batch of at most `small_batch_bytes` is broadcast and the target is streamed, not
-    shuffled; a larger one is merged by one full outer join on the key. Both give the
-    same rows.
+    One full outer join on the key, whatever the sizes. Where only part of a table can be
+    concerned, `target` should be that part: `plans.staging` gives the buckets of the batch.
     """
     keys = list(keys)
     types = {f.name: f.dataType for f in target.schema.fields}
     batch = _checked(batch, types, keys)
-    small = plan_bytes(batch) <= small_batch_bytes
     batch = one_row_per_key(batch, keys, "upsert", on_duplicates, order_by)
     defaults = {name: value.cast(types[name]) for name, value in (defaults or {}).items()}
-    merge = _merge_small if small else _merge_large
-    return merge(target, batch, keys, defaults)
+    return _merged(target, batch, keys, defaults)
 
 
 def _packed(batch: DataFrame, keys: list[str]) -> DataFrame:
@@ -82,19 +78,7 @@ def _inserted(column: str, batch: DataFrame, defaults: Mapping[str, Column], dat
     return defaults.get(column, F.lit(None).cast(data_type)).alias(column)
 
 
-def _merge_small(target, batch, keys, defaults):
-    types = {f.name: f.dataType for f in target.schema.fields}
-    kept = target.join(F.broadcast(_packed(batch, keys)), keys, "left").select(
-        *[_updated(c, batch, keys, F.col(c)) for c in target.columns]
-    )
-    known = target.select(*keys).join(F.broadcast(batch.select(*keys)), keys, "left_semi")
-    fresh = batch.join(known, keys, "left_anti").select(
-        *[_inserted(c, batch, defaults, types[c]) for c in target.columns]
-    )
-    return kept.unionByName(fresh)
-
-
-def _merge_large(target, batch, keys, defaults):
+def _merged(target, batch, keys, defaults):
     rest = [c for c in target.columns if c not in keys]
     before = target.select(*keys, F.struct(*rest).alias("_old"))
     out = before.join(_packed(batch, keys), keys, "full_outer")

@@ -40,7 +40,7 @@ def dim_passenger(stg: Frames) -> DataFrame:
     )
 
 
-def dim_seat(stg: Frames, dims: Frames, versions: str = "all") -> DataFrame:
+def dim_seat(stg: Frames, dims: Frames, versions: str = "current") -> DataFrame:
     aircrafts = visible_versions(dims["dim_aircrafts"], versions)
     seats = stg["seats"].select(F.col("id").alias("seat_id"), "aircraft_code", "seat_no", "fare_conditions")
     return lookup(seats, aircrafts, "aircraft_nk", "aircraft_id", on="aircraft_code", name="aircraft_id").select(

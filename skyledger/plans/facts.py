@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from skyledger.functions import clock
 from skyledger.operators.calendar import add_roles
 from skyledger.operators.counts import count_per_key
-from skyledger.operators.joins import broadcast_if_small, lookup
-from skyledger.operators.snapshot import visible_versions
+from skyledger.operators.joins import as_of_lookup, lookup
+from skyledger.operators.snapshot import VALID_FROM, VALID_TO, visible_versions
 
 Frames = Mapping[str, DataFrame]
 
@@ -28,7 +28,22 @@ def _role_columns(*roles: str) -> list[str]:
 
 
 def _with_places(flights: DataFrame, dims: Frames, versions: str) -> DataFrame:
-    """Replace airport and aircraft codes by the surrogate ids of the dimensions."""
+    """Replace airport and aircraft codes by the surrogate ids of the dimensions.
+
+    With `versions="as_of"` they are those of the version that was valid when the flight left, the first
+    version being valid from the beginning.
+    """
+    if versions == "as_of":
+        left_at = F.coalesce("actual_departure", "scheduled_departure").cast("timestamp_ntz")
+        out = flights.withColumn("_left_at", left_at)
+        for dim, natural, surrogate, on in (
+            ("dim_airport", "airport_nk", "airport_id", "departure_airport"),
+            ("dim_airport", "airport_nk", "airport_id", "arrival_airport"),
+            ("dim_aircrafts", "aircraft_nk", "aircraft_id", "aircraft_code"),
+        ):
+            out = as_of_lookup(out, dims[dim], natural, on, "_left_at", {surrogate: "_id"}, VALID_FROM, VALID_TO, backdate=True)
+            out = out.withColumn(on, F.col("_id")).drop("_id")
+        return out.drop("_left_at")
     airports = visible_versions(dims["dim_airport"], versions)
     aircrafts = visible_versions(dims["dim_aircrafts"], versions)
     out = lookup(flights, airports, "airport_nk", "airport_id", on="departure_airport", name="_departure_id")
@@ -63,7 +78,7 @@ def _flights_in_roles(
     )
 
 
-def fct_seat_occupied_daily(stg: Frames, dims: Frames, zone: str = clock.UTC, versions: str = "all") -> DataFrame:
+def fct_seat_occupied_daily(stg: Frames, dims: Frames, zone: str = clock.UTC, versions: str = "current") -> DataFrame:
     """Seats taken and left on each arrived flight, by the day it left.
 
     Passes are counted per flight before they meet the flight, so a full flight sends one
@@ -83,7 +98,7 @@ def fct_seat_occupied_daily(stg: Frames, dims: Frames, zone: str = clock.UTC, ve
         "actual_departure",
     )
     flights = add_roles(flights, {"flight": "actual_departure"}, dims["dim_date"], zone=zone)
-    flights = flights.join(broadcast_if_small(capacity), "aircraft_code", "inner")
+    flights = flights.join(capacity, "aircraft_code", "inner")
     flights = _with_places(flights, dims, versions)
     return flights.join(occupied, "flight_id", "inner").select(
         F.col("flight_date_local").alias("date_flight"),
@@ -100,7 +115,7 @@ def fct_seat_occupied_daily(stg: Frames, dims: Frames, zone: str = clock.UTC, ve
 
 
 def fct_flight_activity(
-    stg: Frames, dims: Frames, zone: str = clock.UTC, versions: str = "all", truncate: bool = False
+    stg: Frames, dims: Frames, zone: str = clock.UTC, versions: str = "current", truncate: bool = False
 ) -> DataFrame:
     """Planned and flown times of each flown flight, with its delays."""
     delays = (
@@ -125,7 +140,7 @@ def fct_flight_activity(
 
 
 def fct_boarding_pass(
-    stg: Frames, dims: Frames, zone: str = clock.UTC, versions: str = "all", truncate: bool = False
+    stg: Frames, dims: Frames, zone: str = clock.UTC, versions: str = "current", truncate: bool = False
 ) -> DataFrame:
     """Each boarding pass with its ticket, passenger and planned flight.
 
@@ -164,15 +179,15 @@ def fct_booking_ticket(
     stg: Frames,
     dims: Frames,
     zone: str = clock.UTC,
-    versions: str = "all",
+    versions: str = "current",
     truncate: bool = False,
-    passenger_join: str = "natural",
+    passenger_join: str = "surrogate",
 ) -> DataFrame:
     """Each segment of a booked ticket on a flown flight.
 
-    `passenger_join="natural"` matches passengers by passenger number. The dimension has a
-    row per ticket, so a passenger with several tickets repeats the segments of each.
-    `"surrogate"` matches the ticket's own row instead.
+    `passenger_join="surrogate"` matches the ticket's own row of the passengers. `"natural"`
+    matches by passenger number; the dimension has a row per ticket, so a passenger with
+    several tickets then repeats the segments of each.
     """
     bookings = stg["bookings"].select("book_ref", "book_date", "total_amount")
     bookings = add_roles(

@@ -1,20 +1,23 @@
 """Daily staging: extract every table to the landing zone, then upsert it."""
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyledger.functions.clock import parse_day
 from skyledger.functions.values import stable_id
+from skyledger.operators import keyindex
 from skyledger.operators.quality import batch_violations, enforce
 from skyledger.operators.upsert import first_rows, upsert
 from skyledger.schemas import LOAD_ORDER, TABLES, Table
+from skyledger.session import scratch_path
 from skyledger.sources.extract import Source, extract
-from skyledger.sources.landing import landing_path, read_csv, to_landing, write_csv
-from skyledger.sources.store import Store
+from skyledger.sources.landing import drop_landing, landing_path, read_csv, to_landing, write_csv
+from skyledger.sources.store import BUCKET, Store, Version, bucket_number
 
 STATUS_SCHEMA = "`table` string, step string, status string, data_date date, `rows` bigint, run_ts timestamp_ntz"
 SUCCESS, SKIPPED = "success", "skipped"
@@ -57,14 +60,13 @@ def last_extract(store: Store, table: str, ds: str | dt.date) -> tuple[str, int
 def extract_table(
     source: Source, table: Table, landing: str, ds: str | dt.date, run_ts: dt.datetime, incremental: bool = False
 ) -> tuple:
-    """Write one extract as CSV; an empty one writes nothing. The count comes with the write."""
-    rows = to_landing(extract(source, table.name, incremental, ds), table)
-    if rows.isEmpty():
-        return _status(table.name, "extract", SKIPPED, ds, run_ts, 0)
+    """Write one extract as CSV; of an empty one no folder stays. The source is read once, the count comes with the write."""
+    rows, path = to_landing(extract(source, table.name, incremental, ds), table), landing_path(landing, table.name, incremental, ds)
     seen = Observation()
-    write_csv(
-        rows.observe(seen, F.count(F.lit(1)).alias("rows")), landing_path(landing, table.name, incremental, ds)
-    )
+    write_csv(rows.observe(seen, F.count(F.lit(1)).alias("rows")), path)
+    if not seen.get["rows"]:
+        drop_landing(rows.sparkSession, path)
+        return _status(table.name, "extract", SKIPPED, ds, run_ts, 0)
     return _status(table.name, "extract", SUCCESS, ds, run_ts, seen.get["rows"])
 
 
@@ -88,6 +90,60 @@ def insert_defaults(table: Table, run_ts: dt.datetime) -> dict:
     return {"id": stable_id(table.name, *[F.col(k) for k in table.key]), "created_at": now, "updated_at": now}
 
 
+def _staged(spark: SparkSession, df: DataFrame, path: str) -> tuple[DataFrame, int]:
+    """The rows written to `path`, so that what they come from is computed once, and their number."""
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), seen.get["rows"]
+
+
+def _in_bucket(df: DataFrame, schema: T.StructType, columns: Sequence[str], buckets: int) -> DataFrame:
+    """The rows with their bucket, which also decides the task that they go to."""
+    keys = [F.col(c).cast(schema[c].dataType) for c in columns]
+    return df.withColumn(BUCKET, bucket_number(keys, buckets))
+
+
+def _by_bucket(df: DataFrame) -> DataFrame:
+    return df.repartition(BUCKET)
+
+
+def _numbers(df: DataFrame) -> list[int]:
+    """The buckets that rows are in; no more than the table has."""
+    return sorted(r[0] for r in df.select(BUCKET).distinct().collect())
+
+
+def _with_bucket(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
+
+
+def index_name(columns: Sequence[str]) -> str:
+    return "-".join(columns)
+
+
+def rebucket(store: Store, table: Table, buckets: int) -> None:
+    """Rewrite stg.<table> and its key indexes in another number of buckets; a table as a whole becomes one in buckets."""
+    rows, version = store.read(f"stg.{table.name}"), store.begin(f"stg.{table.name}")
+    parts = [(None, rows, table.key)]
+    parts += [(index_name(c), keyindex.entries(rows, c, table.key), c) for c in table.unique]
+    for name, part, columns in parts:
+        version.write_buckets(_by_bucket(_in_bucket(part, table.schema, columns, buckets)), buckets, name)
+    version.commit()
+
+
+def _index_after(store: Store, version: Version, table: Table, columns, before, after, batch, buckets) -> DataFrame:
+    """Write the index of unique columns after a batch, as part of the version; returns the clashes."""
+    spark, name = store.spark, index_name(columns)
+    changes = keyindex.changed_entries(before, after, batch, columns, table.key)
+    changes, n = _staged(spark, _in_bucket(changes, table.schema, columns, buckets), scratch_path(spark, "entries"))
+    schema = changes.drop(keyindex.COME).schema
+    if not n:
+        return spark.createDataFrame([], schema).select(*columns, F.lit(0).cast("bigint").alias("rows"))
+    chosen = _numbers(changes)
+    known = store.read_buckets(version.table, chosen, name) if before is not None else None
+    version.write_buckets(_by_bucket(keyindex.after_changes(known, changes)), buckets, name, chosen)
+    return keyindex.clashes(version.read_buckets(buckets, schema, name), changes, columns)
+
+
 def upsert_table(
     store: Store,
     table: Table,
@@ -95,23 +151,45 @@ def upsert_table(
     run_ts: dt.datetime,
     on_duplicates: str = "error",
     rules: bool = True,
-    **options,
-) -> None:
-    """Upsert a batch into stg.<table> and store the result as its next version.
-
-    With `rules` a batch that breaks a rule of the table fails and leaves it as it was.
+    order_by: str = "updated_at",
+) -> int:
+    """Upsert a batch into stg.<table>; returns the number of its rows.
+
+    The table and an index for each further unique key are kept in key buckets. Only the buckets that the
+    batch has keys of are read and written, and count once all of them and the indexes are. The batch
+    itself is computed once. With `rules` a batch that breaks a rule of the table fails and leaves it as
+    it was. An empty batch writes nothing.
     """
     name, defaults = f"stg.{table.name}", insert_defaults(table, run_ts)
-    if store.exists(name):
-        after = upsert(store.read(name), batch, table.key, defaults, on_duplicates, **options)
+    path = scratch_path(store.spark, "batch")
+    batch, n = _staged(store.spark, batch, path)
+    if not n:
+        return 0
+    first = not store.exists(name)
+    if first:
+        buckets = store.wanted_buckets(store.folder_bytes(path))
     else:
-        after = first_rows(batch, table.schema, table.key, defaults, on_duplicates)
-
-    def check(written: DataFrame) -> None:
+        buckets = store.buckets(name)
+        wanted = store.crowded(name) if buckets else store.wanted_buckets(store.folder_bytes(store.path(name)))
+        if wanted:
+            rebucket(store, table, wanted)
+            buckets = wanted
+    batch = _in_bucket(batch, table.schema, table.key, buckets)
+    before = None if first else store.read_buckets(name, _numbers(batch))
+    keys, schema = [BUCKET, *table.key], _with_bucket(table.schema)
+    if before is None:
+        after = first_rows(_by_bucket(batch), schema, keys, defaults, on_duplicates, order_by)
+    else:
+        after = upsert(_by_bucket(before), _by_bucket(batch), keys, defaults, on_duplicates, order_by)
+    version = store.begin(name)
+    version.write_buckets(after, buckets)
+    written = version.read_buckets(buckets, schema)
+    clashes = {c: _index_after(store, version, table, c, before, written, batch, buckets) for c in table.unique}
+    if rules:
         parents = {ref.parent: store.read(f"stg.{ref.parent}") for ref in table.references}
-        enforce(batch_violations(table, written, batch, parents))
-
-    store.write(name, after, check if rules else None)
+        enforce(batch_violations(table, written, batch, parents, clashes))
+    version.commit()
+    return n
 
 
 def load_table(
@@ -129,9 +207,8 @@ def load_table(
     if last is None or last[0] != SUCCESS:
         return _status(table.name, "load", SKIPPED, ds, run_ts, 0)
     batch = read_csv(store.spark, landing_path(landing, table.name, incremental, ds), table.schema, table)
-    if batch.isEmpty():
+    if not upsert_table(store, table, batch, run_ts, on_duplicates, rules):
         return _status(table.name, "load", SKIPPED, ds, run_ts, 0)
-    upsert_table(store, table, batch, run_ts, on_duplicates, rules)
     return _status(table.name, "load", SUCCESS, ds, run_ts, last[1])
 
 

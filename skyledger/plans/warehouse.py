@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from skyledger.functions import clock
 from skyledger.operators.calendar import dim_date, dim_date_over, dim_time
-from skyledger.operators.snapshot import snapshot_step
+from skyledger.operators.snapshot import snapshot_changes
 from skyledger.plans import dimensions, facts
 from skyledger.plans.staging import staging_frames
 from skyledger.sources.store import Store
@@ -75,10 +75,10 @@ def write_calendar(
 
 
 def snapshot_table(store: Store, name: str, new: DataFrame, run_ts: dt.datetime) -> None:
-    """Extend the history final.<name> by one run."""
+    """Extend the history final.<name> by what one run changes."""
     table = f"final.{name}"
     current = store.read_open(table) if store.exists(table) else None
-    store.write_history(table, snapshot_step(current, new, TARGETS[name].key, run_ts))
+    store.append_history(table, snapshot_changes(current, new, TARGETS[name].key, run_ts))
 
 
 def run_warehouse(

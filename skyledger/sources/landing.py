@@ -59,6 +59,12 @@ def write_csv(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> N
     df.write.mode("overwrite").options(**_WRITE).option("maxRecordsPerFile", rows_per_file).csv(path)
 
 
+def drop_landing(spark: SparkSession, path: str) -> None:
+    """Remove a landed folder."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
     """The columns named in the header, all as text; empty fields, quoted or not, are NULL."""
     return spark.read.options(**_READ).csv(path)

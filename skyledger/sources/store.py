@@ -1,25 +1,85 @@
 """Parquet tables that a job may read and replace.
 
-A path cannot be overwritten while it is read. So each write of a table goes to a new
-folder store_version=<n>, and the table is the highest n that Spark has marked with _SUCCESS. A job
-that dies leaves a folder without the mark, which readers never see.
+A path cannot be overwritten while it is read. So each write of a table goes to a new folder
+store_version=<n>, and counts once that folder has the mark _SUCCESS. A job that dies leaves a folder
+without the mark, which readers never see.
+
+A version holds one of three things:
+
+* the whole table, which replaces the one before;
+* some buckets of a table that is kept in key buckets (store_buckets=<of how many>/store_bucket=<number>):
+  a bucket is read from the latest version that has it, so an upsert writes the buckets of its batch only;
+  beside them the buckets of its key indexes (store_index=<columns>/...), under the same mark;
+* changes of a type-2 history: versions that were opened and versions that were closed (store_segment).
+  Open versions are those of the last base (segment open) and opened since, less those closed since.
 """
 
-from collections.abc import Callable
+import json
+import math
+from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from skyledger.operators.snapshot import VALID_TO
+from skyledger.operators.snapshot import SCD_ID, VALID_TO
 
 # Partition columns of the folders, named so that no table column clashes with them.
 VERSION, SEGMENT = "store_version", "store_segment"
+BUCKETS, BUCKET, INDEX = "store_buckets", "store_bucket", "store_index"
+OPEN, OPENED, CLOSED = "open", "opened", "closed"
+#: Mark of a bucket that has no rows any more.
+EMPTY = "_empty"
+#: Parquet bytes that a bucket is meant to have; beyond GROWTH times as much on average, buckets are split.
+BUCKET_BYTES, GROWTH = 128 << 20, 4
+#: Runs whose changes a reader of a history puts together; then a new base is written.
+COMPACT_AFTER = 30
+_UNMARKED = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
+
+
+def bucket_number(keys: Sequence[Column], buckets: int) -> Column:
+    """The bucket of a key; keys have to be of the types the table has."""
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+class Version:
+    """A version being written. Nothing of it is visible before `commit`."""
+
+    def __init__(self, store: "Store", table: str, path: str):
+        self.store, self.table, self.path = store, table, path
+
+    def write_buckets(self, rows: DataFrame, buckets: int, index: str | None = None, chosen: Iterable[int] = ()) -> None:
+        """Write the rows, which have their bucket in BUCKET; `chosen` buckets without rows are marked as empty."""
+        path = f"{self._at(index)}/{BUCKETS}={buckets}"
+        rows.write.mode("error").options(**_UNMARKED).partitionBy(BUCKET).parquet(path)
+        filled = {int(p.getName().split("=")[1]) for p in self.store._glob(f"{path}/{BUCKET}=*")} if chosen else set()
+        for bucket in set(chosen) - filled:
+            mark, fs = self.store._hadoop(f"{path}/{BUCKET}={bucket}/{EMPTY}")
+            fs.create(mark).close()
+
+    def _at(self, index: str | None) -> str:
+        return f"{self.path}/{INDEX}={index}" if index else self.path
+
+    def read_buckets(self, buckets: int, schema: T.StructType, index: str | None = None) -> DataFrame:
+        """What `write_buckets` wrote; an empty frame if there were no rows."""
+        path = f"{self._at(index)}/{BUCKETS}={buckets}"
+        if not self.store._glob(f"{path}/{BUCKET}=*/*.parquet"):
+            return self.store.spark.createDataFrame([], schema)
+        return self.store.spark.read.schema(schema).parquet(path)
+
+    def commit(self) -> None:
+        mark, fs = self.store._hadoop(f"{self.path}/_SUCCESS")
+        fs.create(mark).close()
 
 
 class Store:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(
+        self, spark: SparkSession, root: str, bucket_bytes: int = BUCKET_BYTES, compact_after: int = COMPACT_AFTER
+    ):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.bucket_bytes = bucket_bytes
+        self.compact_after = compact_after
 
     def path(self, table: str) -> str:
         """`table` is schema.name, for example stg.flights."""
@@ -58,7 +118,14 @@ class Store:
         numbers = self._listing(table)[1]
         return f"{self.path(table)}/{VERSION}={(numbers[-1] if numbers else 0) + 1}"
 
+    def begin(self, table: str) -> Version:
+        return Version(self, table, self._next_path(table))
+
+    # Whole tables and tables in buckets.
+
     def read(self, table: str) -> DataFrame:
+        if self.buckets(table):
+            return self.read_buckets(table).drop(BUCKET)
         live, _ = self._live(table)
         return self.spark.read.parquet(f"{self.path(table)}/{VERSION}={live}")
 
@@ -72,43 +139,187 @@ class Store:
         if check is None:
             df.write.mode("error").parquet(path)
             return
-        unmarked = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
-        df.write.mode("error").options(**unmarked).parquet(path)
+        df.write.mode("error").options(**_UNMARKED).parquet(path)
         check(self.spark.read.parquet(path))
-        mark, fs = self._hadoop(f"{path}/_SUCCESS")
-        fs.create(mark).close()
+        Version(self, table, path).commit()
+
+    def _bucket_files(self, table: str, index: str | None = None) -> list[tuple[int, int, int, int]]:
+        """(version, buckets, bucket, bytes) of every file of a complete version; an empty bucket has 0 bytes."""
+        inner = f"/{INDEX}={index}" if index else ""
+        path, fs = self._hadoop(f"{self.path(table)}/{VERSION}=*{inner}/{BUCKETS}=*/{BUCKET}=*/*")
+        complete, out = set(self.versions(table)), []
+        for status in fs.globStatus(path) or []:
+            at = status.getPath()
+            size = 0 if at.getName() == EMPTY else status.getLen()
+            bucket, of = at.getParent(), at.getParent().getParent()
+            version = of.getParent().getParent() if index else of.getParent()
+            found = tuple(int(p.getName().split("=")[1]) for p in (version, of, bucket))
+            if found[0] in complete:
+                out.append((*found, size))
+        return out
+
+    @staticmethod
+    def _latest(files: Iterable[tuple[int, int, int, int]]) -> tuple[int, dict[int, int]]:
+        """How many buckets the table has, and the version that each one is read from."""
+        files = list(files)
+        if not files:
+            return 0, {}
+        of = max(files)[1]
+        latest: dict[int, int] = {}
+        for version, buckets, bucket, _ in files:
+            if buckets == of:
+                latest[bucket] = max(version, latest.get(bucket, 0))
+        return of, latest
+
+    def buckets(self, table: str, index: str | None = None) -> int:
+        """How many buckets a table or index is kept in; 0 if it is not in buckets."""
+        live = self.versions(table)
+        files = self._bucket_files(table, index) if live else []
+        if not index and files and max(files)[0] < live[-1] and self._replaced(table, live[-1]):
+            return 0
+        return self._latest(files)[0]
+
+    def _replaced(self, table: str, version: int) -> bool:
+        """Whether a version is a whole table and not a set of buckets."""
+        return bool(self._glob(f"{self.path(table)}/{VERSION}={version}/*.parquet"))
+
+    def read_buckets(self, table: str, chosen: Iterable[int] | None = None, index: str | None = None) -> DataFrame | None:
+        """The chosen buckets, or all, with their numbers in BUCKET; None if none of them has a row."""
+        files = self._bucket_files(table, index)
+        of, latest = self._latest(files)
+        filled = {(v, k) for v, b, k, size in files if b == of and size}
+        wanted = set(latest if chosen is None else chosen)
+        inner = f"{INDEX}={index}/" if index else ""
+        paths = [
+            f"{self.path(table)}/{VERSION}={version}/{inner}{BUCKETS}={of}/{BUCKET}={bucket}"
+            for bucket, version in sorted(latest.items())
+            if bucket in wanted and (version, bucket) in filled
+        ]
+        if not paths:
+            return None
+        rows = self.spark.read.option("basePath", self.path(table)).parquet(*paths)
+        return rows.drop(VERSION, BUCKETS, INDEX)
+
+    def wanted_buckets(self, total: int) -> int:
+        """A power of two, so that splitting a bucket takes nothing from others, with room to grow."""
+        return 1 << max(0, math.ceil(math.log2(max(1, total) / self.bucket_bytes)))
+
+    def crowded(self, table: str) -> int:
+        """How many buckets the table should have, if those it has are far too large; else 0."""
+        files = self._bucket_files(table)
+        of, latest = self._latest(files)
+        total = sum(size for version, buckets, bucket, size in files if buckets == of and latest[bucket] == version)
+        return self.wanted_buckets(total) if of and total > GROWTH * self.bucket_bytes * of else 0
+
+    def folder_bytes(self, path: str) -> int:
+        at, fs = self._hadoop(path)
+        return fs.getContentSummary(at).getLength()
+
+    # Type-2 histories.
+
+    def _history_path(self, table: str, schema: T.StructType) -> str:
+        path = self._next_path(table)
+        at, fs = self._hadoop(f"{path}/_schema")
+        out = fs.create(at)
+        out.write(bytearray(json.dumps(schema.jsonValue()).encode()))
+        out.close()
+        return path
+
+    def _write_segments(self, table: str, rows: DataFrame, opened: str) -> None:
+        segment = F.when(F.col(VALID_TO).isNull(), opened).otherwise(CLOSED)
+        path = self._history_path(table, rows.schema)
+        rows.withColumn(SEGMENT, segment).write.mode("append").options(**_UNMARKED).partitionBy(SEGMENT).parquet(path)
+        Version(self, table, path).commit()
 
     def write_history(self, table: str, step: DataFrame) -> None:
-        """Store the result of `snapshot_step`.
+        """Store the result of `snapshot_step`, all of whose open versions are a new base.
 
-        Open and newly closed versions go to separate folders. Closed versions are
-        written once and never again; only the open ones are replaced by the next run.
+        Closed versions are written once and never again.
         """
-        segment = F.when(F.col(VALID_TO).isNull(), "open").otherwise("closed")
-        step.withColumn(SEGMENT, segment).write.mode("error").partitionBy(SEGMENT).parquet(self._next_path(table))
+        self._write_segments(table, step, OPEN)
 
-    def _segments(self, table: str) -> tuple[DataFrame, int]:
-        live, complete = self._live(table)
-        paths = [f"{self.path(table)}/{VERSION}={n}" for n in complete]
-        return self.spark.read.option("basePath", self.path(table)).parquet(*paths), live
+    def append_history(self, table: str, changes: DataFrame) -> None:
+        """Store the result of `snapshot_changes`: only versions that a run opened or closed.
+
+        The first run of a table is its base. After COMPACT_AFTER runs a new base is written.
+        """
+        base, complete = self._base(table)
+        first = not complete
+        # Few changes become few files, many are dealt evenly.
+        self._write_segments(table, changes if first else changes.hint("rebalance"), OPEN if first else OPENED)
+        if sum(v > base for v in complete) + 1 >= self.compact_after and not first:
+            self.compact_history(table)
+
+    def compact_history(self, table: str) -> None:
+        """Write all open versions as a new base, so that readers need no earlier changes."""
+        self._write_segments(table, self.read_open(table), OPEN)
+
+    def _segments(self, table: str, name: str) -> list[int]:
+        found = self._glob(f"{self.path(table)}/{VERSION}=*/{SEGMENT}={name}")
+        return sorted(int(p.getParent().getName().split("=")[1]) for p in found)
+
+    def _base(self, table: str, at: int | None = None) -> tuple[int, list[int]]:
+        """The version of the base that readers of version `at` (default: the last) start from."""
+        complete = [v for v in self.versions(table) if at is None or v <= at]
+        return max([v for v in self._segments(table, OPEN) if v in complete], default=0), complete
+
+    def _read_segments(self, table: str, parts: list[tuple[int, str]], live: int) -> DataFrame:
+        path, fs = self._hadoop(f"{self.path(table)}/{VERSION}={live}/_schema")
+        paths = [f"{self.path(table)}/{VERSION}={v}/{SEGMENT}={name}" for v, name in parts]
+        if not fs.exists(path):
+            return self.spark.read.parquet(*paths)
+        stream = fs.open(path)
+        schema = T.StructType.fromJson(json.loads(bytes(stream.readAllBytes())))
+        stream.close()
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
     def read_open(self, table: str) -> DataFrame:
-        rows, live = self._segments(table)
-        return rows.where((F.col(VERSION) == live) & (F.col(SEGMENT) == "open")).drop(VERSION, SEGMENT)
+        """The open versions: of the base and opened since, less those closed since."""
+        live, _ = self._live(table)
+        base, complete = self._base(table)
+        since = [v for v in complete if v > base]
+        opened = [v for v in self._segments(table, OPENED) if v in since]
+        closed = [v for v in self._segments(table, CLOSED) if v in since]
+        rows = self._read_segments(table, [*([(base, OPEN)] if base else []), *((v, OPENED) for v in opened)], live)
+        if not closed:
+            return rows
+        gone = self._read_segments(table, [(v, CLOSED) for v in closed], live).select(SCD_ID)
+        return rows.join(gone, SCD_ID, "left_anti").select(rows.columns)
 
     def read_history(self, table: str) -> DataFrame:
-        """Open versions of the last run and the closed versions of all runs."""
-        rows, live = self._segments(table)
-        return rows.where((F.col(SEGMENT) == "closed") | (F.col(VERSION) == live)).drop(VERSION, SEGMENT)
+        """Open versions and the closed versions of all runs."""
+        live, complete = self._live(table)
+        closed = [v for v in self._segments(table, CLOSED) if v in complete]
+        rows = self.read_open(table)
+        if not closed:
+            return rows
+        return self._read_segments(table, [(v, CLOSED) for v in closed], live).select(rows.columns).unionByName(rows)
 
     def drop_superseded(self, table: str, keep: int = 2) -> None:
         """Delete what no reader of the last `keep` versions needs.
 
-        Of a history only the open rows of older runs go; their closed rows are kept.
+        Of a history that are open rows which a later base has; closed rows are kept. Of a table in buckets
+        it is each bucket that a later one replaces.
         """
         complete, numbers = self._listing(table)
-        for n in [n for n in numbers if n < (complete or [0])[-keep:][0]]:
-            folder = f"{self.path(table)}/{VERSION}={n}"
-            history = self._glob(f"{folder}/{SEGMENT}=*")
-            path, fs = self._hadoop(f"{folder}/{SEGMENT}=open" if history and n in complete else folder)
-            fs.delete(path, True)
+        oldest = (complete or [0])[-keep:][0]
+        if any(self._segments(table, name) for name in (OPEN, OPENED, CLOSED)):
+            base = self._base(table, oldest)[0]
+            for name in (OPEN, OPENED):
+                self._delete(f"{self.path(table)}/{VERSION}={v}/{SEGMENT}={name}" for v in self._segments(table, name) if v < base)
+            return
+        if not self.buckets(table):
+            self._delete(f"{self.path(table)}/{VERSION}={n}" for n in numbers if n < oldest)
+            return
+        indexes = {p.getName().split("=", 1)[1] for p in self._glob(f"{self.path(table)}/{VERSION}=*/{INDEX}=*")}
+        for index in (None, *sorted(indexes)):
+            files = self._bucket_files(table, index)
+            of, needed = self._latest(f for f in files if f[0] <= oldest)
+            inner = f"{INDEX}={index}/" if index else ""
+            old = {f[:3] for f in files if f[0] < oldest and (f[1] != of or f[0] != needed.get(f[2]))}
+            self._delete(f"{self.path(table)}/{VERSION}={v}/{inner}{BUCKETS}={b}/{BUCKET}={k}" for v, b, k in sorted(old))
+
+    def _delete(self, paths: Iterable[str]) -> None:
+        for path in paths:
+            at, fs = self._hadoop(path)
+            fs.delete(at, True)

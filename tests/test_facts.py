@@ -90,8 +90,8 @@ def test_dim_seat_sees_every_version_of_its_aircraft(spark, stg):
     history = snapshot_check(history, changed, ["aircraft_id"], dt.datetime(2024, 1, 2))
     dims = {"dim_aircrafts": history}
     assert dimensions.dim_seat(stg, {"dim_aircrafts": one}).count() == 5
-    assert dimensions.dim_seat(stg, dims).count() == 8
-    assert dimensions.dim_seat(stg, dims, versions="current").count() == 5
+    assert dimensions.dim_seat(stg, dims, versions="all").count() == 8
+    assert dimensions.dim_seat(stg, dims).count() == 5
 
 
 @pytest.mark.parametrize("zone", list(ZONES))
