@@ -139,7 +139,7 @@ def _index_after(store: Store, version: Version, table: Table, columns, before,
     if not n:
         return spark.createDataFrame([], schema).select(*columns, F.lit(0).cast("bigint").alias("rows"))
     chosen = _numbers(changes)
-    known = store.read_buckets(version.table, chosen, name) if before is not None else None
+    known = store.read_buckets(version.table, chosen, name)
     version.write_buckets(_by_bucket(keyindex.after_changes(known, changes)), buckets, name, chosen)
     return keyindex.clashes(version.read_buckets(buckets, schema, name), changes, columns)
 
