@@ -4,10 +4,14 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from driver_queries.airline import STAGING_SQL, staging
 from driver_queries.registry import query
-from skyledger.operators.joins import latest_per_key
-from skyledger.operators.snapshot import snapshot_check, visible_versions
+from skyledger.operators import keyindex
+from skyledger.operators.joins import as_of_lookup, latest_per_key
+from skyledger.operators.snapshot import snapshot_changes, snapshot_check, snapshot_step, visible_versions
 from skyledger.operators.upsert import upsert
+from skyledger.plans.staging import upsert_table
+from skyledger.schemas import TABLES
 from skyledger.session import scratch_path
 from skyledger.sources.store import Store
 
@@ -191,8 +195,6 @@ def scd2_current(t):
 @query("scd2_stored", _TWO_RUNS_SQL)
 def scd2_stored(t):
     """The two runs written to and read from a store, closed versions apart from open ones."""
-    from skyledger.operators.snapshot import snapshot_step
-
     store = Store(t.spark, scratch_path(t.spark, "store"))
     store.write_history("final.customers", snapshot_step(None, _first_load(t), KEY, FIRST))
     step = snapshot_step(store.read_open("final.customers"), _second_load(t), KEY, SECOND)
@@ -218,3 +220,95 @@ def scd2_composite(t):
     more = F.when(F.col("l_returnflag") == "A", F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))
     history = snapshot_check(None, lines, _LINE_KEY, FIRST)
     return snapshot_check(history, lines.withColumn("l_quantity", more), _LINE_KEY, SECOND)
+
+
+@query("scd2_changes", _TWO_RUNS_SQL)
+def scd2_changes(t):
+    """Three runs of which each stores its changes; the last has none, and the second makes a new base."""
+    store = Store(t.spark, scratch_path(t.spark, "store"), compact_after=2)
+    for at, load in ((FIRST, _first_load), (SECOND, _second_load), (THIRD, _second_load)):
+        known = store.read_open("final.customers") if store.exists("final.customers") else None
+        store.append_history("final.customers", snapshot_changes(known, load(t), KEY, at))
+    return store.read_history("final.customers")
+
+
+@query(
+    "upsert_buckets",
+    f"""
+    WITH {STAGING_SQL}
+    SELECT book_ref, book_date,
+           CAST(CASE WHEN o_orderstatus = 'F' THEN total_amount + 1 ELSE total_amount END AS DECIMAL(10, 2)) AS total_amount,
+           md5('bookings|' || book_ref) AS id, CASE WHEN o_orderstatus = 'P' THEN TIMESTAMP '{_AT2}' ELSE TIMESTAMP '{_AT1}' END AS created_at,
+           CASE WHEN o_orderstatus = 'O' THEN TIMESTAMP '{_AT1}' ELSE TIMESTAMP '{_AT2}' END AS updated_at
+    FROM bookings JOIN orders ON book_ref = lpad(o_orderkey::VARCHAR, 10, '0')
+    """,
+)
+def upsert_buckets(t):
+    """Open and finished orders, then finished ones raised by one and pending ones new, into key buckets."""
+    table = TABLES["bookings"]
+    store = Store(t.spark, scratch_path(t.spark, "store"), bucket_bytes=1 << 18)
+    every = staging(t, "bookings")["bookings"].drop("id", "created_at", "updated_at")
+    status = t.orders.select(F.lpad(F.col("o_orderkey").cast("string"), 10, "0").alias("book_ref"), "o_orderstatus")
+    every = every.join(status, "book_ref")
+    raised = F.when(F.col("o_orderstatus") == "F", F.col("total_amount") + 1).otherwise(F.col("total_amount"))
+    second = every.withColumn("total_amount", raised.cast("decimal(10,2)")).withColumn("updated_at", F.lit(SECOND).cast("timestamp_ntz"))
+    for at, batch in ((FIRST, every.where("o_orderstatus <> 'P'")), (SECOND, second.where("o_orderstatus <> 'O'"))):
+        upsert_table(store, table, batch.drop("o_orderstatus"), at)
+    digest = F.replace("id", F.lit("-"), F.lit(""))
+    return store.read("stg.bookings").withColumns({"book_date": F.col("book_date").cast("timestamp_ntz"), "id": digest})
+
+
+@query(
+    "unique_key_index",
+    f"""
+    WITH {STAGING_SQL}
+    SELECT flight_id, seat_no, count(*) AS rows FROM boarding_passes GROUP BY flight_id, seat_no
+    HAVING count(*) > 1 AND bool_or(right(ticket_no, 1) IN ('1', '4', '7'))
+    """,
+)
+def unique_key_index(t):
+    """Seats of a flight that a batch of passes takes while another ticket holds them, seen in the key index."""
+    columns, key = ("flight_id", "seat_no"), TABLES["boarding_passes"].key
+    every = staging(t, "boarding_passes")["boarding_passes"]
+    is_late = F.substring("ticket_no", -1, 1).isin("1", "4", "7")
+    before, batch = every.where(~is_late), every.where(is_late)
+    index = keyindex.entries(before, columns, key)
+    changes = keyindex.changed_entries(before, upsert(before, batch, key), batch, columns, key)
+    return keyindex.clashes(keyindex.after_changes(index, changes), changes, columns)
+
+
+_VERSIONS_SQL = """
+    versions AS (
+        SELECT c_custkey, c_mktsegment || '/' || i AS segment,
+               CAST(CASE i WHEN 0 THEN DATE '1900-01-01' WHEN 1 THEN a ELSE b END AS TIMESTAMP) AS valid_from,
+               CAST(CASE i WHEN 0 THEN a WHEN 1 THEN b END AS TIMESTAMP) AS valid_to
+        FROM (SELECT *, DATE '1993-01-01' + CAST(c_custkey % 700 AS INTEGER) AS a,
+                     DATE '1995-06-01' + CAST(c_custkey % 500 AS INTEGER) AS b FROM customer) c,
+             (SELECT unnest([0, 1, 2]) AS i) n
+        WHERE c_custkey % 11 <> 0 OR i > 0)
+"""
+
+
+@query(
+    "as_of_versions",
+    f"""
+    WITH {_VERSIONS_SQL}
+    SELECT o_orderkey, o_custkey, o_orderdate, segment
+    FROM orders LEFT JOIN versions ON c_custkey = o_custkey AND valid_from <= o_orderdate
+         AND (valid_to IS NULL OR o_orderdate < valid_to)
+    """,
+)
+def as_of_versions(t):
+    """Each order with its customer's segment on that day, of three versions; some customers begin late."""
+    day = lambda start, spread: F.date_add(F.lit(start).cast("date"), (F.col("c_custkey") % spread).cast("int")).cast("timestamp_ntz")
+    a, b = day("1993-01-01", 700), day("1995-06-01", 500)
+    cuts = (F.lit("1900-01-01").cast("timestamp_ntz"), a), (a, b), (b, F.lit(None).cast("timestamp_ntz"))
+    versions = F.explode(
+        F.array(*[F.struct(F.lit(i).alias("i"), f.alias("valid_from"), to.alias("valid_to")) for i, (f, to) in enumerate(cuts)])
+    )
+    history = t.customer.select("c_custkey", "c_mktsegment", versions.alias("v")).where("c_custkey % 11 <> 0 OR v.i > 0")
+    history = history.select("c_custkey", F.concat_ws("/", "c_mktsegment", "v.i").alias("segment"), "v.valid_from", "v.valid_to")
+    orders = t.orders.select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("timestamp_ntz").alias("o_orderdate"))
+    return as_of_lookup(
+        orders, history, "c_custkey", "o_custkey", "o_orderdate", {"segment": "segment"}, "valid_from", "valid_to", how="left"
+    )

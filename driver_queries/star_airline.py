@@ -340,3 +340,61 @@ def warehouse_cycle(t):
     next(days)
     run_warehouse(store, SECOND_RUN, ZONE, versions="all", passenger_join="natural", names=names)
     return _in_seconds(store.read_history("final.fct_flight_activity")).drop("dbt_updated_at")
+
+
+_DEPARTED = "status = 'Departed'"
+
+
+def _kept(rows: str, key: str, value: str, moved: str = "false") -> str:
+    """A first version of every row, and a second one of those whose flight moved."""
+    return f"""
+        SELECT {key} AS key, {value.format(status='status')} AS value, TIMESTAMP '{FIRST_RUN}' AS valid_from,
+               CASE WHEN {moved} THEN TIMESTAMP '{SECOND_RUN}' END AS valid_to FROM {rows}
+        UNION ALL
+        SELECT {key}, {value.format(status="'Arrived'")}, TIMESTAMP '{SECOND_RUN}', NULL FROM {rows} WHERE {moved}
+    """
+
+
+@query(
+    "two_days_as_shipped",
+    f"""
+    WITH {STAGING_SQL},
+    seat AS (SELECT seats.id, aircrafts_data.id AS aircraft_id, seat_no, fare_conditions
+             FROM seats JOIN aircrafts_data USING (aircraft_code)),
+    pass AS (SELECT bp.*, f.status, tk.id AS passenger FROM boarding_passes bp
+             JOIN ticket_flights tf ON tf.ticket_no = bp.ticket_no AND tf.flight_id = bp.flight_id
+             JOIN tickets tk ON tk.ticket_no = bp.ticket_no
+             JOIN flights f ON f.flight_id = bp.flight_id {_PLACES} WHERE {_on_the_second(*_PLANNED)}),
+    booked AS ({_booking_sql(_EXACT)})
+    SELECT 'dim_seat' AS "table", * FROM ({_kept('seat', 'id', "aircraft_id || '|' || seat_no || '|' || fare_conditions")})
+    UNION ALL
+    SELECT 'fct_boarding_pass', * FROM ({_kept(
+        'pass', "ticket_no || '|' || flight_id || '|' || boarding_no", "passenger || '|' || {status}", _DEPARTED)})
+    UNION ALL
+    SELECT 'fct_booking_ticket', * FROM ({_kept(
+        'booked', "book_nk || '|' || ticket_no || '|' || flight_nk", "passenger_id || '|' || {status}", _DEPARTED)})
+    """,
+)
+def two_days_as_shipped(t):
+    """Two days of staging and warehouse with no option but the zone; three of its histories after them."""
+    days = _two_days(t, *_PLACES_AND_FLIGHTS, "bookings", "seats", "tickets", "ticket_flights", "boarding_passes")
+    store = next(days)
+    run_warehouse(store, FIRST_RUN, ZONE)
+    next(days)
+    run_warehouse(store, SECOND_RUN, ZONE)
+    shown = {
+        "dim_seat": (["seat_id"], ["aircraft_id", "seat_no", "fare_conditions"]),
+        "fct_boarding_pass": (["ticket_no", "flight_id", "boarding_no"], ["passenger_id", "status"]),
+        "fct_booking_ticket": (["book_nk", "ticket_no", "flight_nk"], ["passenger_id", "status"]),
+    }
+    parts = [
+        store.read_history(f"final.{name}").select(
+            F.lit(name).alias("table"),
+            F.concat_ws("|", *key).alias("key"),
+            F.concat_ws("|", *value).alias("value"),
+            F.col("dbt_valid_from").alias("valid_from"),
+            F.col("dbt_valid_to").alias("valid_to"),
+        )
+        for name, (key, value) in shown.items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

@@ -5,7 +5,7 @@ import pytest
 from failures import JOB_FAILURE
 from pyspark.sql import functions as F
 
-from skyledger.operators.snapshot import VERSION_COLUMNS, snapshot_check, snapshot_step, visible_versions
+from skyledger.operators.snapshot import VERSION_COLUMNS, snapshot_changes, snapshot_check, snapshot_step, visible_versions
 from skyledger.sources.store import Store
 
 DAY = [dt.datetime(2024, 1, d, 6) for d in range(1, 10)]
@@ -148,3 +148,54 @@ def test_visible_versions(spark):
     assert [r.w for r in visible_versions(history, "current").collect()] == ["y"]
     with pytest.raises(ValueError):
         visible_versions(history, "latest")
+
+
+def keep(store, spark, run, values):
+    """One run that stores its changes; values by key, a key without one is not part of the run."""
+    df = spark.createDataFrame(list(values.items()), "k int, w string")
+    known = store.read_open("final.h") if store.exists("final.h") else None
+    store.append_history("final.h", snapshot_changes(known, df, ["k"], DAY[run]))
+    return df
+
+
+def segments(root, version):
+    return {p.name.split("=")[1] for p in root.glob(f"final/h/store_version={version}/store_segment=*")}
+
+
+def test_an_unchanged_run_writes_no_rows(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    for run in range(3):
+        keep(store, spark, run, {1: "x", 2: None})
+    assert [segments(tmp_path, v) for v in (1, 2, 3)] == [{"open"}, set(), set()]
+    keep(store, spark, 3, {1: "y", 3: "z"})
+    assert segments(tmp_path, 4) == {"opened", "closed"}
+    assert {(r.k, r.w) for r in store.read_open("final.h").collect()} == {(1, "y"), (2, None), (3, "z")}
+    written = list((tmp_path / "final/h/store_version=4").rglob("*.parquet"))
+    assert sum(spark.read.parquet(str(p)).count() for p in written) == 3
+
+
+@pytest.mark.parametrize("compact_after", [1, 2, 3, 99])
+def test_changes_of_many_runs_are_the_whole_history(spark, tmp_path, compact_after):
+    rng = random.Random(2)
+    store, history = Store(spark, str(tmp_path), compact_after=compact_after), None
+    for run in range(6):
+        df = keep(store, spark, run, {k: rng.choice([None, "a", "b"]) for k in rng.sample(range(8), 5)})
+        history = snapshot_check(history, df, ["k"], DAY[run])
+        assert rows(store.read_history("final.h")) == rows(history)
+        assert rows(store.read_open("final.h")) == rows(history.where("dbt_valid_to IS NULL"))
+        if run == 4:
+            store.drop_superseded("final.h", keep=1)
+            assert rows(store.read_history("final.h")) == rows(history)
+    bases = len(list(tmp_path.glob("final/h/*/store_segment=open")))
+    assert bases == 1 if compact_after == 99 else bases >= 1
+
+
+def test_a_history_without_rows(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    keep(store, spark, 0, {})
+    assert store.read_open("final.h").columns == ["k", "w", *VERSION_COLUMNS] and store.read_history("final.h").isEmpty()
+    keep(store, spark, 1, {5: "x"})
+    keep(store, spark, 2, {5: "y"})
+    assert [(r.w, r.dbt_valid_from, r.dbt_valid_to) for r in store.read_history("final.h").orderBy("dbt_valid_from").collect()] == [
+        ("x", DAY[1], DAY[2]), ("y", DAY[2], None),
+    ]
