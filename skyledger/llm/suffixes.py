@@ -33,16 +33,18 @@ from skyledger.llm.syncmers import sliding_min, words_at
 
 LENGTH, Q = 50, 16
 #: Runs that a task resolves and sends at once, and first runs of one anchor that are too many to be sent.
-FLUSH, CROWD = 1_500_000, 256
+FLUSH, CROWD = 1_000_000, 256
+#: Bytes of text whose runs a bucket is meant to hold.
+BUCKET_BYTES = 8 << 20
 _A, _B, _C, _D = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93))
 
 #: Columns of the runs and windows that are sent, and the low bytes of each that are kept.
 RUN = {
-    "anchor": ("<u8", 6), "whole": ("<u8", 6), "right": ("<u1", 1), "left": ("<u1", 1), "id": ("<i8", 8), "h": ("<i4", 4),
+    "anchor": ("<u8", 6), "whole": ("<u8", 6), "right": ("<u1", 1), "left": ("<u1", 1), "id": ("<i8", 8), "h": ("<i8", 6),
     "at": ("<u4", 4), "more": ("<u1", 1), "lead": ("<u1", 1),
 }
-WINDOW = {"window": ("<u8", 8), "check": ("<u4", 4), "id": ("<i8", 8), "h": ("<i4", 4), "at": ("<u4", 4)}
-BLOCK = "bucket int, rows int, block binary, id bigint, h int, gone binary, open binary"
+WINDOW = {"window": ("<u8", 8), "check": ("<u4", 4), "id": ("<i8", 8), "h": ("<i8", 6), "at": ("<u4", 4)}
+BLOCK = "bucket int, rows int, block binary, id bigint, h bigint, gone binary, open binary"
 
 
 def identifiers(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -141,7 +143,7 @@ def answers(
 ) -> Iterator[pa.RecordBatch]:
     """Spans by document: those to be removed, and the runs that are open still, as pairs of numbers.
 
-    They take the way of the blocks, through any bucket.
+    They take the way of the blocks, through a bucket that their document decides.
     """
     pairs = [(gone, np.stack([gone["at"], gone["at"].astype(np.int64) + LENGTH + gone.get("more", 0)], 1))]
     if left is not None:
@@ -156,8 +158,9 @@ def answers(
             part = edges[low : low + 4097]
             held = pa.array([spans[a:b].tobytes() for a, b in zip(part[:-1], part[1:])], pa.binary())
             nothing, n = pa.nulls(len(held), pa.binary()), len(held)
+            way = mix(ids[part[:-1]].view(np.uint64) ^ h[part[:-1]].astype(np.uint64)) % np.uint64(buckets)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h[part[:-1]] % buckets, pa.int32()), pa.nulls(n, pa.int32()), nothing, pa.array(ids[part[:-1]]), pa.array(h[part[:-1]]),
+                [pa.array(way.astype(np.int32)), pa.nulls(n, pa.int32()), nothing, pa.array(ids[part[:-1]]), pa.array(h[part[:-1]]),
                  held if k == 0 else nothing, held if k == 1 else nothing],
                 ["bucket", "rows", "block", "id", "h", "gone", "open"],
             )
@@ -174,7 +177,7 @@ def blocks(rows: dict[str, np.ndarray], key: str, kinds: dict, buckets: int) ->
         block = packed(taken(rows, np.arange(edges[b], edges[b + 1])), kinds)
         none = pa.nulls(1, pa.binary())
         columns = [pa.array([b], pa.int32()), pa.array([n], pa.int32()), pa.array([block], pa.binary())]
-        columns += [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), none, none]
+        columns += [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), none, none]
         yield pa.RecordBatch.from_arrays(columns, ["bucket", "rows", "block", "id", "h", "gone", "open"])
 
 
@@ -270,8 +273,8 @@ def meet(sent: DataFrame, kinds: dict, resolve: Callable) -> DataFrame:
         made = pa.Table.from_batches([b.select(schema.names) for b in resolve(rows)], schema)
         return pa.concat_tables([passed.cast(schema), made])
 
-    schema = pa.schema([("id", pa.int64()), ("h", pa.int32()), ("gone", pa.binary()), ("open", pa.binary())])
-    return sent.groupBy("bucket").applyInArrow(run, "id bigint, h int, gone binary, open binary")
+    schema = pa.schema([("id", pa.int64()), ("h", pa.int64()), ("gone", pa.binary()), ("open", pa.binary())])
+    return sent.groupBy("bucket").applyInArrow(run, "id bigint, h bigint, gone binary, open binary")
 
 
 def run_rows(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -290,7 +293,7 @@ def window_rows(batch: pa.RecordBatch) -> Iterator[dict]:
         _, double, full = identifiers(data)
         row, first, more = [], [], []
         for i in range(len(bounds) - 1):
-            spans = spans_of(opened[low + i].as_py())
+            spans = spans_of([opened[low + i].as_py()])
             row.append(np.full(len(spans), i))
             first.append(spans[:, 0])
             more.append(spans[:, 1])
@@ -308,6 +311,29 @@ def spans_of(parts: list[bytes] | None) -> np.ndarray:
     return np.frombuffer(b"".join(parts or []), "<u4").reshape(-1, 2)
 
 
+def joined(spans: np.ndarray) -> np.ndarray:
+    """The same bytes as fewest spans, by start."""
+    spans = spans[np.argsort(spans[:, 0], kind="stable")]
+    end = np.maximum.accumulate(spans[:, 1])
+    first = np.append(True, spans[1:, 0] > end[:-1])
+    return np.stack([spans[first, 0], end[np.append(first[1:], True)]], 1)
+
+
+def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Make the answers of each document one: spans to be removed as fewest, open runs one after the other."""
+    for batch in batches:
+        gone = [joined(spans_of(x)).astype("<u4").tobytes() if x else None for x in batch.column("gone").to_pylist()]
+        opened = [b"".join(x) if x else None for x in batch.column("open").to_pylist()]
+        columns = [batch.column("id"), batch.column("h"), pa.array(gone, pa.binary()), pa.array(opened, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["id", "h", "gone", "open"])
+
+
+def bucket_count(texts: DataFrame) -> int:
+    """One for each BUCKET_BYTES of text, and as many as the session has shuffle partitions at least."""
+    size = texts.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
+    return max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
+
+
 def cut(data: bytes, spans: np.ndarray) -> tuple[int, int, str]:
     """Bytes removed, maximal runs of these, and the digest of the rest."""
     kept, at, n, removed = hashlib.sha256(), 0, 0, 0
@@ -328,34 +354,35 @@ def repeated_passages(docs: DataFrame, buckets: int | None = None) -> DataFrame:
 
     Every byte goes that is covered by LENGTH bytes which also start in a document with a smaller doc_id.
     Null texts are empty and texts of fewer bytes keep all. A null doc_id counts as the largest. Rows of one
-    id take nothing from each other; equal rows have equal results.
+    id take nothing from each other; equal rows have equal results. Rows of one id, or of none, are told
+    apart by 48 bits of a hash of their texts.
     """
-    spark = docs.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     largest = F.lit(2**63 - 1).cast("bigint")
     texts = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    texts = texts.withColumns({"id": F.coalesce("doc_id", largest), "h": F.hash("text")})
+    texts = texts.withColumns({"id": F.coalesce("doc_id", largest), "h": F.xxhash64("text").bitwiseAND(2**48 - 1)})
+    buckets = buckets or bucket_count(texts)
     sent = texts.select("id", "h", "text").mapInArrow(task(run_rows, sent_runs, buckets), BLOCK)
     known = meet(sent, RUN, met_runs)
     known = known.groupBy("id", "h").agg(F.collect_list("gone").alias("gone"), F.collect_list("open").alias("open"))
-    known = stored(known, "known")
-    opened = known.where(F.size("open") > 0).select("id", "h", "open")
+    known = stored(known.mapInArrow(merged, "id bigint, h bigint, gone binary, open binary"), "known")
+    opened = known.where(F.col("open").isNotNull()).select("id", "h", "open")
     # The same columns of the texts as below, so that one shuffle of texts serves both.
     asked = texts.join(opened, ["id", "h"]).select("doc_id", "id", "h", "text", "open")
     windows = asked.mapInArrow(task(window_rows, sent_windows, buckets), BLOCK)
-    late = meet(windows, WINDOW, met_windows).select("id", "h", "gone")
-    early = known.where(F.size("gone") > 0).select("id", "h", F.explode("gone").alias("gone"))
-    spans = early.unionByName(late).groupBy("id", "h").agg(F.collect_list("gone").alias("gone"))
+    late = meet(windows, WINDOW, met_windows).groupBy("id", "h").agg(F.collect_list("gone").alias("late"))
+    early = known.where(F.col("gone").isNotNull()).select("id", "h", "gone")
+    spans = early.join(late, ["id", "h"], "full_outer")
 
     def finish(batches):
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
                 part = batch.slice(low, 256)
                 data = [t.encode() for t in part.column("text").to_pylist()]
-                made = [cut(d, spans_of(s)) for d, s in zip(data, part.column("gone").to_pylist())]
+                parts = zip(part.column("gone").to_pylist(), part.column("late").to_pylist())
+                made = [cut(d, spans_of([*([early] if early else []), *(late or [])])) for d, (early, late) in zip(data, parts)]
                 columns = [part.column("doc_id"), pa.array([len(d) for d in data], pa.int64())]
                 columns += [pa.array([m[k] for m in made], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.string()))]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-    return texts.join(spans, ["id", "h"], "left").select("doc_id", "text", "gone").mapInArrow(finish, schema)
+    return texts.join(spans, ["id", "h"], "left").select("doc_id", "text", "gone", "late").mapInArrow(finish, schema)

@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from skyledger.llm import queries, suffixes
+from skyledger.llm import common, queries, suffixes
 
 RNG = random.Random(3)
 SHARED = ["".join(RNG.choices("abcdé 漢\n", k=n)) for n in (50, 60, 130, 900)]
@@ -79,3 +79,28 @@ def test_query(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = queries.QUERIES["op3_repeated_passages"](spark, str(tmp_path)).collect()
     assert sorted(map(tuple, got), key=repr) == plain(rows)
+
+
+def test_a_text_of_more_than_a_slice(spark):
+    """Passages at both ends and across the slice bound of a text of 1.3 MB."""
+    long = noise(600_000) + SHARED[3] + noise(300_000) + SHARED[2] + noise(200)
+    assert len(long.encode()) > common.SLICE_BYTES
+    rows = [(2, long), (1, long[-700:]), (3, long[500_000:500_400] + noise(50)), (4, SHARED[3] + noise(9)), (5, long[:300])]
+    assert found(spark, rows) == plain(rows)
+
+
+def test_spans_are_joined():
+    spans = suffixes.np.array([[5, 9], [0, 3], [3, 4], [6, 7], [20, 30], [8, 12]])
+    assert suffixes.joined(spans).tolist() == [[0, 4], [5, 12], [20, 30]]
+    assert suffixes.joined(spans[:1]).tolist() == [[5, 9]]
+
+
+def test_buckets_grow_with_the_texts(spark, monkeypatch):
+    rows = corpus()
+    texts = spark.createDataFrame(rows, "doc_id bigint, text string")
+    monkeypatch.setattr(suffixes, "BUCKET_BYTES", 1000)
+    size = sum(len((t or "").encode()) for _, t in rows)
+    assert suffixes.bucket_count(texts) == -(-size // 1000) > 30
+    assert found(spark, rows) == plain(rows)
+    plan = suffixes.repeated_passages(texts)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan
