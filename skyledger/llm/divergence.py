@@ -33,7 +33,7 @@ SCALE, SMOOTH = 1_000_000_000, 5
 #: Documents of its language that a kept term is in at least, and terms listed for a group.
 LEAST_DOCS, TOP = 30, 50
 #: Counts that a task holds before it sends them; entries of a block of the index; groups in a list of peers.
-FLUSH, BLOCK, PEERS = 400_000, 1 << 16, 1 << 8
+FLUSH, BLOCK, PEERS = 400_000, 1 << 14, 1 << 8
 
 #: Bytes of a term: ASCII letters, in lower case, and those of all other code points; the rest parts terms.
 _LETTERS = bytes(
