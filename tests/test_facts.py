@@ -199,8 +199,33 @@ def test_changed_dimension_doubles_facts_unless_current(stg, dims):
     changed = aircraft.withColumn("range", F.col("range") + 1)
     history = snapshot_check(history, changed, ["aircraft_id"], dt.datetime(2024, 1, 2))
     dims = {**dims, "dim_aircrafts": history}
-    assert facts.fct_flight_activity(stg, dims).count() == 6
-    assert facts.fct_flight_activity(stg, dims, versions="current").count() == 3
+    assert facts.fct_flight_activity(stg, dims, versions="all").count() == 6
+    assert facts.fct_flight_activity(stg, dims).count() == 3
+
+
+def test_places_as_of_departure(spark, stg, dims):
+    """An airport that gets another id: each flight has the one of its day, the first one for earlier days."""
+    airports = dimensions.dim_airport(stg)
+    cut = dt.datetime(2024, 1, 15, 12)
+    versions = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(a).alias("f"), F.lit(b).alias("t")) for i, a, b in (
+        ("/1", dt.datetime(2024, 1, 15), cut), ("/2", cut, dt.datetime(2030, 1, 1)),
+    )]))
+    history = airports.withColumn("v", versions).withColumns(
+        {
+            "airport_id": F.concat("airport_nk", "v.i"),
+            "dbt_valid_from": F.col("v.f").cast("timestamp_ntz"),
+            "dbt_valid_to": F.col("v.t").cast("timestamp_ntz"),
+        }
+    ).drop("v")
+    craft = dims["dim_aircrafts"].withColumns({c: F.lit(None).cast("timestamp_ntz") for c in ("dbt_valid_from", "dbt_valid_to")})
+    got = facts.fct_flight_activity(stg, {**dims, "dim_airport": history, "dim_aircrafts": craft}, versions="as_of")
+    found = {r.flight_nk: (r.departure_airport, r.arrival_airport) for r in got.collect()}
+    want = {}
+    for r in facts.fct_flight_activity(stg, dims).collect():
+        row = next(x for x in ROWS["flights"] if x["flight_id"] == r.flight_nk)
+        part = "/2" if row["actual_departure"].replace(tzinfo=None) >= cut else "/1"
+        want[r.flight_nk] = (row["departure_airport"] + part, row["arrival_airport"] + part)
+    assert found == want and len({x[-1] for pair in want.values() for x in pair}) == 2
 
 
 def test_days_outside_the_calendar_drop(spark, stg, dims):
