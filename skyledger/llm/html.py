@@ -3,14 +3,16 @@
 Markup is stripped to lines (one per block element) in page order. A line weighs its text outside
 links; lines of menus, notices, adverts, forms, comments and the like weigh nothing. Sums over a sliding
 window of lines show where text surges and where it dives to nothing, and the lines between that weigh
-something are kept. If a page marks its article or main part, other lines weigh nothing and any text in
-it counts as a surge; without marks a surge has to reach a threshold.
+something are kept. What counts as a surge is measured on the page itself, so short articles surge too.
+If a page marks its article or main part, lines in it weigh more, and others only what they have beyond a
+long paragraph.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,8 +22,11 @@ from pyspark.sql import DataFrame
 from skyledger.llm.common import map_text
 
 WINDOW = 3
-#: Characters in a window that count as text where a page does not mark its article.
-SURGE = 86
+#: Characters in a window that count as text on any page; on a page whose fullest window has little more,
+#: that window's share of one in SHARE does.
+SURGE, SHARE = 86, 3
+#: Characters of a line outside the marked article that weigh nothing.
+OUTSIDE = 4 * SURGE
 
 #: Names of HTML elements, and words in their class, id or role that tell their use.
 RAW = "script style noscript template textarea title iframe svg math object canvas select".split()
@@ -31,26 +36,36 @@ BLOCKS = frozenset(
     "footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html li main menu nav ol option p pre section summary table "
     "tbody tfoot thead tr ul".split()
 )
+PLAIN = frozenset("p span b i li".split())
 SPACED = frozenset("br td th img input button label".split())
 ASIDE = frozenset("nav footer aside form head menu dialog button search".split())
 ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar form".split())
-USE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|adsense|sponsor(?:ed)?|promo(?:tion)?|banner|cookies?|consent|gdpr|"
-    r"notices?|alerts?|popup|modal|overlay|newsletter|subscribe|signup|login|side-?bar|widgets?|menu|nav|navbar|navigation|"
-    r"breadcrumbs?|footer|header|masthead|comments?|commentlist|disqus|replies|respond|share|sharing|social|related|recommended|"
-    r"toolbar|pagination|pager|skip|search|outbrain|taboola)(?:$|[\s_-])"
+USE = frozenset(
+    "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner cookie cookies consent gdpr "
+    "notice notices alert alerts popup modal overlay newsletter subscribe signup login side sidebar widget widgets menu nav navbar "
+    "navigation breadcrumb breadcrumbs footer header masthead comment comments commentlist disqus replies respond share sharing "
+    "social related recommended toolbar pagination pager skip search outbrain taboola".split()
+)
+#: Words that may stand beside those in one name and do not change what it says.
+BESIDE = frozenset(
+    "area articles aside bar block bottom box buttons col column container content form group holder inner item items left "
+    "link links list main outer page panel post posts primary region right secondary section site slot small stories text "
+    "thread top unit wrap wrapper zone".split()
 )
 #: Marks by which the main part of a page is known where no article or main element is.
 MAIN = re.compile(r"(?:^|\s)(?:articlebody|(?:article|post|entry|story|main)[_-]?(?:body|content|text))(?:$|\s)")
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<({'|'.join(RAW)})\b[^>]*(?<!/)>.*?(?:</\1\s*>|\Z)"
+    rf"|<({'|'.join(RAW)})\b[^>]*+(?<!/)>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>"
     r"|<[!?/][^>]*(?:>|\Z)"
     r"|<[a-z][^<>]*\Z",
     re.IGNORECASE | re.DOTALL,
 )
+#: The same where no > follows any more; the groups of a tag are there and match nothing.
+_REST = re.compile(r"(?!)()()()()|<!--.*\Z|<[!?/].*\Z|<[a-z][^<]*\Z", re.IGNORECASE | re.DOTALL)
+_NAME = re.compile(r"</?[a-z][^\s/>]*", re.IGNORECASE)
 _ATTRIBUTE = re.compile(r"""([a-z-]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.IGNORECASE)
 
 
@@ -64,8 +79,17 @@ class Line:
     main: bool
 
 
+def _says_aside(name: str) -> bool:
+    """Whether a class or id names a use, and nothing but that: "ad-slot" does, "has-sidebar" does not."""
+    words = [w for w in re.split(r"[_\-]+|\d+", name) if w]
+    return any(w in USE for w in words) and all(w in USE or w in BESIDE for w in words)
+
+
 def _use(tag: str, attributes: str) -> str:
-    """What an element's tag and attributes say: "aside", "main", "header" or nothing."""
+    """What an element's tag and attributes say: "aside", "main", "header", "named" or nothing.
+
+    "named" is aside by a word in its class or id alone, which holds unless the main part is in it.
+    """
     if tag in ASIDE:
         return "aside"
     named = {}
@@ -77,13 +101,43 @@ def _use(tag: str, attributes: str) -> str:
             return "aside"
         if re.search(r"display\s*:\s*none", named.get("style", "")):
             return "aside"
-        if tag not in ("html", "body", "main", "a") and USE.search(marks):
-            return "aside"
         if role in ("main", "article") or MAIN.search(marks):
             return "main"
+        if tag not in ("html", "body", "main", "article", "a") and any(map(_says_aside, marks.split())):
+            return "named"
     return "main" if tag in ("article", "main") else "header" if tag == "header" else ""
 
 
+def _tag_ends(page: str) -> tuple[list[int], list[bool]]:
+    """Positions of quotes and of >, and whether a tag that goes on to such a place has an end.
+
+    A quote without a partner is an ordinary character.
+    """
+    marks = [(m.start(), m[0]) for m in re.finditer("[>\"']", page)]
+    ended = [False] * (len(marks) + 1)
+    after: dict[str, int] = {}
+    for k in range(len(marks) - 1, -1, -1):
+        mark = marks[k][1]
+        ended[k] = mark == ">" or ended[after[mark] + 1 if mark in after else k + 1]
+        after[mark] = k
+    return [at for at, _ in marks], ended
+
+
+def _markup(page: str) -> Iterator[re.Match]:
+    """All markup of a page, in time proportional to it, also where tags or quotes are not closed."""
+    at, last = page.find("<"), page.rfind(">")
+    places = ended = None
+    while at >= 0:
+        name = _NAME.match(page, at) if places is not None and at < last else None
+        hopeless = name and not ended[bisect_left(places, name.end())] and name[0][1:].lower() not in RAW
+        m = None if hopeless else (_MARKUP if at < last else _REST).match(page, at)
+        if m:
+            yield m
+        elif places is None:
+            places, ended = _tag_ends(page)
+        at = page.find("<", m.end() if m else at + 1)
+
+
 def _matches(tags: list[tuple[int, bool, str]]) -> dict[int, int]:
     """For each opened element that is closed, the position of its end among `tags`."""
     opened: dict[str, list[int]] = {}
@@ -100,7 +154,7 @@ def _matches(tags: list[tuple[int, bool, str]]) -> dict[int, int]:
 def lines(page: str) -> list[Line]:
     """Strip the markup of a page to lines of text in page order, without empty ones."""
     tags, attributes, texts, at = [], [], [], 0
-    for m in _MARKUP.finditer(page):
+    for m in _markup(page):
         texts.append(page[at : m.start()])
         at = m.end()
         tag = (m[3] or "").lower()
@@ -108,6 +162,15 @@ def lines(page: str) -> list[Line]:
         attributes.append(m[4] or "")
     texts.append(page[at:])
     ends = _matches(tags)
+    uses = [
+        _use(tag, attributes[i]) if tag and not closing and tag not in VOID and (attributes[i] or tag not in PLAIN) else ""
+        for i, (_, closing, tag) in enumerate(tags)
+    ]
+    mains = [i for i, use in enumerate(uses) if use == "main"]
+    for i, use in enumerate(uses):
+        if use == "named":
+            inside = bisect_left(mains, i)
+            uses[i] = "" if inside < len(mains) and mains[inside] < ends.get(i, -1) else "aside"
     out: list[Line] = []
     parts: list[str] = []
     linked = 0
@@ -138,20 +201,16 @@ def lines(page: str) -> list[Line]:
             end = ends.get(i, -1)
             if tag == "a":
                 link_end = max(link_end, end)
-            elif tag not in ("p", "span", "b", "i", "li"):
-                use = _use(tag, attributes[i])
-                if use == "aside" and end > aside_end:
-                    flush()
-                    aside_end = end
-                elif use == "main" and end < 0 and i > aside_end:
-                    main_end = len(tags)  # a page that was cut off
-                elif use == "main" and i > aside_end:
-                    main_end = max(main_end, end)
-                elif use == "header":
-                    header_end = max(header_end, end)
-            elif attributes[i] and _use(tag, attributes[i]) == "aside" and end > aside_end:
+            use = uses[i]
+            if use == "aside" and end > aside_end:
                 flush()
                 aside_end = end
+            elif use == "main" and end < 0 and i > aside_end:
+                main_end = len(tags)  # a page that was cut off
+            elif use == "main" and i > aside_end:
+                main_end = max(main_end, end)
+            elif use == "header":
+                header_end = max(header_end, end)
         if i in (aside_end, main_end, header_end):
             flush()
         # The title of an article stays, though it is in the article's own header.
@@ -175,14 +234,32 @@ def spans(weights: list[int], window: int = WINDOW, surge: int = SURGE) -> Itera
             start = -1
 
 
+def weights(found: list[Line]) -> list[int]:
+    """What each line weighs: its text outside links, if that is the greater part of it.
+
+    In a marked article or main part all text counts and a line surges by itself; outside of it only what
+    a line has beyond OUTSIDE characters counts.
+    """
+    marked = any(x.main and not x.aside for x in found)
+    out = []
+    for x in found:
+        own = len(x.text) - x.linked if 2 * x.linked <= len(x.text) else 0
+        if x.aside:
+            out.append(0)
+        elif x.main:
+            out.append(SURGE + len(x.text))
+        else:
+            out.append(max(0, own - OUTSIDE) if marked else own)
+    return out
+
+
 def main_text(page: str, window: int = WINDOW, surge: int = SURGE) -> str:
     """The main text of a page, one line per block; empty if there is none."""
     found = lines(page)
-    if any(x.main and not x.aside for x in found):
-        weights, surge = [0 if x.aside or not x.main else len(x.text) for x in found], 1
-    else:
-        weights = [0 if x.aside or 2 * x.linked > len(x.text) else len(x.text) - x.linked for x in found]
-    return "\n".join(found[i].text for a, b in spans(weights, window, surge) for i in range(a, b) if weights[i])
+    weigh = weights(found)
+    fullest = max((sum(weigh[i : i + window]) for i in range(len(weigh))), default=0)
+    surge = max(1, min(surge, fullest // SHARE))
+    return "\n".join(found[i].text for a, b in spans(weigh, window, surge) for i in range(a, b) if weigh[i])
 
 
 def extract(df: DataFrame, page: str = "html") -> DataFrame:

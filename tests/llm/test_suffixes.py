@@ -83,7 +83,7 @@ def test_query(spark, tmp_path):
 
 def test_a_text_of_more_than_a_slice(spark):
     """Passages at both ends and across the slice bound of a text of 1.3 MB."""
-    long = noise(600_000) + SHARED[3] + noise(300_000) + SHARED[2] + noise(200)
+    long = noise(700_000) + SHARED[3] + noise(350_000) + SHARED[2] + noise(200)
     assert len(long.encode()) > common.SLICE_BYTES
     rows = [(2, long), (1, long[-700:]), (3, long[500_000:500_400] + noise(50)), (4, SHARED[3] + noise(9)), (5, long[:300])]
     assert found(spark, rows) == plain(rows)
