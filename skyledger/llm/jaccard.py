@@ -388,6 +388,11 @@ def near_duplicates(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     shingles and link with nothing. Rows with equal sets are in one component; a null doc_id is never the
     smallest unless it is the only one.
     """
+    return labels(docs, buckets).select("doc_id", "n_shingles", "component_id")
+
+
+def labels(docs: DataFrame, buckets: int | None = None) -> DataFrame:
+    """`near_duplicates` with t and n_chars, which tell a row's text, and the number of its component (null: no set)."""
     spark = docs.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     profiled = stored(profile(docs), "profile")
@@ -512,16 +517,30 @@ def _labelled(rows: DataFrame, sets: DataFrame, found: DataFrame) -> DataFrame:
     own = sets.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     own = stored(own.select("sig", "smallest", "component"), "labels")
     least = stored(own.groupBy("component").agg(F.min("smallest").alias("component_id")), "least")
-    by_sig = stored(own.join(least, "component").select("sig", "component_id"), "labels")
+    by_sig = stored(own.join(least, "component").select("sig", "component", "component_id"), "labels")
     out = rows.join(by_sig, "sig", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    component_id = F.coalesce("component_id", "doc_id").alias("component_id")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), component_id, "t", "n_chars", "component")
 
 
 def keep_one(df: DataFrame) -> DataFrame:
-    """The rows of `df` but those whose doc_id is not the smallest of their component; columns stay.
+    """One row of each component: that with the smallest doc_id, and of these that with the smallest text hash.
 
-    Rows without shingles stay, as do rows without an id. Rows that repeat an id and a text stay or go together.
+    Rows are told apart by id and text, so a row that only shares its id with a near copy stays. Of rows that
+    repeat id and text the one with the smallest further columns stays. Rows without shingles or without an
+    id stay; columns stay.
     """
-    found = near_duplicates(df.select("doc_id", "text"))
-    gone = found.where("component_id < doc_id").select("doc_id")
-    return df.join(gone, "doc_id", "left_anti").select(df.columns)
+    key, names = ["doc_id", "t", "n_chars"], ["doc_id", "_j_t", "_j_n"]
+    found = stored(labels(df.select("doc_id", "text")), "labels").where("component IS NOT NULL AND doc_id IS NOT NULL")
+    found = found.groupBy(*key, "component").agg(F.count("*").alias("rows"))
+    first = found.groupBy("component").agg(F.min(F.struct(*key)).alias("first"))
+    found = stored(found.join(first, "component").withColumn("stays", F.col("first") == F.struct(*key)), "found")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = df.withColumns({"_j_t": F.xxhash64(text), "_j_n": F.length(text)})
+    gone = found.where(~F.col("stays")).select(*key).toDF(*names)
+    kept = rows.join(gone, names, "left_anti")
+    repeated = found.where("stays AND rows > 1").select(*key).toDF(*names)
+    if not repeated.isEmpty():
+        one = kept.join(repeated, names, "left_semi").groupBy(*names).agg(F.min(F.struct(*df.columns)).alias("_row"))
+        kept = kept.join(repeated, names, "left_anti").select(df.columns).union(one.select("_row.*"))
+    return kept.select(df.columns)

@@ -138,4 +138,21 @@ def test_awkward_rows(spark):
     kept = jaccard.keep_one(df)
     assert kept.columns == df.columns
     assert jaccard.keep_one(spark.createDataFrame([], schema)).count() == 0
-    assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == [(0, ""), (0, text), (3, text), (3, text), (7, "")]
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == [(0, ""), (0, text), (3, text), (7, "")]
+
+
+def test_one_row_of_each_component_stays(spark):
+    """Rows that share an id are told apart by their texts; repeated rows leave one."""
+    base = [f"w{i}" for i in range(60)]
+    a, near, other = " ".join(base), " ".join(base[:-1] + ["x"]), " ".join(f"v{i}" for i in range(60))
+    rows = [(1, a, "s"), (5, near, "s"), (5, other, "s"), (6, other, "s"), (1, near, "s"), (1, other, "t")]
+    rows += [(2, "  ", "s"), (2, "  ", "s"), (None, a, "s"), (9, None, None), (0, "lone words", "z"), (0, "lone words", "b")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    kept = jaccard.keep_one(docs)
+    assert kept.columns == docs.columns
+    got = sorted(map(tuple, kept.collect()), key=repr)
+    first = [r for r in rows if r[0] == 1 and r[1] in (a, near)]
+    assert [r for r in got if r[0] == 1 and r[1] in (a, near)] in [[r] for r in first]
+    want = [r for r in rows if r[0] in (2, 9, None) or r == (1, other, "t")] + [(0, "lone words", "b")]
+    assert sorted([r for r in got if r not in first], key=repr) == sorted(want, key=repr)
+    assert jaccard.keep_one(docs.where("false")).collect() == []

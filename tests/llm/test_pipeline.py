@@ -3,7 +3,7 @@
 import public_tokenizers
 import sentencepiece
 from test_jaccard import joined
-from test_quality import measures
+from test_quality_rules import measures
 
 import corpus_pipeline
 from skyledger.llm import quality, secrets

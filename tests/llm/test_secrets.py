@@ -1,8 +1,10 @@
 """Secret scans against plain searches of the same expressions."""
 
+import base64
 import hashlib
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import types as T
@@ -80,3 +82,28 @@ def test_masking_overlaps():
     assert secrets.mask("abcdef", [(0, 4, "a", 0, 4), (2, 6, "b", 2, 6)]) == "[SECRET]"
     with pytest.raises(TypeError):
         secrets.mask(None, [])
+
+
+def test_many_keywords_in_one_run_take_linear_time():
+    """A megabyte of starts of web tokens; a whole one behind them is found."""
+    scan = secrets.scanner()
+    head = base64.urlsafe_b64encode(b'{"alg":"none"}').decode().rstrip("=")
+    token = f"{head}.eyJhIjoxfQ.c2ln"
+    start = time.perf_counter()
+    found = scan("eyJ" * 350_000 + " " + token)
+    assert [(s[0], s[2]) for s in found] == [(1_050_001, "jwt")]
+    assert time.perf_counter() - start < 20
+
+
+@pytest.mark.parametrize("text", [
+    "xoxb-12345678-abcdefghijklmnop", "sk_live_" + "a1" * 12,
+    "-----BEGIN RSA PRIVATE KEY-----\nAAAA\nBBBB==\n-----END RSA PRIVATE KEY-----",
+])
+def test_other_kinds_by_their_pattern_alone(text):
+    """Each added kind is found at its place, as a search of the whole text for its expression finds it."""
+    scan = secrets.scanner()
+    for before, after in (("", ""), ("x é ", " z"), (text[:4], "")):
+        whole = before + text + after
+        want = {(*m.span(), d.kind) for d in secrets.DETECTORS[3:] for m in d.pattern.finditer(whole) if d.valid(m)}
+        got = {s[:3] for s in scan(whole) if s[2] not in secrets.BASE_KINDS}
+        assert got == want and len(want) == 1
