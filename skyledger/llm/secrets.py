@@ -46,13 +46,17 @@ def _jwt_ok(m: re.Match) -> bool:
 
 @dataclass(frozen=True)
 class Detector:
-    """`keywords` in lower case, one of which starts every match; `secret` is the group to mask."""
+    """`keywords` in lower case, one of which starts every match; `secret` is the group to mask.
+
+    `run`: where no match starts at a keyword, none starts at a later one in the same run of this either.
+    """
 
     kind: str
     keywords: tuple[str, ...]
     pattern: re.Pattern
     valid: Callable[[re.Match], bool] = lambda m: True
     secret: int = 0
+    run: re.Pattern | None = None
 
 
 #: In the order in which spans with one start are listed; the base ones first.
@@ -70,7 +74,7 @@ DETECTORS = (
     Detector("hex", (), re.compile("[0-9a-f]{24,}")),
     Detector("github", ("ghp_", "gho_", "ghu_", "ghs_", "ghr_"), re.compile("gh[pousr]_([A-Za-z0-9]{36})(?![A-Za-z0-9])"), _crc_ok),
     Detector("npm", ("npm_",), re.compile("npm_([A-Za-z0-9]{36})(?![A-Za-z0-9])"), _crc_ok),
-    Detector("jwt", ("eyj",), re.compile(r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"), _jwt_ok),
+    Detector("jwt", ("eyj",), re.compile(r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"), _jwt_ok, run=re.compile("[A-Za-z0-9_-]+")),
     Detector("slack", ("xoxb-", "xoxp-", "xoxa-", "xoxr-", "xoxs-"), re.compile("xox[abprs]-[0-9]{8,}-[0-9A-Za-z-]{16,}")),
     Detector("payment", ("sk_live_", "rk_live_"), re.compile("[sr]k_live_[0-9A-Za-z]{24,}")),
     Detector("pem", ("-----begin ",), re.compile("-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\\s]+-----END [A-Z ]*PRIVATE KEY-----")),
@@ -98,11 +102,15 @@ def scanner() -> Callable[[str], list[tuple[int, int, str, int, int]]]:
         ends = [0] * len(DETECTORS)
         for start, k in sorted((end + 1 - n, k) for end, (n, k) in words.iter(lowered)):
             d = DETECTORS[k]
-            if start >= ends[k] and (m := d.pattern.match(text, start)):
+            if start < ends[k]:
+                continue
+            if m := d.pattern.match(text, start):
                 # As a search from the left would go on behind a match that fails the test of length.
                 ends[k] = m.end()
                 if d.valid(m):
                     found.append((*m.span(), d.kind, *m.span(d.secret)))
+            elif d.run and (same := d.run.match(text, start)):
+                ends[k] = same.end()
         return sorted(found, key=lambda s: (s[0], ORDER[s[2]]))
 
     return scan
