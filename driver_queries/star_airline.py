@@ -9,11 +9,11 @@ from driver_queries.registry import query
 from skyledger.operators import calendar
 from skyledger.operators.quality import table_violations
 from skyledger.plans import dimensions, facts
-from skyledger.plans.staging import run_staging
+from skyledger.plans.staging import extract_tables, load_profile, record_profiles, run_staging
 from skyledger.plans.warehouse import run_warehouse
 from skyledger.schemas import TABLES
 from skyledger.session import scratch_path
-from skyledger.sources.landing import landing_path, to_landing, write_csv
+from skyledger.sources.landing import daily_root, landing_path, read_csv, to_landing, write_csv
 from skyledger.sources.store import Store
 from skyledger.streaming.landings import stream_daily_landings
 
@@ -398,3 +398,128 @@ def two_days_as_shipped(t):
         for name, (key, value) in shown.items()
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def _land(t, landing: str, ds: str, rows) -> None:
+    write_csv(to_landing(rows, TABLES["bookings"]), landing_path(landing, "bookings", incremental=True, ds=ds))
+
+
+def _stream(t, store, landing: str, progress: str) -> None:
+    stream_daily_landings(store, TABLES["bookings"], landing, progress, SECOND_RUN).awaitTermination()
+
+
+def _booked(df):
+    instant = F.col("book_date").cast("timestamp_ntz").alias("book_date")
+    return df.select("book_ref", instant, "total_amount")
+
+
+def _raised(t, bookings, by: int, status: str):
+    """The bookings of orders with a status, raised and updated a day later."""
+    chosen = t.orders.where(F.col("o_orderstatus") == status).select(F.lpad(F.col("o_orderkey").cast("string"), 10, "0").alias("book_ref"))
+    return bookings.join(chosen, "book_ref", "left_semi").withColumns(
+        {
+            "total_amount": (F.col("total_amount") + by).cast("decimal(10,2)"),
+            "updated_at": F.lit("2024-01-15 12:00:00").cast("timestamp_ntz"),
+        }
+    )
+
+
+_BOOKED_SQL = "FROM bookings JOIN orders ON book_ref = lpad(o_orderkey::VARCHAR, 10, '0')"
+
+
+@query(
+    "landing_by_name",
+    f"""
+    WITH {STAGING_SQL},
+    first AS (SELECT book_ref, book_date, total_amount {_BOOKED_SQL} WHERE o_orderstatus <> 'F'),
+    other AS (SELECT book_ref, book_date, CAST(NULL AS DECIMAL(10, 2)) AS total_amount {_BOOKED_SQL} WHERE o_orderstatus = 'F')
+    SELECT how, u.* FROM (SELECT * FROM first UNION ALL SELECT * FROM other) u, (SELECT unnest(['batch', 'stream']) AS how) h
+    """,
+)
+def landing_by_name(t):
+    """Two days whose files have other columns in another order, by batch and by stream."""
+    landing, store = scratch_path(t.spark, "landing"), Store(t.spark, scratch_path(t.spark, "store"))
+    bookings = staging(t, "bookings")["bookings"].drop("id", "created_at", "updated_at")
+    finished = t.orders.where("o_orderstatus = 'F'").select(F.lpad(F.col("o_orderkey").cast("string"), 10, "0").alias("book_ref"))
+    _land(t, landing, "2024-01-15", bookings.join(finished, "book_ref", "left_anti").select("total_amount", "book_ref", "book_date"))
+    _land(t, landing, "2024-01-16", bookings.join(finished, "book_ref", "left_semi").select("book_date", "book_ref"))
+    table = TABLES["bookings"]
+    batch = read_csv(t.spark, daily_root(landing, "bookings"), table.schema, table)
+    stream = stream_daily_landings(store, table, landing, scratch_path(t.spark, "progress"), SECOND_RUN, rules=False)
+    stream.awaitTermination()
+    how = lambda df, name: _booked(df).select(F.lit(name).alias("how"), "*")
+    return how(batch, "batch").unionByName(how(store.read("stg.bookings"), "stream"))
+
+
+@query(
+    "late_day",
+    f"""
+    WITH {STAGING_SQL}
+    SELECT book_ref, book_date, CAST(CASE o_orderstatus WHEN 'F' THEN total_amount + 1 ELSE total_amount END AS DECIMAL(10, 2)) AS total_amount
+    {_BOOKED_SQL}
+    """,
+)
+def late_day(t):
+    """The second day lands first; the first day then adds its rows and changes none that is newer."""
+    landing, store, progress = (scratch_path(t.spark, n) for n in ("landing", "store", "progress"))
+    store, bookings = Store(t.spark, store), staging(t, "bookings")["bookings"]
+    for ds, rows in (("2024-01-16", _raised(t, bookings, 1, "F")), ("2024-01-15", bookings)):
+        _land(t, landing, ds, rows)
+        _stream(t, store, landing, progress)
+    return _booked(store.read("stg.bookings"))
+
+
+@query(
+    "load_profile",
+    f"""
+    WITH {STAGING_SQL}
+    SELECT 'bookings' AS "table", 'book_ref' AS "column", count(*) AS rows, count(*) - count(book_ref) AS nulls,
+           min(book_ref) AS low, max(book_ref) AS high FROM bookings
+    UNION ALL SELECT 'bookings', 'total_amount', count(*), count(*) - count(total_amount),
+           min(total_amount)::VARCHAR, max(total_amount)::VARCHAR FROM bookings
+    UNION ALL SELECT 'flights', 'flight_id', count(*), 0, min(flight_id)::VARCHAR, max(flight_id)::VARCHAR FROM flights
+    UNION ALL SELECT 'flights', 'status', count(*), 0, min(status), max(status) FROM flights
+    UNION ALL SELECT 'flights', 'actual_departure', count(*), count(*) - count(actual_departure), NULL, NULL FROM flights
+    """,
+)
+def load_profiles(t):
+    """What the one pass of an extract saw of its columns; times are left out for their format."""
+    store, profiles = Store(t.spark, scratch_path(t.spark, "store")), []
+    tables = ("bookings", "flights")
+    extract_tables(staging(t, *tables).get, scratch_path(t.spark, "landing"), "2024-01-15", FIRST_RUN, tables=tables, profiles=profiles)
+    record_profiles(store, profiles)
+    shown = F.col("column").isin("book_ref", "total_amount", "flight_id", "status", "actual_departure")
+    timeless = lambda c: F.when(F.col("column") != "actual_departure", F.col(c)).alias(c)
+    return load_profile(store).where(shown).select("table", "column", "rows", "nulls", timeless("low"), timeless("high"))
+
+
+@query(
+    "load_waves",
+    f"""
+    WITH {STAGING_SQL},
+    found AS (
+        SELECT EXISTS (SELECT 1 FROM flights GROUP BY flight_no, scheduled_departure HAVING count(*) > 1)
+               OR EXISTS (FROM flights WHERE aircraft_code NOT IN (SELECT p_brand FROM part)) AS flights_bad,
+               EXISTS (SELECT 1 FROM boarding_passes GROUP BY flight_id, seat_no HAVING count(*) > 1)
+               OR EXISTS (SELECT 1 FROM boarding_passes GROUP BY flight_id, boarding_no HAVING count(*) > 1) AS passes_bad),
+    n AS (
+        SELECT 'aircrafts_data' AS "table", count(*) AS rows FROM aircrafts_data
+        UNION ALL SELECT 'airports_data', count(*) FROM airports_data UNION ALL SELECT 'bookings', count(*) FROM bookings
+        UNION ALL SELECT 'flights', count(*) FROM flights UNION ALL SELECT 'seats', count(*) FROM seats
+        UNION ALL SELECT 'tickets', count(*) FROM tickets UNION ALL SELECT 'ticket_flights', count(*) FROM ticket_flights
+        UNION ALL SELECT 'boarding_passes', count(*) FROM boarding_passes),
+    s AS (
+        SELECT "table", rows, CASE
+            WHEN "table" = 'flights' AND flights_bad THEN 'failed'
+            WHEN "table" IN ('ticket_flights', 'boarding_passes') AND flights_bad THEN 'blocked'
+            WHEN "table" = 'boarding_passes' AND passes_bad THEN 'failed' ELSE 'success' END AS status
+        FROM n, found)
+    SELECT "table", status, CASE status WHEN 'success' THEN rows WHEN 'blocked' THEN 0 END AS rows FROM s
+    """,
+)
+def load_waves(t):
+    """A full day with all rules on: tables that break one fail, those that refer to them wait, the rest is loaded."""
+    store, tables = Store(t.spark, scratch_path(t.spark, "store")), tuple(TABLES)
+    source, landing = stored(t, staging(t, *tables)), scratch_path(t.spark, "landing")
+    status = run_staging(store, source.get, landing, "2024-01-15", FIRST_RUN, on_failure="record")
+    return status.where("step = 'load'").select("table", "status", "rows")

@@ -41,11 +41,14 @@ def upsert(
     defaults: Mapping[str, Column] | None = None,
     on_duplicates: str = "error",
     order_by: str = "updated_at",
+    keep_newer: bool = False,
 ) -> DataFrame:
     """`target` after `batch`: new keys are inserted, known keys take the batch's columns.
 
     A NULL in the batch overwrites. Columns the batch does not have keep their value on
     update and take `defaults` (or NULL) on insert, so a generated id stays the same.
+    With `keep_newer` a known row whose `order_by` is later than the batch's stays as it is, if both
+    have that column and neither value is NULL.
 
     One full outer join on the key, whatever the sizes. Where only part of a table can be
     concerned, `target` should be that part: `plans.staging` gives the buckets of the batch.
@@ -55,7 +58,8 @@ def upsert(
     batch = _checked(batch, types, keys)
     batch = one_row_per_key(batch, keys, "upsert", on_duplicates, order_by)
     defaults = {name: value.cast(types[name]) for name, value in (defaults or {}).items()}
-    return _merged(target, batch, keys, defaults)
+    dated = order_by if keep_newer and order_by in batch.columns and order_by not in keys else None
+    return _merged(target, batch, keys, defaults, dated)
 
 
 def _packed(batch: DataFrame, keys: list[str]) -> DataFrame:
@@ -78,10 +82,13 @@ def _inserted(column: str, batch: DataFrame, defaults: Mapping[str, Column], dat
     return defaults.get(column, F.lit(None).cast(data_type)).alias(column)
 
 
-def _merged(target, batch, keys, defaults):
+def _merged(target, batch, keys, defaults, dated=None):
     rest = [c for c in target.columns if c not in keys]
     before = target.select(*keys, F.struct(*rest).alias("_old"))
     out = before.join(_packed(batch, keys), keys, "full_outer")
+    if dated:
+        late = F.coalesce(F.col("_old")[dated] > F.col("_new")[dated], F.lit(False))
+        out = out.withColumn("_new", F.when(~late, F.col("_new")))
     columns = []
     for name in target.columns:
         if name in keys:

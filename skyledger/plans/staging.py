@@ -4,7 +4,7 @@ import datetime as dt
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,7 +20,13 @@ from skyledger.sources.landing import drop_landing, landing_path, read_csv, to_l
 from skyledger.sources.store import BUCKET, Store, Version, bucket_number
 
 STATUS_SCHEMA = "`table` string, step string, status string, data_date date, `rows` bigint, run_ts timestamp_ntz"
-SUCCESS, SKIPPED = "success", "skipped"
+SUCCESS, SKIPPED, FAILED = "success", "skipped", "failed"
+#: Not loaded, since a table it refers to failed in the same run.
+BLOCKED = "blocked"
+PROFILE_SCHEMA = (
+    "`table` string, data_date date, run_ts timestamp_ntz, `column` string, `rows` bigint, nulls bigint, "
+    "distinct_values bigint, low string, high string"
+)
 
 
 def _status(table: str, step: str, status: str, ds, run_ts, rows: int | None = None) -> tuple:
@@ -57,17 +63,61 @@ def last_extract(store: Store, table: str, ds: str | dt.date) -> tuple[str, int
     return (found["status"], found["rows"]) if found else None
 
 
+def _measures(df: DataFrame) -> list[Column]:
+    """Rows, and for each column NULLs, distinct values (by a sketch), least and largest value as text."""
+    out = [F.count(F.lit(1)).alias("rows")]
+    for i, c in enumerate(df.columns):
+        col = F.col(f"`{c}`")
+        out += [
+            F.count_if(col.isNull()).alias(f"nulls_{i}"),
+            F.approx_count_distinct(col).alias(f"distinct_{i}"),
+            F.min(col).cast("string").alias(f"low_{i}"),
+            F.max(col).cast("string").alias(f"high_{i}"),
+        ]
+    return out
+
+
+def _profile_path(store: Store) -> str:
+    return store.path("stg.load_profile")
+
+
+def load_profile(store: Store) -> DataFrame:
+    """What each extract's one pass saw: a row for each run, table and column."""
+    return store.spark.read.schema(PROFILE_SCHEMA).parquet(_profile_path(store))
+
+
+def record_profiles(store: Store, rows: list[tuple]) -> None:
+    if rows:
+        store.spark.createDataFrame(rows, PROFILE_SCHEMA).coalesce(1).write.mode("append").parquet(_profile_path(store))
+
+
 def extract_table(
-    source: Source, table: Table, landing: str, ds: str | dt.date, run_ts: dt.datetime, incremental: bool = False
+    source: Source,
+    table: Table,
+    landing: str,
+    ds: str | dt.date,
+    run_ts: dt.datetime,
+    incremental: bool = False,
+    profiles: list | None = None,
 ) -> tuple:
-    """Write one extract as CSV; of an empty one no folder stays. The source is read once, the count comes with the write."""
+    """Write one extract as CSV; of an empty one no folder stays.
+
+    The source is read once: the count comes with the write, and with `profiles`, to which they are
+    added, the measures of all columns.
+    """
     rows, path = to_landing(extract(source, table.name, incremental, ds), table), landing_path(landing, table.name, incremental, ds)
     seen = Observation()
-    write_csv(rows.observe(seen, F.count(F.lit(1)).alias("rows")), path)
-    if not seen.get["rows"]:
+    write_csv(rows.observe(seen, *(_measures(rows) if profiles is not None else [F.count(F.lit(1)).alias("rows")])), path)
+    got = seen.get
+    if not got["rows"]:
         drop_landing(rows.sparkSession, path)
         return _status(table.name, "extract", SKIPPED, ds, run_ts, 0)
-    return _status(table.name, "extract", SUCCESS, ds, run_ts, seen.get["rows"])
+    if profiles is not None:
+        profiles += [
+            (table.name, parse_day(ds), run_ts, c, got["rows"], *(got[f"{m}_{i}"] for m in ("nulls", "distinct", "low", "high")))
+            for i, c in enumerate(rows.columns)
+        ]
+    return _status(table.name, "extract", SUCCESS, ds, run_ts, got["rows"])
 
 
 def extract_tables(
@@ -77,11 +127,31 @@ def extract_tables(
     run_ts: dt.datetime,
     incremental: bool = False,
     tables: Iterable[str] = tuple(TABLES),
+    profiles: list | None = None,
+    failures: list | None = None,
 ) -> list[tuple]:
-    """Extract all tables; they do not depend on each other, so their jobs overlap."""
+    """Extract all tables; they do not depend on each other, so their jobs overlap.
+
+    With `failures` a table that fails is added to them, has the status `failed`, and does not stop others.
+    """
+
+    def one(table: Table) -> tuple:
+        run = lambda: extract_table(source, table, landing, ds, run_ts, incremental, profiles)
+        return _guarded(run, table, "extract", ds, run_ts, failures)
+
     chosen = [TABLES[name] for name in tables]
     with ThreadPoolExecutor(max_workers=len(chosen)) as pool:
-        return list(pool.map(lambda t: extract_table(source, t, landing, ds, run_ts, incremental), chosen))
+        return list(pool.map(one, chosen))
+
+
+def _guarded(run, table: Table, step: str, ds, run_ts, failures: list | None) -> tuple:
+    if failures is None:
+        return run()
+    try:
+        return run()
+    except Exception as error:  # whatever it is, it is recorded and raised when the other tables are done
+        failures.append((table.name, step, error))
+        return _status(table.name, step, FAILED, ds, run_ts)
 
 
 def insert_defaults(table: Table, run_ts: dt.datetime) -> dict:
@@ -152,6 +222,7 @@ def upsert_table(
     on_duplicates: str = "error",
     rules: bool = True,
     order_by: str = "updated_at",
+    keep_newer: bool = False,
 ) -> int:
     """Upsert a batch into stg.<table>; returns the number of its rows.
 
@@ -180,7 +251,7 @@ def upsert_table(
     if before is None:
         after = first_rows(_by_bucket(batch), schema, keys, defaults, on_duplicates, order_by)
     else:
-        after = upsert(_by_bucket(before), _by_bucket(batch), keys, defaults, on_duplicates, order_by)
+        after = upsert(_by_bucket(before), _by_bucket(batch), keys, defaults, on_duplicates, order_by, keep_newer)
     version = store.begin(name)
     version.write_buckets(after, buckets)
     written = version.read_buckets(buckets, schema)
@@ -212,6 +283,17 @@ def load_table(
     return _status(table.name, "load", SUCCESS, ds, run_ts, last[1])
 
 
+def load_waves(tables: Iterable[str]) -> list[list[Table]]:
+    """The tables in waves: one refers only to tables of earlier waves, or to tables that are not chosen."""
+    chosen, waves, done = [t for t in LOAD_ORDER if t.name in set(tables)], [], set()
+    names = {t.name for t in chosen}
+    while len(done) < len(chosen):
+        wave = [t for t in chosen if t.name not in done and all(r.parent in done or r.parent not in names for r in t.references)]
+        waves.append(wave)
+        done |= {t.name for t in wave}
+    return waves
+
+
 def run_staging(
     store: Store,
     source: Source,
@@ -222,21 +304,36 @@ def run_staging(
     tables: Iterable[str] = tuple(TABLES),
     on_duplicates: str = "error",
     rules: bool = True,
+    on_failure: str = "raise",
 ) -> DataFrame:
     """One daily run; returns the status of every table and step.
 
-    Loads go in an order in which parents precede the tables that refer to them.
+    Loads go in waves, so that parents precede the tables that refer to them; the loads of a wave overlap.
+    A table that fails is recorded as `failed`; tables that refer to it are `blocked`, all others are
+    loaded. Then the first failure is raised, unless `on_failure` is "record".
     """
-    tables = tuple(tables)
-    statuses = extract_tables(source, landing, ds, run_ts, incremental, tables)
+    if on_failure not in ("raise", "record"):
+        raise ValueError(f"on_failure is 'raise' or 'record', not {on_failure!r}")
+    tables, profiles, failures = tuple(tables), [], []
+    statuses = extract_tables(source, landing, ds, run_ts, incremental, tables, profiles, failures)
     record_status(store, statuses)
-    loads = [
-        load_table(store, table, landing, ds, run_ts, incremental, on_duplicates, rules)
-        for table in LOAD_ORDER
-        if table.name in tables
-    ]
-    record_status(store, loads)
-    return status_frame(store.spark, [*statuses, *loads])
+    record_profiles(store, profiles)
+    for wave in load_waves(tables):
+        blocked = {name for name, _, _ in failures} | {s[0] for s in statuses if s[1] == "load" and s[2] == BLOCKED}
+
+        def one(table: Table) -> tuple:
+            if any(ref.parent in blocked for ref in table.references):
+                return _status(table.name, "load", BLOCKED, ds, run_ts, 0)
+            run = lambda: load_table(store, table, landing, ds, run_ts, incremental, on_duplicates, rules)
+            return _guarded(run, table, "load", ds, run_ts, failures)
+
+        with ThreadPoolExecutor(max_workers=len(wave)) as pool:
+            loads = list(pool.map(one, wave))
+        record_status(store, loads)
+        statuses = [*statuses, *loads]
+    if failures and on_failure == "raise":
+        raise failures[0][2]
+    return status_frame(store.spark, statuses)
 
 
 def staging_frames(store: Store) -> dict[str, DataFrame]:

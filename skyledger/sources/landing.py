@@ -1,6 +1,10 @@
 """Landing zone: CSV and JSON folders between the source and the staging tables."""
 
+import csv
 import datetime as dt
+import functools
+from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +24,7 @@ _WRITE = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
-# A file whose header differs from the columns read fails instead of being read by position.
+# Files are grouped by header and read by name; one whose header changes in between fails.
 _READ = {**_FORMAT, "multiLine": "true", "enforceSchema": "false"}
 ROWS_PER_FILE = 1_000_000
 
@@ -65,16 +69,57 @@ def drop_landing(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def _files(spark: SparkSession, path: str) -> list[str]:
+    """The CSV files of a folder and of the day folders in it, or the one file."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [s for pattern in (path, f"{path}/*", f"{path}/dt=*/*") for s in fs.globStatus(hadoop(pattern)) or []]
+    hidden = lambda s: s.getPath().getName().startswith(("_", "."))
+    return sorted(s.getPath().toString() for s in found if s.isFile() and s.getLen() and not hidden(s))
+
+
+def _header(spark: SparkSession, file: str) -> tuple[str, ...]:
+    """The column names of a file, of which only the beginning is read."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(file)
+    stream = at.getFileSystem(spark._jsc.hadoopConfiguration()).open(at)
+    try:
+        line = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+    finally:
+        stream.close()
+    names = tuple(next(csv.reader([line])))
+    if len(set(names)) < len(names):
+        raise ValueError(f"{file} names a column twice: {names}")
+    return names
+
+
+def read_csv_files(spark: SparkSession, files: Iterable[str], day: bool = False) -> DataFrame:
+    """Files of any column order, all columns as text and by name; a column a file lacks is NULL.
+
+    One scan for each header there is. `day` adds the day of the folder dt=<day> a file is in.
+    """
+    files = list(files)
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        headers = list(pool.map(lambda f: _header(spark, f), files))
+    parts = []
+    for names in sorted(set(headers)):
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+        part = spark.read.schema(schema).options(**_READ).csv([f for f, h in zip(files, headers) if h == names])
+        if day:
+            part = part.withColumn("dt", F.regexp_extract(F.col("_metadata.file_path"), r"/dt=(\d{4}-\d\d-\d\d)/", 1).cast("date"))
+        parts.append(part)
+    return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
-    """The columns named in the header, all as text; empty fields, quoted or not, are NULL."""
-    return spark.read.options(**_READ).csv(path)
+    """The columns named in the headers, all as text; empty fields, quoted or not, are NULL."""
+    return read_csv_files(spark, _files(spark, path) or [path])
 
 
-def stream_csv_text(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """New files under the dt= folders of `path`, all as text, with the folder's day in `dt`."""
-    fields = [T.StructField(c, T.StringType()) for c in columns]
-    schema = T.StructType([*fields, T.StructField("dt", T.DateType())])
-    return spark.readStream.schema(schema).options(**_READ).csv(path)
+def stream_landed_files(spark: SparkSession, path: str) -> DataFrame:
+    """New CSV files under the dt= folders of `path`, by name; their content is not read."""
+    listing = "path string, modificationTime timestamp, length bigint, content binary"
+    files = spark.readStream.schema(listing).format("binaryFile").option("pathGlobFilter", "*.csv")
+    return files.option("recursiveFileLookup", "true").load(path).where("length > 0").select("path")
 
 
 def _typed(name: str, data_type: T.DataType, table: Table | None) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from skyledger.daily import run_day
 from skyledger.operators.quality import RuleBroken
-from skyledger.plans.staging import load_table, run_staging, run_status, staging_frames, upsert_table
+from skyledger.plans.staging import load_profile, load_table, load_waves, run_staging, run_status, staging_frames, upsert_table
 from skyledger.plans.warehouse import TARGETS, run_warehouse
 from skyledger.schemas import LOAD_ORDER, TABLES
 from skyledger.session import scratch_path
@@ -215,3 +215,60 @@ def test_a_table_without_any_load_is_empty(spark, tmp_path):
         store.write(f"stg.{name}", df)
     passes = staging_frames(store)["boarding_passes"]
     assert passes.columns == TABLES["boarding_passes"].schema.names and passes.isEmpty()
+
+
+def test_load_waves():
+    names = [[t.name for t in wave] for wave in load_waves(TABLES)]
+    assert names == [
+        ["aircrafts_data", "airports_data", "bookings"], ["flights", "seats", "tickets"], ["ticket_flights"], ["boarding_passes"]
+    ]
+    assert [[t.name for t in wave] for wave in load_waves(["tickets", "seats"])] == [["seats", "tickets"]]
+
+
+@pytest.mark.parametrize("on_failure", ["record", "raise"])
+def test_a_failure_stops_its_dependents_only(spark, tmp_path, on_failure):
+    """A seat of an unknown class fails its load; a source that cannot be read fails its extract."""
+    bad = frames(spark, {**ROWS, "seats": [dict(r, fare_conditions="Roof") for r in ROWS["seats"]]}, with_ids=False)
+
+    def source(name):
+        if name == "tickets":
+            raise OSError("no such table")
+        return bad[name]
+
+    store = Store(spark, f"{tmp_path}/s")
+    run = lambda: run_staging(store, source, f"{tmp_path}/l", "2024-01-15", DAY1, on_failure=on_failure)
+    if on_failure == "raise":
+        with pytest.raises(OSError, match="no such table"):
+            run()
+    else:
+        run()
+    got = {(r["table"], r["step"]): r["status"] for r in run_status(store).collect()}
+    assert got["tickets", "extract"] == got["seats", "load"] == "failed"
+    assert {t for (t, step), s in got.items() if s == "blocked"} == {"ticket_flights", "boarding_passes"}
+    assert {t for (t, step), s in got.items() if step == "load" and s == "success"} == {"aircrafts_data", "airports_data", "bookings", "flights"}
+    assert got["tickets", "load"] == "skipped" and not store.exists("stg.seats")
+
+
+def test_profile_of_an_extract(spark, two_days):
+    store, *_ = two_days
+    got = {(r["table"], r["column"]): r for r in load_profile(store).where(F.col("run_ts") == F.lit(DAY1)).collect()}
+    assert {t for t, _ in got} == set(TABLES)
+    row = got["flights", "actual_departure"]
+    missing = sum(r.get("actual_departure") is None for r in ROWS["flights"])
+    assert (row["rows"], row["nulls"]) == (len(ROWS["flights"]), missing)
+    fares = [r["fare_conditions"] for r in ROWS["seats"]]
+    row = got["seats", "fare_conditions"]
+    assert (row["low"], row["high"], row["distinct_values"]) == (min(fares), max(fares), len(set(fares)))
+
+
+def test_a_day_that_lands_late_changes_nothing_newer(spark, tmp_path):
+    store, table, landing = Store(spark, f"{tmp_path}/s"), TABLES["bookings"], f"{tmp_path}/l"
+    base = frames(spark, with_ids=False)["bookings"]
+    stamp = F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")
+    newer = base.where("book_ref = '00000A'").withColumns({"total_amount": F.lit(5).cast("decimal(10,2)"), "updated_at": stamp})
+    for ds, df in (("2024-01-21", newer), ("2024-01-15", base), ("2024-01-22", newer.drop("total_amount"))):
+        write_csv(to_landing(df, table), landing_path(landing, "bookings", True, ds))
+        stream_daily_landings(store, table, landing, f"{tmp_path}/progress", DAY1, rules=False).awaitTermination()
+        got = {r["book_ref"]: float(r["total_amount"]) for r in store.read("stg.bookings").collect()}
+        assert got["00000A"] == 5.0
+    assert got == {"00000A": 5.0, "00000B": 12.5, "00000C": 9.99} and store.versions("stg.bookings") == [1, 2, 3]

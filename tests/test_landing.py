@@ -65,12 +65,20 @@ def test_one_file_of_another_program(spark, tmp_path):
     assert row["updated_at"] == dt.datetime(2024, 1, 15, 10, 0, 0, 500000) and "timezone" not in row
 
 
-def test_files_with_other_headers_fail(spark, tmp_path):
-    """Read by position they would exchange the two airports."""
+def test_files_with_other_headers_are_read_by_name(spark, tmp_path):
+    """Read by position they would exchange the two airports; a column that a file lacks is missing."""
     (tmp_path / "a.csv").write_text("flight_id,departure_airport,arrival_airport\n1,CGK,DPS\n")
-    (tmp_path / "b.csv").write_text("flight_id,arrival_airport,departure_airport\n2,CGK,DPS\n")
-    with pytest.raises(JOB_FAILURE):
-        read_csv(spark, str(tmp_path), TABLES["flights"].schema).collect()
+    (tmp_path / "b.csv").write_text('"flight_id","arrival_airport",departure_airport\n2,CGK,DPS\n')
+    (tmp_path / "c.csv").write_text("status,flight_id\nArrived,3\n")
+    (tmp_path / "d.csv").write_text("flight_id,departure_airport,arrival_airport\n4,SUB,CGK\n")
+    (tmp_path / "_hidden.csv").write_text("x\n1\n")
+    got = read_csv(spark, str(tmp_path), TABLES["flights"].schema)
+    columns = ("flight_id", "departure_airport", "arrival_airport", "status")
+    assert rows(got.select(*columns)) == [(1, "CGK", "DPS", None), (2, "DPS", "CGK", None), (3, None, None, "Arrived"), (4, "SUB", "CGK", None)]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 3
+    (tmp_path / "e.csv").write_text("flight_id,flight_id\n1,2\n")
+    with pytest.raises(ValueError, match="twice"):
+        read_csv(spark, str(tmp_path), TABLES["flights"].schema)
 
 
 def test_json_null_is_missing_where_a_column_may_be(spark, tmp_path):
