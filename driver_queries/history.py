@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from driver_queries.airline import STAGING_SQL, staging
 from driver_queries.registry import query
 from skyledger.operators import keyindex
+from skyledger.operators.digests import changed_parts, snapshot_changes_by_digest
 from skyledger.operators.joins import as_of_lookup, latest_per_key
 from skyledger.operators.snapshot import snapshot_changes, snapshot_check, snapshot_step, visible_versions
 from skyledger.operators.upsert import upsert
@@ -312,3 +313,24 @@ def as_of_versions(t):
     return as_of_lookup(
         orders, history, "c_custkey", "o_custkey", "o_orderdate", {"segment": "segment"}, "valid_from", "valid_to", how="left"
     )
+
+
+@query(
+    "scd2_digest",
+    f"""
+    WITH l1 AS (SELECT c_custkey, c_nationkey, c_acctbal, c_mktsegment FROM customer),
+         top AS (SELECT max(c_custkey) AS k FROM customer)
+    SELECT l1.*, {_version(_AT1, _AT2).replace('md5(c_custkey', 'md5(l1.c_custkey')}, CAST(1 AS BIGINT) AS compared FROM l1 JOIN top ON c_custkey = k
+    UNION ALL
+    SELECT c_custkey, c_nationkey, c_acctbal + 1, c_mktsegment, {_version(_AT2)}, CAST(1 AS BIGINT) FROM l1 JOIN top ON c_custkey = k
+    """,
+)
+def scd2_digest(t):
+    """One customer changes: what the run opens and closes, and how many key buckets it had to compare."""
+    path = scratch_path(t.spark, "open")
+    snapshot_changes(None, _customers(t), KEY, FIRST).write.parquet(path)
+    known = t.spark.read.parquet(path)
+    top = t.customer.agg(F.max("c_custkey")).scalar()
+    new = _customers(t).withColumn("c_acctbal", F.when(F.col("c_custkey") == top, F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal")))
+    compared = changed_parts(known, new, KEY, ["c_nationkey", "c_acctbal", "c_mktsegment"])[2]
+    return snapshot_changes_by_digest(known, new, KEY, SECOND).withColumn("compared", F.lit(compared).cast("bigint"))

@@ -13,6 +13,8 @@ from skyledger.plans.staging import extract_tables, load_profile, record_profile
 from skyledger.plans.warehouse import run_warehouse
 from skyledger.schemas import TABLES
 from skyledger.session import scratch_path
+from skyledger.sources.dump import dump_source, write_dump
+from skyledger.sources.extract import extract
 from skyledger.sources.landing import daily_root, landing_path, read_csv, to_landing, write_csv
 from skyledger.sources.store import Store
 from skyledger.streaming.landings import stream_daily_landings
@@ -523,3 +525,29 @@ def load_waves(t):
     source, landing = stored(t, staging(t, *tables)), scratch_path(t.spark, "landing")
     status = run_staging(store, source.get, landing, "2024-01-15", FIRST_RUN, on_failure="record")
     return status.where("step = 'load'").select("table", "status", "rows")
+
+
+@query(
+    "dump_roundtrip",
+    f"""
+    WITH {STAGING_SQL}
+    SELECT 'tickets' AS "table", ticket_no AS key, book_ref || '|' || passenger_name || '|' || coalesce(phone, '') AS value FROM tickets
+    UNION ALL SELECT 'ticket_flights', ticket_no || '|' || flight_id, fare_conditions || '|' || amount FROM ticket_flights
+    """,
+)
+def dump_roundtrip(t):
+    """Three tables written as one plain dump; two of them extracted from it by byte ranges."""
+    root = scratch_path(t.spark, "dump")
+    for name, df in staging(t, "tickets", "ticket_flights", "bookings").items():
+        write_dump(df, name, f"{root}/{name}")
+    source = dump_source(t.spark, root, split=1 << 18)
+    phone = F.coalesce(F.get_json_object("contact_data", "$.phone"), F.lit(""))
+    tickets = extract(source, "tickets").select(
+        F.lit("tickets").alias("table"), F.col("ticket_no").alias("key"), F.concat_ws("|", "book_ref", "passenger_name", phone).alias("value")
+    )
+    segments = extract(source, "ticket_flights").select(
+        F.lit("ticket_flights").alias("table"),
+        F.concat_ws("|", "ticket_no", "flight_id").alias("key"),
+        F.concat_ws("|", "fare_conditions", "amount").alias("value"),
+    )
+    return tickets.unionByName(segments)

@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.plans.staging import run_staging
 from skyledger.plans.warehouse import run_warehouse
+from skyledger.schemas import TABLES
 from skyledger.session import build_session
-from skyledger.sources.extract import Source, jdbc_source, parquet_source, table_source
+from skyledger.sources.extract import Source, jdbc_source, parquet_source, plan_splits, table_source
 from skyledger.sources.store import Store
 
 
@@ -52,17 +53,28 @@ def _arguments() -> argparse.Namespace:
     source.add_argument("--source-parquet", help="folder with one Parquet folder per table")
     source.add_argument("--source-database", help="catalog database with the tables")
     source.add_argument("--jdbc-url")
+    parser.add_argument("--jdbc-splits", type=int, default=32, help="ranges that a table loaded before is read in")
     parser.add_argument("--jdbc-schema", default="bookings")
     parser.add_argument("--jdbc-property", action="append", default=[], metavar="NAME=VALUE")
     return parser.parse_args()
 
 
+def known_splits(store: Store, count: int) -> dict[str, list[str]]:
+    """Ranges of the first key column of every staging table that has been loaded."""
+    loaded = [t for t in TABLES.values() if store.exists(f"stg.{t.name}")]
+    return {t.name: plan_splits(store.read(f"stg.{t.name}"), t.key[0], count) for t in loaded}
+
+
 def _source(spark: SparkSession, args: argparse.Namespace) -> Source:
     if args.source_parquet:
         return parquet_source(spark, args.source_parquet)
     if args.source_database:
         return table_source(spark, args.source_database)
-    return jdbc_source(spark, args.jdbc_url, args.jdbc_schema, **dict(p.split("=", 1) for p in args.jdbc_property))
+    # Of a table that was never loaded no key is known; its first load is by one task.
+    splits = known_splits(Store(spark, f"{args.root}/tables"), args.jdbc_splits)
+    first = [name for name in TABLES if name not in splits]
+    properties = dict(p.split("=", 1) for p in args.jdbc_property)
+    return jdbc_source(spark, args.jdbc_url, args.jdbc_schema, predicates=splits, single=first, **properties)
 
 
 def main() -> None:

@@ -49,8 +49,14 @@ def point_to_text(col: Column) -> Column:
     )
 
 
+def key_part(col: Column) -> Column:
+    """A key column as text in which `|` only stands behind a backslash, so that joined texts are unambiguous."""
+    escaped = F.replace(col.cast("string"), F.lit("\\"), F.lit("\\\\"))
+    return F.replace(escaped, F.lit("|"), F.lit("\\|"))
+
+
 def key_text(*cols: Column) -> Column:
-    return F.concat_ws("|", *[c.cast("string") for c in cols])
+    return F.concat_ws("|", *[key_part(c) for c in cols])
 
 
 def stable_id(table: str, *keys: Column) -> Column:

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skyledger.functions.values import key_part
 from skyledger.schemas import Table
 
 
@@ -92,7 +93,7 @@ def orphan_keys(
 def _listed(found: DataFrame, rule: Column | str, columns: Sequence[str], rows: Column) -> DataFrame:
     """Violations in one shape: rule, key text, rows."""
     rule = F.lit(rule) if isinstance(rule, str) else rule
-    key = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in columns])
+    key = F.concat_ws("|", *[F.coalesce(key_part(F.col(c)), F.lit("NULL")) for c in columns])
     return found.select(rule.alias("rule"), key.alias("key"), rows.cast("bigint").alias("rows"))
 
 

@@ -102,3 +102,10 @@ def test_stable_id_depends_on_table_and_key_only(spark):
     key = F.lit("A")
     row = one(spark, a=values.stable_id("x", key), b=values.stable_id("x", key), c=values.stable_id("y", key))
     assert row["a"] == row["b"] != row["c"] and [len(p) for p in row["a"].split("-")] == [8, 4, 4, 4, 12]
+
+
+def test_key_texts_are_unambiguous(spark):
+    df = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), ("a\\", "|c"), ("a\\|", "c"), ("a", "c")], "x string, y string")
+    rows = df.select(values.key_text(F.col("x"), F.col("y")).alias("k"), values.stable_id("t", F.col("x"), F.col("y")).alias("id")).collect()
+    assert len({r.k for r in rows}) == len({r.id for r in rows}) == 5
+    assert rows[4].k == "a|c"

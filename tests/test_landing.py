@@ -1,5 +1,7 @@
 import datetime as dt
+import decimal
 import json
+import random
 
 import pytest
 from failures import JOB_FAILURE
@@ -8,7 +10,7 @@ from pyspark.sql import functions as F
 
 from skyledger.schemas import TABLES
 from skyledger.sources import sqltext
-from skyledger.sources.extract import extract, jdbc_options, jdbc_source, parquet_source, table_source, touched_on
+from skyledger.sources.extract import extract, jdbc_options, jdbc_source, parquet_source, plan_splits, table_source, touched_on
 from skyledger.sources.landing import landing_path, read_csv, read_json, to_landing, write_csv, write_json
 
 
@@ -160,7 +162,44 @@ def test_jdbc_options():
 
 def test_jdbc_source_names_the_missing_driver(spark):
     with pytest.raises(Exception, match="(?i)driver"):
-        jdbc_source(spark, "jdbc:nosuch:db", "bookings")("flights")
+        jdbc_source(spark, "jdbc:nosuch:db", "bookings", single=True)("flights")
+
+
+def test_a_scan_by_one_task_has_to_be_asked_for(spark):
+    for single in (False, ["tickets"]):
+        with pytest.raises(ValueError, match="one task"):
+            jdbc_source(spark, "jdbc:nosuch:db", "bookings", single=single)("flights")
+    with pytest.raises(Exception, match="(?i)driver"):
+        jdbc_source(spark, "jdbc:nosuch:db", "bookings", predicates={"flights": ["flight_id < 1"]})("flights")
+
+
+KEYS = {
+    "string": ["", "a", "A", "'", "o'x", "é", "漢", "zz", "a b", "\\", "%", "0005432000987"],
+    "int": [-(2**31), -1, 0, 1, 7, 2**31 - 1],
+    "bigint": [-(2**63), 0, 5, 2**63 - 1],
+    "date": [dt.date(1, 1, 1), dt.date(2024, 2, 29), dt.date(9999, 12, 31)],
+    "timestamp_ntz": [dt.datetime(2024, 1, 1, 0, 0, 0, 1), dt.datetime(1970, 1, 1), dt.datetime(2030, 5, 5, 23, 59, 59, 999999)],
+    "decimal(10,2)": [decimal.Decimal("-1.50"), decimal.Decimal("0.00"), decimal.Decimal("12345678.90")],
+}
+
+
+@pytest.mark.parametrize("kind", list(KEYS))
+@pytest.mark.parametrize("known", [0, 1, 300])
+def test_splits_cover_any_key_once(spark, kind, known):
+    """Keys the plan knew, others, and none: each is in exactly one range."""
+    rng = random.Random(known)
+    value = {
+        "string": lambda: "".join(rng.choices("abAB'é漢 0", k=rng.randrange(6))),
+        "date": lambda: dt.date(2000, 1, 1) + dt.timedelta(days=rng.randrange(9000)),
+        "timestamp_ntz": lambda: dt.datetime(2000, 1, 1) + dt.timedelta(microseconds=rng.randrange(10**15)),
+        "decimal(10,2)": lambda: decimal.Decimal(rng.randrange(-10**6, 10**6)) / 100,
+    }.get(kind, lambda: rng.randrange(-1000, 1000))
+    last = spark.createDataFrame([(value(),) for _ in range(known)] + [(None,)], f"k {kind}")
+    splits = plan_splits(last, "k", 6, collation="UTF8_BINARY")
+    assert 1 <= len(splits) <= 6 and (known < 300 or len(splits) >= 4)
+    rows = spark.createDataFrame([(v,) for v in [*KEYS[kind], *(value() for _ in range(200)), None]], f"k {kind}")
+    hits = sum((F.when(F.expr(s), 1).otherwise(0) for s in splits), F.lit(0))
+    assert rows.where(hits != 1).collect() == []
 
 
 def test_sql_files(spark, tmp_path):
