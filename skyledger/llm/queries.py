@@ -140,8 +140,10 @@ def op4_warc(spark, folder):
     path = scratch_path(spark, "archives")
     warc.write_pages(table(spark, folder, "pages"), path)
     columns = ["record_id", "record_type", "payload_digest", "refers_to", "payload_bytes"]
-    records = warc.read_warc(spark, path, columns, verify=True)
-    return records.select(
+    # Payloads of responses are inflated and compared with their digests; of revisits only headers are read.
+    responses = warc.read_warc(spark, path, columns, {"record_type": ["response"], "record_id": "<urn:page:*"}, verify=True)
+    revisits = warc.read_warc(spark, path, columns, {"record_type": ["revisit"], "refers_to": "<urn:page:*"})
+    return responses.union(revisits).select(
         warc.page_number("record_id").alias("page_id"),
         "payload_bytes",
         F.substring_index("payload_digest", ":", -1).alias("payload_digest"),

@@ -17,7 +17,7 @@ import re
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 from pyarrow import fs as pafs
@@ -49,6 +49,8 @@ HEADERS = {
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 PARTITION_BYTES = 64 << 20
 HEAD = 2048
+#: The start of the names of the folders of writes, and the file in them that lists what is complete.
+WRITE, MARK = "write-", "_complete"
 END = b"\r\n\r\n"
 
 
@@ -192,6 +194,16 @@ class Test:
         return value in self.values if self.values is not None else value.startswith(self.start)
 
 
+def committed(store: pafs.FileSystem, found: list[pafs.FileInfo]) -> Callable[[str], bool]:
+    """Which files may be read: in the folder of a write those that its mark lists, elsewhere all."""
+    listed = set()
+    for f in found:
+        if f.path.endswith(f"/{MARK}"):
+            with store.open_input_stream(f.path) as stream:
+                listed |= {f"{f.path[: -len(MARK)]}{name}" for name in json.loads(stream.read())}
+    return lambda path: path in listed or not path.rsplit("/", 2)[-2].startswith(WRITE)
+
+
 class WarcReader(DataSourceReader):
     def __init__(self, options: dict, names: list[str]):
         self.path, self.names = options["path"], names
@@ -203,8 +215,9 @@ class WarcReader(DataSourceReader):
         """Files packed by size, the largest first; a file is read by one task."""
         store, path = open_store(self.path)
         found = store.get_file_info(pafs.FileSelector(path, recursive=True, allow_not_found=True))
+        whole = committed(store, found)
         files = sorted(
-            (f for f in found if re.search(r"\.warc(\.gz)?$", f.path) and "/_" not in f.path[len(path) :]),
+            (f for f in found if re.search(r"\.warc(\.gz)?$", f.path) and "/_" not in f.path[len(path) :] and whole(f.path)),
             key=lambda f: (-f.size, f.path),
         )
         out, room = [], 0
@@ -256,11 +269,14 @@ class Written(WriterCommitMessage):
 
 
 class WarcWriter(DataSourceArrowWriter):
-    """Each task writes a file of its own under a hidden folder; the commit moves the files of tasks that ended."""
+    """Each task writes a file of its own in the folder of the write; the commit lists those of tasks that ended.
+
+    The list is one file, written last, so readers see all of a write or nothing.
+    """
 
     def __init__(self, options: dict):
         self.path, self.date = options["path"], options.get("date", "1970-01-01T00:00:00Z")
-        self.hidden = f"_writing-{uuid.uuid4().hex}"
+        self.folder = f"{WRITE}{uuid.uuid4().hex}"
 
     def write(self, iterator) -> Written:
         store, root = open_store(self.path)
@@ -269,8 +285,8 @@ class WarcWriter(DataSourceArrowWriter):
             for low in range(0, batch.num_rows, 256):
                 for r in batch.slice(low, 256).to_pylist():
                     if stream is None:
-                        store.create_dir(f"{root}/{self.hidden}", recursive=True)
-                        stream = store.open_output_stream(f"{root}/{self.hidden}/{name}", compression=None)
+                        store.create_dir(f"{root}/{self.folder}", recursive=True)
+                        stream = store.open_output_stream(f"{root}/{self.folder}/{name}", compression=None)
                     payload, kind = (r["payload"] or "").encode(), "response" if r["refers_to"] is None else "revisit"
                     full = payload if kind == "response" else None
                     stream.write(
@@ -282,15 +298,15 @@ class WarcWriter(DataSourceArrowWriter):
 
     def commit(self, messages) -> None:
         store, root = open_store(self.path)
-        for m in messages:
-            if m is not None and m.path:
-                store.move(f"{root}/{self.hidden}/{m.path}", f"{root}/{m.path}")
-        self.abort(messages)
+        names = [m.path for m in messages if m is not None and m.path]
+        if names:
+            with store.open_output_stream(f"{root}/{self.folder}/{MARK}", compression=None) as stream:
+                stream.write(json.dumps(names).encode())
 
     def abort(self, messages) -> None:
         store, root = open_store(self.path)
-        if store.get_file_info(f"{root}/{self.hidden}").type != pafs.FileType.NotFound:
-            store.delete_dir(f"{root}/{self.hidden}")
+        if store.get_file_info(f"{root}/{self.folder}").type != pafs.FileType.NotFound:
+            store.delete_dir(f"{root}/{self.folder}")
 
 
 class WarcSource(DataSource):

@@ -102,3 +102,17 @@ def test_refused_tests(spark):
     for tests in ({"payload_bytes": ["3"]}, {"target_uri": "http://a"}):
         with pytest.raises(ValueError, match="no test"):
             warc.read_warc(spark, "x", tests=tests)
+
+
+def test_only_complete_writes_are_read(spark, tmp_path):
+    """A write that died leaves files without a list; files that a failed task left are not in the list."""
+    pages = spark.createDataFrame(PAGES[:3], SCHEMA)
+    warc.write_pages(pages, str(tmp_path))
+    warc.write_pages(pages, str(tmp_path))
+    assert warc.read_warc(spark, str(tmp_path)).count() == 6
+    folders = sorted(tmp_path.glob("write-*"))
+    assert len(folders) == 2
+    (folders[0] / "_complete").rename(folders[0] / "_other")
+    one = next(folders[1].glob("*.warc.gz"))
+    (folders[1] / "stray.warc.gz").write_bytes(one.read_bytes())
+    assert warc.read_warc(spark, str(tmp_path)).count() == 3
