@@ -149,14 +149,16 @@ def encode_texts(path: str, texts: list[str], threads: int = 1) -> list[list[int
     return [e.ids for e in build(path, threads).encode_batch_fast(texts, add_special_tokens=False)]
 
 
-def encode(df: DataFrame, path: str, text: str = "text", verify: Column | None = None, threads: int = 1) -> DataFrame:
+def encode(df: DataFrame, path: str, text: str = "text", verify: Column | None = None, threads: int | None = None) -> DataFrame:
     """Replace `text` by ids (array of int), round_trip and parity.
 
     Null and empty texts have no ids. round_trip says whether decoding gives the text again (a literal
     metaspace mark or a lone surrogate does not come back). parity says whether SentencePiece gives the
-    same ids, in rows for which `verify` is true, and is null in others. Every row has its own result,
-    also repeated ones; other columns stay, but for those with the names of the results.
+    same ids, in rows for which `verify` is true, and is null in others; where it does not, the ids are
+    SentencePiece's. Batches are encoded by `threads`, by default as many as a task has cores. Every row has
+    its own result, also repeated ones; other columns stay, but for those with the names of the results.
     """
+    threads = threads or int(df.sparkSession.sparkContext.getConf().get("spark.task.cpus", "1"))
     made = [
         StructField("ids", ArrayType(IntegerType())),
         StructField("round_trip", BooleanType()),
@@ -173,11 +175,12 @@ def encode(df: DataFrame, path: str, text: str = "text", verify: Column | None =
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts, own = batch.column("_p_text").to_pylist(), load(path)
         ids = encode_texts(path, texts, threads)
-        back = [own.decode(x) == t for x, t in zip(ids, texts)]
         parity: list[bool | None] = [None] * len(texts)
         asked = [i for i, v in enumerate(batch.column("_p_verify").to_pylist()) if v]
-        for i, want in zip(asked, own_library(path).encode([texts[i] for i in asked], num_threads=1)):
+        for i, want in zip(asked, own_library(path).encode([texts[i] for i in asked], num_threads=threads)):
             parity[i] = ids[i] == want
+            ids[i] = want
+        back = [own.decode(x) == t for x, t in zip(ids, texts)]
         columns = [pa.array(ids, pa.list_(pa.int32())), pa.array(back, pa.bool_()), pa.array(parity, pa.bool_())]
         return pa.RecordBatch.from_arrays([batch.column(n) for n in names] + columns, names + [m.name for m in made])
 

@@ -89,4 +89,17 @@ def test_queries(spark, library):
     rows = queries.QUERIES["op9_sentencepiece"](spark, folder).collect()
     assert counts == {k: len(library.encode(t)) for k, t in texts.items()}
     assert {r.doc_id: r.ids for r in rows} == {k: library.encode(t) for k, t in texts.items()}
-    assert all(r.round_trip and r.parity is (True if r.doc_id % 50 == 0 else None) for r in rows)
+    assert all(r.round_trip and r.parity is True for r in rows)
+
+
+def test_where_the_library_differs_its_ids_are_taken(spark, docs, library, monkeypatch):
+    """Threads change nothing; rows that are not verified have no parity; a wrong encoder is found and mended."""
+    some = docs.where("doc_id IS NOT NULL")
+    for threads in (None, 4):
+        rows = pieces.encode(some, PATH, verify=F.col("doc_id") % 2 == 0, threads=threads).collect()
+        assert {r.doc_id: r.ids for r in rows} == {i: library.encode(t or "") for i, t in enumerate(TEXTS)}
+        assert all(r.parity is (True if r.doc_id % 2 == 0 else None) for r in rows)
+    broken = some.withColumn("text", F.lit("wrong here"))
+    monkeypatch.setattr(pieces, "encode_texts", lambda path, texts, threads=1: [[5] for _ in texts])
+    rows = pieces.encode(broken, PATH, verify=F.col("doc_id") > 0).collect()
+    assert all((r.ids, r.parity) == ((library.encode("wrong here"), False) if r.doc_id else ([5], None)) for r in rows)
