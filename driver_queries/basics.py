@@ -14,6 +14,7 @@ from skyledger.operators import calendar, counts
 from skyledger.operators.joins import lookup
 from skyledger.sources import landing, sqltext
 from skyledger.sources.extract import extract, parquet_source, plan_splits, touched_on
+from skyledger.schemas import TABLES
 from skyledger.session import scratch_path
 
 JAKARTA = "Asia/Jakarta"
@@ -135,6 +136,23 @@ def json_text(t):
     return t.events.select("event_id", json_field(props, "k").alias("k"), json_field(props, "absent").alias("absent"))
 
 
+@query(
+    "json_documents",
+    """
+    SELECT c_custkey AS ticket_no,
+           CASE WHEN c_custkey % 5 > 1 THEN '{"phone":"+' || c_nationkey || '","segment":"' || c_mktsegment || '"}' END AS contact_data
+    FROM customer
+    """,
+)
+def json_documents(t):
+    """Nested values as JSON with sorted keys; missing and empty documents of a nullable column are NULL."""
+    filled = F.create_map(F.lit("segment"), F.col("c_mktsegment"), F.lit("phone"), F.concat(F.lit("+"), F.col("c_nationkey").cast("string")))
+    empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
+    kind = F.col("c_custkey") % 5
+    document = F.when(kind > 1, filled).when(kind == 1, empty).alias("contact_data")
+    return landing.to_landing(t.customer.select(F.col("c_custkey").alias("ticket_no"), document), TABLES["tickets"])
+
+
 @query(
     "dim_lookup",
     """
