@@ -102,3 +102,13 @@ def test_query_and_sql(spark, tmp_path):
     got = queries.QUERIES["op13_source_divergence"](spark, str(tmp_path))
     assert compare.spark_rows(got) == compare.sql_rows(con, queries.ORACLES["op13_source_divergence"])
     assert set(map(tuple, got.collect())) == plain([r[1:] for r in rows], 30)
+
+
+def test_long_text_ties_and_clashing_columns(spark):
+    """A text of a million terms; equal values rank by item; other columns play no part."""
+    rows = [("en", "long", "a b " * 500_000), ("en", "short", "a b c"), ("en", "third", "a b c")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    docs = docs.withColumns({c: divergence.F.lit("x") for c in ("term", "n", "value", "p", "block", "peers", "doc_id")})
+    got = set(map(tuple, divergence.audit(docs, least_docs=1).collect()))
+    assert got == plain(rows, 1)
+    assert [r[3] for r in sorted(got, key=lambda r: r[5]) if r[1:3] == ("long", "pair")] == ["short", "third"]
