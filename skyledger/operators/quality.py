@@ -59,17 +59,20 @@ def _key_place(columns: Sequence[str], bits: int) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(bits)) + 1
 
 
-def with_key_in(df: DataFrame, columns: Sequence[str], bitmaps: DataFrame, bits: int = KEY_BITS) -> DataFrame:
+def with_key_in(
+    df: DataFrame, columns: Sequence[str], bitmaps: DataFrame, bits: int = KEY_BITS, invert: bool = False
+) -> DataFrame:
     """The rows whose key may be among those of the bitmaps: all that are, and few others.
 
-    The bitmaps, bounded by `bits`, are sent to every task, so rows are left out where they are read,
-    before any exchange.
+    With `invert` the rows whose key is surely not among them, which are all others. The bitmaps, bounded
+    by `bits`, are sent to every task, so rows are left out where they are read, before any exchange.
     """
     place = _key_place(columns, bits)
     position = F.bitmap_bit_position(place)
     byte = F.conv(F.hex(F.substring(F.col("_bits"), (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    found = df.join(F.broadcast(bitmaps), F.bitmap_bucket_number(place) == F.col("_part"))
-    return found.where(F.getbit(byte, (position % 8).cast("int")) == 1).select(*df.columns)
+    found = df.join(F.broadcast(bitmaps), F.bitmap_bucket_number(place) == F.col("_part"), "left" if invert else "inner")
+    is_set = F.getbit(byte, (position % 8).cast("int")) == 1
+    return found.where(~F.coalesce(is_set, F.lit(False)) if invert else is_set).select(*df.columns)
 
 
 def orphan_keys(

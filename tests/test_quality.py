@@ -3,8 +3,17 @@ from decimal import Decimal
 
 import pytest
 from fleet import ROWS, at, frames
-
-from skyledger.operators.quality import RuleBroken, duplicate_keys, enforce, orphan_keys, table_violations
+from pyspark.sql import functions as F
+
+from skyledger.operators.quality import (
+    RuleBroken,
+    duplicate_keys,
+    enforce,
+    key_bitmaps,
+    orphan_keys,
+    table_violations,
+    with_key_in,
+)
 from skyledger.schemas import TABLES
 
 
@@ -72,6 +81,19 @@ def test_nulls_neither_clash_nor_refer(spark):
     assert sorted(map(tuple, orphan_keys(df, parent, ["a"]).collect())) == [(2, 2), (3, 1)]
 
 
+def test_bitmaps_divide_rows(spark):
+    """Every row is on one side; those with a key of the bitmaps are all on theirs, few others with them."""
+    keys = spark.range(0, 4000, 4).select("id", (F.col("id") % 3).cast("string").alias("s"))
+    rows = spark.range(4000).select("id", (F.col("id") % 3).cast("string").alias("s")).union(spark.sql("SELECT NULL, NULL"))
+    for bits, most in ((1 << 24, 1010), (64, 4001)):
+        maps = key_bitmaps(keys, ["id", "s"], bits)
+        inside, outside = with_key_in(rows, ["id", "s"], maps, bits), with_key_in(rows, ["id", "s"], maps, bits, invert=True)
+        assert inside.count() + outside.count() == 4001 and 1000 <= inside.count() <= most
+        assert outside.where("id % 4 = 0").isEmpty() and inside.where("id % 4 = 0").count() == 1000
+    none = key_bitmaps(keys.where("false"), ["id", "s"])
+    assert with_key_in(rows, ["id", "s"], none).isEmpty() and with_key_in(rows, ["id", "s"], none, invert=True).count() == 4001
+
+
 def test_checks_shuffle_counts_not_rows(spark, tmp_path):
     """Duplicates and orphans are counted per task before any exchange."""
     spark.range(1000).selectExpr("id % 7 AS k", "uuid() AS wide").write.parquet(f"{tmp_path}/t")
