@@ -118,7 +118,8 @@ def add_measures(df: DataFrame, text: str = "text", stop_words: str = STOP_WORDS
 def judge(df: DataFrame, text: str = "text", base: tuple = BASE_RULES, rules: tuple = RULES) -> DataFrame:
     """Add the measures, `base_failed` and `kept`, which is true if no rule of either table fails.
 
-    Null, empty and blank texts fail for want of words. Every row gets a verdict of its own.
+    Null, empty and blank texts fail for want of words. Every row gets a verdict of its own. STOP_WORDS are
+    of four languages; texts of others fail for want of stop words unless a table for them is given.
     """
     any_failed = lambda table: reduce(lambda a, b: a | b, (r.failed() for r in table), F.lit(False))
     df = add_measures(df, text).withColumn("base_failed", any_failed(base))
