@@ -97,13 +97,15 @@ def run_warehouse(
     """
     stg = staging_frames(store)
     write_calendar(store, stg, zone, span)
+    # Current versions are read without the closed ones.
+    read = store.read_open if versions == "current" else store.read_history
     options = {"zone": zone, "versions": versions, "truncate": truncate, "passenger_join": passenger_join}
     for wave in WAVES:
         chosen = [name for name in wave if name in names]
         if not chosen:
             continue
         dims = {d: store.read(f"final.{d}") for d in ("dim_date", "dim_time")}
-        dims.update({d: store.read_history(f"final.{d}") for d in DIMENSIONS if store.exists(f"final.{d}")})
+        dims.update({d: read(f"final.{d}") for d in DIMENSIONS if store.exists(f"final.{d}")})
 
         def snapshot(name: str) -> None:
             snapshot_table(store, name, TARGETS[name].build(stg, dims, **options), run_ts)
