@@ -15,6 +15,7 @@ import os
 import struct
 from dataclasses import dataclass
 from functools import cached_property, lru_cache
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -102,8 +103,8 @@ class Pieces:
 
     def decode(self, ids: list[int]) -> str:
         """The text of the ids; bytes that are no UTF-8 become replacement characters."""
-        table = self.table
-        text = b"".join([table[i] for i in ids]).decode("utf-8", "replace")
+        found = itemgetter(*ids)(self.table) if len(ids) > 1 else [self.table[i] for i in ids]
+        text = b"".join(found).decode("utf-8", "replace")
         return text[1:] if self.dummy_prefix and text[:1] == " " else text
 
 
