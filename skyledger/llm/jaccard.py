@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 
 from skyledger.llm.common import byte_slices, mix, stored
 from skyledger.llm.graph import components
-from skyledger.operators.quality import key_bitmaps, with_key_in
 
 SHINGLE = 5
 #: Similarity at least PART / WHOLE.
@@ -538,13 +537,11 @@ def keep_one(df: DataFrame) -> DataFrame:
     found = stored(found.join(first, "component").withColumn("stays", F.col("first") == F.struct(*key)), "found")
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = df.withColumns({"_j_t": F.xxhash64(text), "_j_n": F.length(text)})
-    # Keys that do not all stay once. A bitmap of them tells most rows apart where they are read, so only the
-    # texts of rows that go, repeat, or share a bit with these are shuffled.
-    doubtful = stored(found.where("NOT stays OR rows > 1").select(*key, "stays").toDF(*names, "_j_stays"), "doubtful")
-    bits = key_bitmaps(doubtful, names)
-    sure = with_key_in(rows, names, bits, invert=True).select(df.columns)
-    maybe = with_key_in(rows, names, bits)
-    kept = maybe.join(doubtful, names, "left_anti").select(df.columns)
-    repeated = doubtful.where("_j_stays").drop("_j_stays")
-    one = maybe.join(repeated, names, "left_semi").groupBy(*names).agg(F.min(F.struct(*df.columns)).alias("_row"))
-    return sure.union(kept).union(one.select("_row.*")).select(df.columns)
+    # Stored by themselves, so that their few bytes are known when the join with the texts is planned.
+    gone = stored(found.where(~F.col("stays")).select(*key).toDF(*names), "gone")
+    kept = rows.join(gone, names, "left_anti")
+    repeated = stored(found.where("stays AND rows > 1").select(*key).toDF(*names), "repeated")
+    if not repeated.isEmpty():
+        one = kept.join(repeated, names, "left_semi").groupBy(*names).agg(F.min(F.struct(*df.columns)).alias("_row"))
+        kept = kept.join(repeated, names, "left_anti").select(df.columns).union(one.select("_row.*"))
+    return kept.select(df.columns)
