@@ -52,3 +52,8 @@ def test_each_stage_and_the_whole(spark, tmp_path):
     library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(corpus_pipeline.MODEL))
     assert sorted((r.doc_id, r.ids) for r in kept[4]) == sorted((r.doc_id, library.encode(r.text)) for r in kept[3])
     assert sorted(corpus_pipeline.run(spark, FOLDER).collect()) == sorted(kept[4])
+
+
+def test_every_row_is_checked_by_the_encoder(spark):
+    docs = spark.createDataFrame([(i, "en", "s", f"some words {i}") for i in (1, 49, 50, 51)], "doc_id long, lang string, source string, text string")
+    assert [r.parity for r in corpus_pipeline.encode_pieces(spark, docs, FOLDER).collect()] == [True] * 4
