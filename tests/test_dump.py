@@ -4,6 +4,7 @@ import pytest
 from fleet import frames
 
 from skyledger.schemas import TABLES
+from skyledger.sources import dump
 from skyledger.sources.dump import dump_blocks, dump_source, value, write_dump
 
 DUMP = """--
@@ -79,3 +80,29 @@ def test_round_trip_of_every_table(spark, tmp_path, name):
 def test_fields():
     fields = {"\\N": None, "": "", "\\\\N": "\\N", "a\\tb\\r": "a\tb\r", "\\x4a\\112\\q": "JJq"}
     assert {f: value(f) for f in fields} == fields
+
+
+def test_short_ranges_do_not_become_a_task_each(spark, tmp_path):
+    """Many short ranges and files are put together, so tasks do not grow with the dump before they are full."""
+    (tmp_path / "init.sql").write_text(DUMP.replace("773\t1A\tBusiness\n", "773\t1A\tBusiness\n" * 5000))
+    seats = dump_source(spark, f"{tmp_path}/init.sql", 64)("seats")
+    assert seats.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
+    assert seats.count() == len(SEATS) + 4999
+
+
+@pytest.mark.parametrize("text", ["a\r\n\n\nCOPY x.y (a) FROM stdin;\n\\.\nlong line\nb", "\n", "x", "\\.\r\nCOPY a (b) FROM stdin;"])
+@pytest.mark.parametrize("chunk", [1, 3, 1 << 20])
+def test_every_line_is_in_one_range(tmp_path, monkeypatch, text, chunk):
+    monkeypatch.setattr(dump, "CHUNK", chunk)
+    path, data = tmp_path / "d", text.encode()
+    path.write_bytes(data)
+    starts = [0, *(i + 1 for i, c in enumerate(data[:-1]) if c == 10)]
+    for size in (1, 2, 5, 100):
+        found = []
+        for low in range(0, len(data), size):
+            for at, lines in dump._chunks(str(path), low, min(low + size, len(data))):
+                for line in lines.splitlines(keepends=True) if b"\r" not in lines else lines.replace(b"\r", b"").splitlines():
+                    found.append(line)
+        assert len(found) == len(starts)
+        marks = [m for i, j in zip(starts, [*starts[1:], len(data)]) for m in dump._marks(i, data[i:j])]
+        assert sorted(dump._marks(0, data)) == marks
