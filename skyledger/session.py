@@ -17,6 +17,10 @@ SETTINGS = {
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # jsonb keeps the last of two equal keys instead of failing.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # Ids are hexadecimal digests, which only an entropy coder makes smaller.
+    "spark.sql.parquet.compression.codec": "zstd",
+    # The shuffles of a write or a count go when it is done, not when the driver next collects garbage.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
 
 _local_scratch = []
