@@ -20,14 +20,15 @@ def entries(rows: DataFrame, columns: Sequence[str], key: Sequence[str]) -> Data
 
 
 def changed_entries(
-    before: DataFrame | None, after: DataFrame, batch_keys: DataFrame, columns: Sequence[str], key: Sequence[str]
+    before: DataFrame | None, after: DataFrame, batch_keys: DataFrame | None, columns: Sequence[str], key: Sequence[str]
 ) -> DataFrame:
     """Entries that a batch takes away (`come` false) and brings (true); a value that stays is in neither.
 
-    `before` and `after` are the rows of the buckets that the batch touches.
+    `before` and `after` are the rows of the buckets that the batch touches; without `batch_keys` all rows of
+    `after` are the batch's.
     """
     columns, key = list(columns), list(key)
-    touched = after.join(batch_keys.select(*key), key, "left_semi")
+    touched = after.dropna(subset=key) if batch_keys is None else after.join(batch_keys.select(*key), key, "left_semi")
     new = touched.select(*key, F.struct(*columns).alias("_new"))
     if before is None:
         pairs = new.withColumn("_old", F.lit(None).cast(new.schema["_new"].dataType))

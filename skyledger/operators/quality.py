@@ -126,18 +126,19 @@ def table_violations(table: Table, frames: Mapping[str, DataFrame]) -> DataFrame
 def batch_violations(
     table: Table,
     after: DataFrame,
-    batch_keys: DataFrame,
+    batch_keys: DataFrame | None,
     parents: Mapping[str, DataFrame],
     clashes: Mapping[tuple[str, ...], DataFrame],
 ) -> DataFrame:
     """Rules that a batch broke in the table `after` it, of which the buckets it touched suffice.
 
-    Only rows with a key of the batch are tested: rows loaded earlier passed then, and parents
+    Without `batch_keys` all rows of the table are the batch's. Only rows with a key of the batch are tested: rows loaded earlier passed then, and parents
     are never deleted. `clashes` holds, for each further unique key, its values that several rows
     have now and the batch brought (see `keyindex`). The key itself is not tested, an upsert
     cannot repeat it.
     """
-    touched = after.join(batch_keys.select(*table.key), list(table.key), "left_semi")
+    keys = list(table.key)
+    touched = after.dropna(subset=keys) if batch_keys is None else after.join(batch_keys.select(*keys), keys, "left_semi")
     parts = _row_and_reference_violations(table, touched, parents)
     parts += [_listed(clashes[c], f"unique_{'_'.join(c)}", c, F.col("rows")) for c in table.unique]
     return _collected(table, parts)

@@ -1,6 +1,7 @@
 """Daily staging: extract every table to the landing zone, then upsert it."""
 
 import datetime as dt
+import math
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -23,6 +24,8 @@ STATUS_SCHEMA = "`table` string, step string, status string, data_date date, `ro
 SUCCESS, SKIPPED, FAILED = "success", "skipped", "failed"
 #: Not loaded, since a table it refers to failed in the same run.
 BLOCKED = "blocked"
+#: The part of a bucket that a task has its rows of, by number; and the Parquet bytes meant for a task.
+PART, TASK_BYTES = "store_part", 16 << 20
 PROFILE_SCHEMA = (
     "`table` string, data_date date, run_ts timestamp_ntz, `column` string, `rows` bigint, nulls bigint, "
     "distinct_values bigint, low string, high string"
@@ -107,7 +110,8 @@ def extract_table(
     """
     rows, path = to_landing(extract(source, table.name, incremental, ds), table), landing_path(landing, table.name, incremental, ds)
     seen = Observation()
-    write_csv(rows.observe(seen, *(_measures(rows) if profiles is not None else [F.count(F.lit(1)).alias("rows")])), path)
+    measures = _measures(rows) if profiles is not None else [F.count(F.lit(1)).alias("rows")]
+    write_csv(rows.observe(seen, *measures), path, compression="gzip")
     got = seen.get
     if not got["rows"]:
         drop_landing(rows.sparkSession, path)
@@ -173,8 +177,10 @@ def _in_bucket(df: DataFrame, schema: T.StructType, columns: Sequence[str], buck
     return df.withColumn(BUCKET, bucket_number(keys, buckets))
 
 
-def _by_bucket(df: DataFrame) -> DataFrame:
-    return df.repartition(BUCKET)
+def _by_bucket(df: DataFrame, schema: T.StructType, columns: Sequence[str], parts: int = 1) -> DataFrame:
+    """The rows with their part in PART; those of one bucket and part meet in one task."""
+    keys = [F.col(c).cast(schema[c].dataType) for c in columns]
+    return df.withColumn(PART, F.pmod(F.hash(*keys), F.lit(parts))).repartition(BUCKET, PART)
 
 
 def _numbers(df: DataFrame) -> list[int]:
@@ -182,8 +188,13 @@ def _numbers(df: DataFrame) -> list[int]:
     return sorted(r[0] for r in df.select(BUCKET).distinct().collect())
 
 
-def _with_bucket(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
+def _with_bucket(schema: T.StructType, *more: str) -> T.StructType:
+    return T.StructType([*schema.fields, *(T.StructField(c, T.IntegerType()) for c in (BUCKET, *more))])
+
+
+def task_parts(total: int, buckets: int) -> int:
+    """In how many parts a bucket is dealt to tasks, given the bytes of the rows; each becomes a file of the bucket."""
+    return max(1, math.ceil(total / buckets / TASK_BYTES))
 
 
 def index_name(columns: Sequence[str]) -> str:
@@ -193,14 +204,16 @@ def index_name(columns: Sequence[str]) -> str:
 def rebucket(store: Store, table: Table, buckets: int) -> None:
     """Rewrite stg.<table> and its key indexes in another number of buckets; a table as a whole becomes one in buckets."""
     rows, version = store.read(f"stg.{table.name}"), store.begin(f"stg.{table.name}")
-    parts = [(None, rows, table.key)]
-    parts += [(index_name(c), keyindex.entries(rows, c, table.key), c) for c in table.unique]
-    for name, part, columns in parts:
-        version.write_buckets(_by_bucket(_in_bucket(part, table.schema, columns, buckets)), buckets, name)
+    parts = task_parts(store.folder_bytes(store.path(f"stg.{table.name}")), buckets)
+    written = [(None, rows, table.key)]
+    written += [(index_name(c), keyindex.entries(rows, c, table.key), c) for c in table.unique]
+    for name, part, columns in written:
+        part = _by_bucket(_in_bucket(part, table.schema, columns, buckets), table.schema, columns, parts)
+        version.write_buckets(part.drop(PART), buckets, name)
     version.commit()
 
 
-def _index_after(store: Store, version: Version, table: Table, columns, before, after, batch, buckets) -> DataFrame:
+def _index_after(store: Store, version: Version, table: Table, columns, before, after, batch, buckets, parts) -> DataFrame:
     """Write the index of unique columns after a batch, as part of the version; returns the clashes."""
     spark, name = store.spark, index_name(columns)
     changes = keyindex.changed_entries(before, after, batch, columns, table.key)
@@ -210,7 +223,8 @@ def _index_after(store: Store, version: Version, table: Table, columns, before,
         return spark.createDataFrame([], schema).select(*columns, F.lit(0).cast("bigint").alias("rows"))
     chosen = _numbers(changes)
     known = store.read_buckets(version.table, chosen, name)
-    version.write_buckets(_by_bucket(keyindex.after_changes(known, changes)), buckets, name, chosen)
+    now = _by_bucket(keyindex.after_changes(known, changes), schema, columns, parts).drop(PART)
+    version.write_buckets(now, buckets, name, chosen)
     return keyindex.clashes(version.read_buckets(buckets, schema, name), changes, columns)
 
 
@@ -245,21 +259,26 @@ def upsert_table(
         if wanted:
             rebucket(store, table, wanted)
             buckets = wanted
+    parts = task_parts(store.folder_bytes(path) + (0 if first else store.live_bytes(name)), buckets)
     batch = _in_bucket(batch, table.schema, table.key, buckets)
     before = None if first else store.read_buckets(name, _numbers(batch))
-    keys, schema = [BUCKET, *table.key], _with_bucket(table.schema)
+    keys, schema = [BUCKET, PART, *table.key], _with_bucket(table.schema)
+    dealt = lambda rows: _by_bucket(rows, table.schema, table.key, parts)
     if before is None:
-        after = first_rows(_by_bucket(batch), schema, keys, defaults, on_duplicates, order_by)
+        after = first_rows(dealt(batch), _with_bucket(table.schema, PART), keys, defaults, on_duplicates, order_by)
     else:
-        after = upsert(_by_bucket(before), _by_bucket(batch), keys, defaults, on_duplicates, order_by, keep_newer)
+        after = upsert(dealt(before), dealt(batch), keys, defaults, on_duplicates, order_by, keep_newer)
     version = store.begin(name)
-    version.write_buckets(after, buckets)
+    version.write_buckets(after.drop(PART), buckets)
     written = version.read_buckets(buckets, schema)
-    clashes = {c: _index_after(store, version, table, c, before, written, batch, buckets) for c in table.unique}
+    # Of a first batch every row is in the table, and all rows of the table are the batch's.
+    touched = None if first else batch
+    clashes = {c: _index_after(store, version, table, c, before, written, touched, buckets, parts) for c in table.unique}
     if rules:
         parents = {ref.parent: store.read(f"stg.{ref.parent}") for ref in table.references}
-        enforce(batch_violations(table, written, batch, parents, clashes))
+        enforce(batch_violations(table, written, touched, parents, clashes))
     version.commit()
+    drop_landing(store.spark, path)  # the batch is in the table now
     return n
 
 

@@ -59,8 +59,10 @@ def to_landing(df: DataFrame, table: Table) -> DataFrame:
     return df.select(*out)
 
 
-def write_csv(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
-    df.write.mode("overwrite").options(**_WRITE).option("maxRecordsPerFile", rows_per_file).csv(path)
+def write_csv(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE, compression: str = "none") -> None:
+    """One header in each file. Files cannot be split anyway, so `compression` costs no tasks when they are read."""
+    options = {"maxRecordsPerFile": rows_per_file, "compression": compression}
+    df.write.mode("overwrite").options(**_WRITE, **options).csv(path)
 
 
 def drop_landing(spark: SparkSession, path: str) -> None:
@@ -81,7 +83,10 @@ def _files(spark: SparkSession, path: str) -> list[str]:
 def _header(spark: SparkSession, file: str) -> tuple[str, ...]:
     """The column names of a file, of which only the beginning is read."""
     at = spark._jvm.org.apache.hadoop.fs.Path(file)
-    stream = at.getFileSystem(spark._jsc.hadoopConfiguration()).open(at)
+    conf = spark._jsc.hadoopConfiguration()
+    stream, codec = at.getFileSystem(conf).open(at), spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(at)
+    if codec is not None:
+        stream = codec.createInputStream(stream)
     try:
         line = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
     finally:
@@ -118,7 +123,7 @@ def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
 def stream_landed_files(spark: SparkSession, path: str) -> DataFrame:
     """New CSV files under the dt= folders of `path`, by name; their content is not read."""
     listing = "path string, modificationTime timestamp, length bigint, content binary"
-    files = spark.readStream.schema(listing).format("binaryFile").option("pathGlobFilter", "*.csv")
+    files = spark.readStream.schema(listing).format("binaryFile").option("pathGlobFilter", "*.csv{,.gz}")
     return files.option("recursiveFileLookup", "true").load(path).where("length > 0").select("path")
 
 

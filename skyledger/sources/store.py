@@ -206,10 +206,14 @@ class Store:
 
     def crowded(self, table: str) -> int:
         """How many buckets the table should have, if those it has are far too large; else 0."""
+        of, total = self.buckets(table), self.live_bytes(table)
+        return self.wanted_buckets(total) if of and total > GROWTH * self.bucket_bytes * of else 0
+
+    def live_bytes(self, table: str) -> int:
+        """Bytes of the buckets that readers of a table see."""
         files = self._bucket_files(table)
         of, latest = self._latest(files)
-        total = sum(size for version, buckets, bucket, size in files if buckets == of and latest[bucket] == version)
-        return self.wanted_buckets(total) if of and total > GROWTH * self.bucket_bytes * of else 0
+        return sum(size for version, buckets, bucket, size in files if buckets == of and latest[bucket] == version)
 
     def folder_bytes(self, path: str) -> int:
         at, fs = self._hadoop(path)

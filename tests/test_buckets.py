@@ -8,8 +8,10 @@ from failures import JOB_FAILURE
 from fleet import ROWS, frames
 
 from skyledger.operators.quality import RuleBroken
-from skyledger.plans.staging import upsert_table
+from skyledger.plans import staging
+from skyledger.plans.staging import extract_table, upsert_table
 from skyledger.schemas import TABLES
+from skyledger.sources.landing import read_csv
 from skyledger.sources.store import Store
 
 AT = dt.datetime(2024, 1, 15, 1)
@@ -154,3 +156,36 @@ def test_first_batch_with_a_clash_leaves_no_table(spark, tmp_path):
     with pytest.raises(RuleBroken, match="unique_flight_id_seat_no"):
         upsert_table(store, PASSES, passes(spark, {("a", 1): (1, "1A"), ("b", 1): (2, "1A")}), AT)
     assert not store.exists("stg.boarding_passes")
+
+
+def test_a_large_bucket_is_dealt_over_tasks(spark, tmp_path, monkeypatch):
+    """Its parts are files of one bucket; rows stay those of a row-by-row upsert."""
+    monkeypatch.setattr(staging, "TASK_BYTES", 1000)
+    # Kept apart, as it would be with parts of full size.
+    monkeypatch.setattr(staging, "_by_bucket", lambda *a, known=staging._by_bucket: known(*a).repartition(8, staging.BUCKET, staging.PART))
+    store = Store(spark, str(tmp_path))
+    upsert_table(store, BOOKINGS, bookings(spark, dict.fromkeys(range(200), 1.0)), AT)
+    upsert_table(store, BOOKINGS, bookings(spark, dict.fromkeys(range(100, 300), 2.0)), AT)
+    assert store.buckets("stg.bookings") == 1
+    assert len({f for f in bucket_files(tmp_path) if "store_version=2" in f}) > 1
+    assert amounts(store) == {**dict.fromkeys(range(100), 1.0), **dict.fromkeys(range(100, 300), 2.0)}
+
+
+def test_the_staged_batch_goes_once_it_is_loaded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(staging, "scratch_path", lambda _, name: f"{tmp_path}/scratch/{name}")
+    upsert_table(Store(spark, f"{tmp_path}/store"), BOOKINGS, bookings(spark, {1: 1.0}), AT)
+    assert not (tmp_path / "scratch" / "batch").exists()
+
+
+def test_a_first_batch_is_tested_without_being_joined_with_itself(spark):
+    after = passes(spark, {("a", 1): (1, "1A"), (None, 1): (2, "1B")})
+    changed = staging.keyindex.changed_entries(None, after, None, ("flight_id", "seat_no"), PASSES.key)
+    assert rows(changed) == [(True, 1, "1A", "a")]
+    assert "Join" not in changed._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_extracts_are_landed_compressed(spark, tmp_path):
+    extract_table(frames(spark).get, FLIGHTS, str(tmp_path), "2024-01-15", AT)
+    files = list((tmp_path / "full" / "flights").glob("part-*"))
+    assert files and all(f.name.endswith(".csv.gz") for f in files)
+    assert rows(read_csv(spark, f"{tmp_path}/full/flights", FLIGHTS.schema, FLIGHTS)) == rows(frames(spark)["flights"])
