@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from skyledger.llm.common import byte_slices, mix, stored
 from skyledger.llm.graph import components
+from skyledger.llm.membership import with_membership
 
 SHINGLE = 5
 #: Similarity at least PART / WHOLE.
@@ -531,17 +532,19 @@ def keep_one(df: DataFrame) -> DataFrame:
     id stay; columns stay.
     """
     key, names = ["doc_id", "t", "n_chars"], ["doc_id", "_j_t", "_j_n"]
-    found = stored(labels(df.select("doc_id", "text")), "labels").where("component IS NOT NULL AND doc_id IS NOT NULL")
-    found = found.groupBy(*key, "component").agg(F.count("*").alias("rows"))
+    every = stored(labels(df.select("doc_id", "text")), "labels")
+    grouped = F.col("component").isNotNull() & F.col("doc_id").isNotNull()
+    found = every.where(grouped).groupBy(*key, "component").agg(F.count("*").alias("rows"))
     first = found.groupBy("component").agg(F.min(F.struct(*key)).alias("first"))
-    found = stored(found.join(first, "component").withColumn("stays", F.col("first") == F.struct(*key)), "found")
+    found = found.join(first, "component").withColumn("_j_gone", F.col("first") != F.struct(*key))
+    found = found.withColumn("_j_many", ~F.col("_j_gone") & (F.col("rows") > 1)).select(*key, "_j_gone", "_j_many")
+    others = every.where(~grouped).select(*key, F.lit(False).alias("_j_gone"), F.lit(False).alias("_j_many"))
+    told = stored(found.union(others.distinct()).toDF(*names, "_j_gone", "_j_many"), "found")
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = df.withColumns({"_j_t": F.xxhash64(text), "_j_n": F.length(text)})
-    # Stored by themselves, so that their few bytes are known when the join with the texts is planned.
-    gone = stored(found.where(~F.col("stays")).select(*key).toDF(*names), "gone")
-    kept = rows.join(gone, names, "left_anti")
-    repeated = stored(found.where("stays AND rows > 1").select(*key).toDF(*names), "repeated")
-    if not repeated.isEmpty():
-        one = kept.join(repeated, names, "left_semi").groupBy(*names).agg(F.min(F.struct(*df.columns)).alias("_row"))
-        kept = kept.join(repeated, names, "left_anti").select(df.columns).union(one.select("_row.*"))
+    kept = with_membership(rows, told, names, "_j_gone").where(~F.col("_j_gone")).drop("_j_gone")
+    if not told.where("_j_many").isEmpty():
+        kept = with_membership(kept, told, names, "_j_many")
+        one = kept.where("_j_many").groupBy(*names).agg(F.min(F.struct(*df.columns)).alias("_row"))
+        kept = kept.where(~F.col("_j_many")).select(df.columns).union(one.select("_row.*"))
     return kept.select(df.columns)

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import SPACE, stored
+from skyledger.llm.membership import with_membership
 
 WEIGHTS = (5, 2, 1)
 BLOCK = 1024
@@ -156,8 +157,13 @@ def mix(df: DataFrame, text: str = "text", **how) -> DataFrame:
     keys = ["doc_id", "source"]
     sized = df.withColumn("_m_size", n_words(text))
     plan = plan_mix(stored(sized.select(*keys, F.col("_m_size").alias("size")), "sizes"), **how)
-    plan = plan.where("copies > 0").select(*(F.col(k).alias(f"_m_{k}") for k in keys), F.col("size").alias("_m_of"), "copies")
-    plan = plan.withColumnRenamed("copies", "_m_copies")
-    same = [sized[k].eqNullSafe(plan[f"_m_{k}"]) for k in keys]
-    taken = sized.join(plan, [*same, sized["_m_size"] == plan["_m_of"]])
+    plan = stored(plan.select(*keys, F.col("size").alias("_m_size"), "copies"), "plan")
+    # A source's documents are taken a whole number of times or once more; which, is told without moving the texts.
+    low = plan.groupBy(F.col("source").alias("_m_source")).agg(F.min("copies").alias("_m_low"))
+    low = stored(low, "low")
+    named = plan.join(low, plan["source"].eqNullSafe(low["_m_source"]))
+    more = named.select(*keys, "_m_size", (F.col("copies") > F.col("_m_low")).alias("_m_more"))
+    taken = with_membership(sized, more, [*keys, "_m_size"], "_m_more")
+    taken = taken.join(low, taken["source"].eqNullSafe(low["_m_source"]))
+    taken = taken.withColumn("_m_copies", F.col("_m_low") + F.col("_m_more").cast("int")).where("_m_copies > 0")
     return taken.withColumn("_m_copy", F.explode(F.sequence(F.lit(1), F.col("_m_copies")))).select(df.columns)

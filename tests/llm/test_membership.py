@@ -1,0 +1,39 @@
+"""Rows told by bitmaps against sets, also where the bitmaps are too small for the keys."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from skyledger.llm import jaccard, membership, mixing
+
+
+@pytest.mark.parametrize("parts, n", [(1024, 3000), (1, 40000), (1, 300), (2, 0)])
+def test_members(spark, parts, n):
+    rng = random.Random(n)
+    keys = [(rng.choice([None, i]), rng.choice([None, "", "a", "b"]), rng.random() < 0.4) for i in range(n)]
+    wanted = {(i, s) for i, s, inside in keys if inside}
+    schema = "i bigint, s string, inside boolean"
+    rows = spark.createDataFrame([(i, s, "text") for i, s, _ in keys for _ in range(2)], "i bigint, s string, text string")
+    got = membership.with_membership(rows, spark.createDataFrame(keys, schema), ["i", "s"], "inside", parts)
+    assert got.columns == ["i", "s", "text", "inside"]
+    key = lambda r: (r[0] is None, r[0] or 0, r[1] is None, r[1] or "", r[-1])
+    want = [(i, s, "text", (i, s) in wanted) for i, s, _ in keys for _ in range(2)]
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(want, key=key)
+
+
+@pytest.mark.parametrize("drop", [jaccard.keep_one, mixing.mix])
+def test_texts_meet_no_keys_in_a_shuffle(spark, drop):
+    """Where keys are too many for a broadcast, texts meet bitmaps, whose size is bounded, and no table of keys."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
+    try:
+        words = F.concat(F.lit("some words that are said about "), F.floor(F.col("id") / 4).cast("string"))
+        source = F.concat(F.lit("s"), (F.col("id") % 3).cast("string"))
+        out = drop(spark.range(400).select(F.col("id").alias("doc_id"), source.alias("source"), words.alias("text")))
+        plan = out._jdf.queryExecution().sparkPlan().toString()
+        assert "BroadcastHashJoin [cast(pmod(shiftrightunsigned(" in plan
+        assert not [x for x in plan.splitlines() if "SortMergeJoin" in x and "doc_id" in x]
+        assert out.count() > 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
