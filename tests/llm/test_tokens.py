@@ -49,6 +49,14 @@ def test_parity_and_decoding_on_random_text(library):
     assert [pieces.load(PATH).decode(x) for x in ids] == library.decode(ids)
 
 
+def test_texts_are_made_normal_outside_the_tokenizer(library):
+    """The library's normaliser keeps the place of each character, which costs more than the replacing."""
+    own, tokenizer = pieces.load(PATH), pieces.build(PATH)
+    assert tokenizer.normalizer is None and own.normal("") == "" and own.normal(" a  b") == "▁▁a▁▁b"
+    for t in ["", " ", "a", " a  b ", "▁a\n b", "\x00 é"]:
+        assert tokenizer.encode(own.normal(t), add_special_tokens=False).ids == library.encode(t)
+
+
 def test_encode_decode_frames(spark, docs, library):
     out = pieces.encode(docs, PATH, verify=F.lit(True))
     rows = {r.doc_id: r for r in out.collect()}
