@@ -15,6 +15,7 @@ then all pairs across the components that are left.
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections.abc import Iterator
 
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import byte_slices, mix, stored
+from skyledger.llm.common import SLICE_BYTES, byte_slices, mix, stored
 from skyledger.llm.graph import components
 from skyledger.llm.membership import with_membership
 
@@ -31,6 +32,8 @@ SHINGLE = 5
 #: Similarity at least PART / WHOLE.
 PART, WHOLE = 80, 100
 GROUPS, LEAF = 128, 32
+#: Pairs of points, and of boxes, that are compared at once.
+COMPARED, BOXES = 4096, 1024
 #: Counters of the rarity table: 2 ** COUNTER_BITS, in CHUNKS parts.
 COUNTER_BITS, CHUNKS = 21, 64
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -45,6 +48,12 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return up, down
 
 
+@functools.cache
+def _slice_powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers for any slice but a single longer text, made once per process."""
+    return _powers(SLICE_BYTES)
+
+
 def word_hashes(data: np.ndarray, bounds: np.ndarray, powers) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hash of each word of the texts, A-Z lowered, and the bounds of the texts among the words."""
     space = _SPACE[data]
@@ -63,11 +72,8 @@ def shingle_sets(column: pa.Array, width: int = SHINGLE) -> Iterator[tuple[int,
 
     A text with fewer words than `width` has one shingle of all of them; a text without words has none.
     """
-    powers = _powers(1 << 21)
     for low, data, bounds in byte_slices(column):
-        if len(data) >= len(powers[0]):
-            powers = _powers(len(data))
-        words, at = word_hashes(data, bounds, powers)
+        words, at = word_hashes(data, bounds, _slice_powers() if len(data) <= SLICE_BYTES else _powers(len(data)))
         rows = len(bounds) - 1
         counts = np.diff(at)
         joined = np.zeros(max(0, len(words) - width + 1), np.uint64)
@@ -123,7 +129,7 @@ def points(hashes: np.ndarray, bounds: np.ndarray) -> list[bytes]:
 
 def folded(point: bytes, n: int) -> np.ndarray:
     """The counts of a point in `n` groups, which divide its own."""
-    return np.frombuffer(point, np.uint8).reshape(-1, n).sum(0, dtype=np.int64)
+    return np.frombuffer(point, np.uint8).reshape(-1, n).sum(0, dtype=np.int32)
 
 
 def profile(docs: DataFrame) -> DataFrame:
@@ -278,7 +284,7 @@ def finer(held: list[bytes], x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray,
         for k in range(0, len(rows), step):
             part = rows[k : k + step]
             own, at = np.unique(np.concatenate([x[part], y[part]]), return_inverse=True)
-            points = np.stack([folded(held[i], n) for i in own]).astype(np.int32)
+            points = np.stack([folded(held[i], n) for i in own])
             p, q = at[: len(part)], at[len(part) :]
             most[part] = np.minimum(points[p], points[q]).sum(-1)
             total[part] = points.sum(-1)[p] + points.sum(-1)[q]
@@ -335,28 +341,38 @@ class Tree:
         # |A & B| >= PART / (PART + WHOLE) * (|A| + |B|), and no set is smaller than the smallest of its box.
         return (PART + WHOLE) * most >= PART * (small[a] + small[b])
 
+    def points_may_link(self, c: np.ndarray, d: np.ndarray) -> np.ndarray:
+        """`may_link` of points by place; few are copied at once, so memory does not follow the number of pairs."""
+        linked = np.zeros(len(c), bool)
+        for k in range(0, len(c), COMPARED):
+            part = slice(k, k + COMPARED)
+            linked[part] = may_link(self.points[c[part]], self.points[d[part]])
+        return linked
+
     def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Positions of points of the input that may link, each pair once, in pieces."""
         stack = [(len(self.levels) - 1, np.array([0]), np.array([0]))]
         while stack:
-            level, a, b = stack.pop()
-            for k in range(0, len(a), 1024):
-                x, y = a[k : k + 1024], b[k : k + 1024]
-                passed = self.boxes_may_link(level, x, y)
-                x, y = x[passed], y[passed]
-                size = len(self.levels[level - 1][1]) if level else len(self.points)
-                for i in range(0, len(x), 64):
-                    # The children of each pair of boxes, ordered so that a pair is met once.
-                    c = (x[i : i + 64, None, None] * LEAF + np.arange(LEAF)[None, :, None]) + np.zeros((1, 1, LEAF), int)
-                    d = (y[i : i + 64, None, None] * LEAF + np.arange(LEAF)[None, None, :]) + np.zeros((1, LEAF, 1), int)
-                    c, d = c.ravel(), d.ravel()
-                    inside = (c < size) & (d < size) & ((c <= d) if level else (c < d))
-                    c, d = c[inside], d[inside]
-                    if level:
-                        stack.append((level - 1, c, d))
-                        continue
-                    linked = may_link(self.points[c], self.points[d])
-                    yield self.order[c[linked]], self.order[d[linked]]
+            level, x, y = stack.pop()
+            if len(x) > BOXES:
+                # The rest waits until all below these pairs is done, so that few pairs wait at a time.
+                stack.append((level, x[BOXES:], y[BOXES:]))
+                x, y = x[:BOXES], y[:BOXES]
+            passed = self.boxes_may_link(level, x, y)
+            x, y = x[passed], y[passed]
+            size = len(self.levels[level - 1][1]) if level else len(self.points)
+            for i in range(0, len(x), 64):
+                # The children of each pair of boxes, ordered so that a pair is met once.
+                c = (x[i : i + 64, None, None] * LEAF + np.arange(LEAF)[None, :, None]) + np.zeros((1, 1, LEAF), int)
+                d = (y[i : i + 64, None, None] * LEAF + np.arange(LEAF)[None, None, :]) + np.zeros((1, LEAF, 1), int)
+                c, d = c.ravel(), d.ravel()
+                inside = (c < size) & (d < size) & ((c <= d) if level else (c < d))
+                c, d = c[inside], d[inside]
+                if level:
+                    stack.append((level - 1, c, d))
+                    continue
+                linked = self.points_may_link(c, d)
+                yield self.order[c[linked]], self.order[d[linked]]
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -91,6 +92,29 @@ def test_tree_finds_all_pairs_that_may_link():
     assert list(jaccard.Tree(held[:1]).pairs()) == [] or all(len(x) == 0 for x, _ in jaccard.Tree(held[:1]).pairs())
 
 
+def test_large_groups_of_near_copies_are_compared_in_bounded_memory():
+    rng = np.random.default_rng(8)
+    held = (rng.poisson(2, jaccard.GROUPS) + rng.integers(0, 2, (1500, jaccard.GROUPS)) * (rng.random((1500, jaccard.GROUPS)) < 0.05)).astype(np.int32)
+    tree, pairs = jaccard.Tree(held), 0
+    tracemalloc.start()
+    for x, _ in tree.pairs():
+        pairs += len(x)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert pairs == 1500 * 1499 // 2 and peak < 24e6
+
+
+def test_powers_of_slices_are_made_once(monkeypatch):
+    made = []
+    powers = jaccard._powers
+    monkeypatch.setattr(jaccard, "_powers", lambda n: made.append(n) or powers(n))
+    jaccard._slice_powers.cache_clear()
+    long = " ".join(f"w{i}" for i in range(200_000))
+    for texts in (["a b c d e f"], ["b c", None], [long, "a b c d e f"]):
+        last = [found[bounds[i] : bounds[i + 1]].tolist() for _, found, bounds in jaccard.shingle_sets(pa.array(texts)) for i in range(len(bounds) - 1)]
+    assert made == [jaccard.SLICE_BYTES, len(long)] and len(last[0]) == 199_996 and len(last[1]) == 2
+
+
 def test_points_bound_the_overlap():
     rng = np.random.default_rng(7)
     for n in (0, 1, 5, 500, 6000):
