@@ -76,20 +76,26 @@ def with_key_in(
 
 
 def orphan_keys(
-    child: DataFrame, parent: DataFrame, child_cols: Sequence[str], parent_cols: Sequence[str] | None = None
+    child: DataFrame,
+    parent: DataFrame,
+    child_cols: Sequence[str],
+    parent_cols: Sequence[str] | None = None,
+    few: bool = True,
 ) -> DataFrame:
     """References of `child` that no row of `parent` has, with the number of child rows.
 
     The child is reduced to one row per reference before the anti-join, so neither a hot
-    reference nor wide rows are shuffled. A bitmap of these references leaves most other rows of
-    the parent out where they are read; what is left is compared exactly. A reference with a NULL
-    in it is not checked.
+    reference nor wide rows are shuffled. With `few` a bitmap of these references leaves most other
+    rows of the parent out where they are read; what is left is compared exactly. The references of
+    a whole large table would fill the bitmap, which then costs more than it leaves out. A reference
+    with a NULL in it is not checked.
     """
     parent_cols = list(parent_cols or child_cols)
     types = dict(child.dtypes)
     refs = child.dropna(subset=list(child_cols)).groupBy(*child_cols).agg(F.count(F.lit(1)).alias("rows"))
     known = parent.select(*[F.col(p).cast(types[c]).alias(c) for p, c in zip(parent_cols, child_cols)])
-    known = with_key_in(known, child_cols, key_bitmaps(refs, child_cols))
+    if few:
+        known = with_key_in(known, child_cols, key_bitmaps(refs, child_cols))
     return refs.join(known, list(child_cols), "left_anti")
 
 
@@ -100,10 +106,12 @@ def _listed(found: DataFrame, rule: Column | str, columns: Sequence[str], rows:
     return found.select(rule.alias("rule"), key.alias("key"), rows.cast("bigint").alias("rows"))
 
 
-def _row_and_reference_violations(table: Table, df: DataFrame, parents: Mapping[str, DataFrame]) -> list[DataFrame]:
+def _row_and_reference_violations(
+    table: Table, df: DataFrame, parents: Mapping[str, DataFrame], few: bool
+) -> list[DataFrame]:
     parts = [_listed(row_violations(df, table_rules(table)), F.col("rule"), table.key, F.lit(1))]
     for ref in table.references:
-        found = orphan_keys(df, parents[ref.parent], ref.columns, ref.parent_columns)
+        found = orphan_keys(df, parents[ref.parent], ref.columns, ref.parent_columns, few)
         parts.append(_listed(found, f"{'_'.join(ref.columns)}_in_{ref.parent}", ref.columns, F.col("rows")))
     return parts
 
@@ -119,7 +127,7 @@ def _collected(table: Table, parts: list[DataFrame]) -> DataFrame:
 def table_violations(table: Table, frames: Mapping[str, DataFrame]) -> DataFrame:
     """Every broken rule of one staging table: table, rule, key text, rows."""
     df = frames[table.name]
-    parts = _row_and_reference_violations(table, df, frames)
+    parts = _row_and_reference_violations(table, df, frames, few=False)
     return _collected(table, parts + [_unique_violations(df, columns) for columns in (table.key, *table.unique)])
 
 
@@ -139,7 +147,7 @@ def batch_violations(
     """
     keys = list(table.key)
     touched = after.dropna(subset=keys) if batch_keys is None else after.join(batch_keys.select(*keys), keys, "left_semi")
-    parts = _row_and_reference_violations(table, touched, parents)
+    parts = _row_and_reference_violations(table, touched, parents, few=batch_keys is not None)
     parts += [_listed(clashes[c], f"unique_{'_'.join(c)}", c, F.col("rows")) for c in table.unique]
     return _collected(table, parts)
 

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from driver_queries import QUERIES
 from skyledger.operators.calendar import add_roles, dim_date, dim_time
 from skyledger.operators.joins import lookup
-from skyledger.operators.quality import orphan_keys
+from skyledger.operators.quality import batch_violations, orphan_keys, table_violations
 from skyledger.plans import dimensions, facts
+from skyledger.schemas import TABLES
 
 TINY = "/root/testdata/sf0.001"
 
@@ -125,6 +126,17 @@ def test_parents_are_reduced_before_their_exchange(spark, tmp_path):
     assert "bitmap_construct_agg" in plan and "hashpartitioning" not in above
 
 
+def test_only_batches_send_bitmaps_of_their_references(stored):
+    """All references of a large table would fill a bitmap; those of a batch leave most of the parent out."""
+    stg, table = stored[0], TABLES["ticket_flights"]
+    batch = stg["ticket_flights"].select(*table.key).limit(3)
+    whole = planned(table_violations(table, stg))
+    first = planned(batch_violations(table, stg["ticket_flights"], None, stg, {}))
+    later = planned(batch_violations(table, stg["ticket_flights"], batch, stg, {}))
+    assert [x.count("LeftAnti") for x in (whole, first, later)] == [2, 2, 2]
+    assert ["bitmap_construct_agg" in x for x in (whole, first, later)] == [False, False, True]
+
+
 # Whole daily runs, whose last plan says little, and the one source that is written in Python.
 OTHERS = ("_cycle", "_stream", "_status", "_shipped", "_waves", "_profile", "_day", "_by_name", "dump_roundtrip")
 
