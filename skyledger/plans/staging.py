@@ -213,11 +213,14 @@ def rebucket(store: Store, table: Table, buckets: int) -> None:
     version.commit()
 
 
-def _index_after(store: Store, version: Version, table: Table, columns, before, after, batch, buckets, parts) -> DataFrame:
-    """Write the index of unique columns after a batch, as part of the version; returns the clashes."""
+def _index_after(store: Store, version: Version, table: Table, columns, before, after, batch, buckets, parts, path) -> DataFrame:
+    """Write the index of unique columns after a batch, as part of the version; returns the clashes.
+
+    The clashes are read from `path`, where the entries that change are kept.
+    """
     spark, name = store.spark, index_name(columns)
     changes = keyindex.changed_entries(before, after, batch, columns, table.key)
-    changes, n = _staged(spark, _in_bucket(changes, table.schema, columns, buckets), scratch_path(spark, "entries"))
+    changes, n = _staged(spark, _in_bucket(changes, table.schema, columns, buckets), path)
     schema = changes.drop(keyindex.COME).schema
     if not n:
         return spark.createDataFrame([], schema).select(*columns, F.lit(0).cast("bigint").alias("rows"))
@@ -273,12 +276,14 @@ def upsert_table(
     written = version.read_buckets(buckets, schema)
     # Of a first batch every row is in the table, and all rows of the table are the batch's.
     touched = None if first else batch
-    clashes = {c: _index_after(store, version, table, c, before, written, touched, buckets, parts) for c in table.unique}
+    entries = {c: scratch_path(store.spark, "entries") for c in table.unique}
+    clashes = {c: _index_after(store, version, table, c, before, written, touched, buckets, parts, at) for c, at in entries.items()}
     if rules:
         parents = {ref.parent: store.read(f"stg.{ref.parent}") for ref in table.references}
         enforce(batch_violations(table, written, touched, parents, clashes))
     version.commit()
-    drop_landing(store.spark, path)  # the batch is in the table now
+    for at in (path, *entries.values()):  # the batch is in the table now, its entries are in the indexes
+        drop_landing(store.spark, at)
     return n
 
 

@@ -2,25 +2,33 @@
 
 import dataclasses
 import datetime as dt
+import math
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from skyledger.functions import clock
 from skyledger.operators.calendar import dim_date, dim_date_over, dim_time
 from skyledger.operators.snapshot import snapshot_changes
 from skyledger.plans import dimensions, facts
 from skyledger.plans.staging import staging_frames
-from skyledger.sources.store import Store
+from skyledger.schemas import TABLES
+from skyledger.sources.store import Store, bucket_number
 
 
 @dataclasses.dataclass(frozen=True)
 class Target:
-    """A history table: its key, and the query for it. All other columns are compared."""
+    """A history table: its key, and the query for it. All other columns are compared.
+
+    `dealt_by` is a column of the key by which rows, and those of the staging tables that have it, can be dealt
+    into slices that never meet.
+    """
 
     key: tuple[str, ...]
     build: Callable[..., DataFrame]
+    dealt_by: str | None = None
 
 
 def _dimension(build):
@@ -49,15 +57,20 @@ TARGETS: Mapping[str, Target] = {
         lambda stg, dims, zone, versions, truncate, **_: facts.fct_boarding_pass(
             stg, dims, zone, versions, truncate
         ),
+        "ticket_no",
     ),
-    "fct_booking_ticket": Target(("book_nk", "ticket_no", "flight_nk"), facts.fct_booking_ticket),
+    "fct_booking_ticket": Target(("book_nk", "ticket_no", "flight_nk"), facts.fct_booking_ticket, "ticket_no"),
 }
 DIMENSIONS = tuple(name for name in TARGETS if name.startswith("dim_"))
-# Tables of a wave do not read each other; a wave reads the ones before it.
+# Tables of a wave do not read each other; a wave reads the ones before it. The two facts that shuffle most have
+# a wave each, so that the disk never holds the shuffles of both.
 WAVES = (
     ("dim_aircrafts", "dim_airport", "dim_passenger"),
-    ("dim_seat", "fct_seat_occupied_daily", "fct_flight_activity", "fct_boarding_pass", "fct_booking_ticket"),
+    ("dim_seat", "fct_seat_occupied_daily", "fct_flight_activity", "fct_boarding_pass"),
+    ("fct_booking_ticket",),
 )
+#: Most slices of a fact. Each reads the tables that are not dealt anew, so their number does not grow with the data.
+SLICES = 2
 
 
 def write_calendar(
@@ -74,11 +87,31 @@ def write_calendar(
         store.write("final.dim_time", dim_time(store.spark))
 
 
-def snapshot_table(store: Store, name: str, new: DataFrame, run_ts: dt.datetime) -> None:
-    """Extend the history final.<name> by what one run changes."""
-    table = f"final.{name}"
+def _slices(store: Store, column: str | None) -> list[Callable[[DataFrame], DataFrame]]:
+    """Filters that deal the rows of frames with `column` into slices; one that takes all if the staging tables are small."""
+    names = [f"stg.{t.name}" for t in TABLES.values() if column in t.schema.names]
+    count = min(SLICES, math.ceil(sum(store.live_bytes(n) for n in names if store.exists(n)) / store.bucket_bytes))
+    if count < 2:
+        return [lambda df: df]
+    part = lambda i: lambda df: df.where(bucket_number([F.col(column)], count) == i) if column in df.columns else df
+    return [part(i) for i in range(count)]
+
+
+def snapshot_table(
+    store: Store, name: str, stg: Mapping[str, DataFrame], dims: Mapping[str, DataFrame], options: Mapping, run_ts: dt.datetime
+) -> None:
+    """Extend the history final.<name> by what one run changes, slice by slice.
+
+    The shuffles of a slice go when it is written, so the disk holds those of one slice and not of the table.
+    """
+    table, target = f"final.{name}", TARGETS[name]
     current = store.read_open(table) if store.exists(table) else None
-    store.append_history(table, snapshot_changes(current, new, TARGETS[name].key, run_ts))
+
+    def changes(part: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        new = target.build({n: part(df) for n, df in stg.items()}, dims, **options)
+        return snapshot_changes(None if current is None else part(current), new, target.key, run_ts)
+
+    store.append_history(table, *map(changes, _slices(store, target.dealt_by)))
 
 
 def run_warehouse(
@@ -108,7 +141,7 @@ def run_warehouse(
         dims.update({d: read(f"final.{d}") for d in DIMENSIONS if store.exists(f"final.{d}")})
 
         def snapshot(name: str) -> None:
-            snapshot_table(store, name, TARGETS[name].build(stg, dims, **options), run_ts)
+            snapshot_table(store, name, stg, dims, options, run_ts)
 
         with ThreadPoolExecutor(max_workers=len(chosen)) as pool:
             list(pool.map(snapshot, chosen))

@@ -34,6 +34,8 @@ EMPTY = "_empty"
 BUCKET_BYTES, GROWTH = 128 << 20, 4
 #: Runs whose changes a reader of a history puts together; then a new base is written.
 COMPACT_AFTER = 30
+#: Parquet bytes that a file of changes is meant to have; those of a run are put together if they are CROWD times as many as needed.
+FILE_BYTES, CROWD = 16 << 20, 4
 _UNMARKED = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
 
 
@@ -229,34 +231,54 @@ class Store:
         out.close()
         return path
 
-    def _write_segments(self, table: str, rows: DataFrame, opened: str) -> None:
-        segment = F.when(F.col(VALID_TO).isNull(), opened).otherwise(CLOSED)
-        path = self._history_path(table, rows.schema)
-        rows.withColumn(SEGMENT, segment).write.mode("append").options(**_UNMARKED).partitionBy(SEGMENT).parquet(path)
+    def _write_segments(self, table: str, parts: Iterable[DataFrame], opened: str) -> None:
+        """Write the rows of `parts`, one part after the other, as one version."""
+        segment, path = F.when(F.col(VALID_TO).isNull(), opened).otherwise(CLOSED), None
+        for rows in parts:
+            path = path or self._history_path(table, rows.schema)
+            self._append_segments(rows.withColumn(SEGMENT, segment), path)
+        if opened == OPENED:
+            self._join_small_files(path, T.StructType([*rows.schema.fields, T.StructField(SEGMENT, T.StringType())]))
         Version(self, table, path).commit()
 
+    @staticmethod
+    def _append_segments(rows: DataFrame, path: str) -> None:
+        rows.write.mode("append").options(**_UNMARKED).partitionBy(SEGMENT).parquet(path)
+
+    def _join_small_files(self, path: str, schema: T.StructType) -> None:
+        """Put the files of a version that is not marked yet together, if there are far more than its bytes need."""
+        files = self._glob(f"{path}/{SEGMENT}=*/*.parquet")
+        wanted = max(1, math.ceil(self.folder_bytes(path) / FILE_BYTES))
+        if len(files) <= CROWD * wanted:
+            return
+        old = [f.toString() for f in files]
+        rows = self.spark.read.schema(schema).option("basePath", path).parquet(*old)
+        self._append_segments(rows.coalesce(wanted), path)
+        self._delete(old)
+
     def write_history(self, table: str, step: DataFrame) -> None:
         """Store the result of `snapshot_step`, all of whose open versions are a new base.
 
         Closed versions are written once and never again.
         """
-        self._write_segments(table, step, OPEN)
+        self._write_segments(table, [step], OPEN)
 
-    def append_history(self, table: str, changes: DataFrame) -> None:
+    def append_history(self, table: str, *changes: DataFrame) -> None:
         """Store the result of `snapshot_changes`: only versions that a run opened or closed.
 
+        Changes given in parts are computed and written one after the other, and count when all of them are.
         The first run of a table is its base. After COMPACT_AFTER runs a new base is written.
         """
         base, complete = self._base(table)
         first = not complete
-        # Few changes become few files, many are dealt evenly.
-        self._write_segments(table, changes if first else changes.hint("rebalance"), OPEN if first else OPENED)
+        # Few changes become few files, many stay where they were compared: a shuffle of them takes several times their files.
+        self._write_segments(table, changes, OPEN if first else OPENED)
         if sum(v > base for v in complete) + 1 >= self.compact_after and not first:
             self.compact_history(table)
 
     def compact_history(self, table: str) -> None:
         """Write all open versions as a new base, so that readers need no earlier changes."""
-        self._write_segments(table, self.read_open(table), OPEN)
+        self._write_segments(table, [self.read_open(table)], OPEN)
 
     def _segments(self, table: str, name: str) -> list[int]:
         found = self._glob(f"{self.path(table)}/{VERSION}=*/{SEGMENT}={name}")

@@ -1,6 +1,8 @@
 """Staging, streaming and warehouse runs over several days."""
 
 import datetime as dt
+import shutil
+from pathlib import Path
 
 import pytest
 from failures import JOB_FAILURE
@@ -10,15 +12,15 @@ from pyspark.sql import functions as F
 from skyledger.daily import run_day
 from skyledger.operators.quality import RuleBroken
 from skyledger.plans.staging import load_profile, load_table, load_waves, run_staging, run_status, staging_frames, upsert_table
-from skyledger.plans.warehouse import TARGETS, run_warehouse
+from skyledger.plans.warehouse import TARGETS, WAVES, _slices, run_warehouse
 from skyledger.schemas import LOAD_ORDER, TABLES
-from skyledger.session import scratch_path
+from skyledger.session import scratch_path, scratch_root
 from skyledger.sources.extract import parquet_source
 from skyledger.sources.landing import landing_path, to_landing, write_csv
 from skyledger.sources.store import Store
 from skyledger.streaming.landings import stream_daily_landings
 
-DAY1, DAY2 = dt.datetime(2024, 1, 15, 1), dt.datetime(2024, 1, 16, 1)
+DAY1, DAY2, DAY3 = (dt.datetime(2024, 1, day, 1) for day in (15, 16, 17))
 SPAN = (dt.date(2024, 1, 1), dt.date(2024, 1, 31))
 
 
@@ -88,6 +90,40 @@ def test_histories(spark, two_days):
         assert opened.groupBy(*target.key).count().where("count > 1").isEmpty(), name
 
 
+def test_facts_in_slices_are_the_same(spark, two_days, tmp_path):
+    """With buckets of a byte the staging tables count as large, so the facts of segments are made slice by slice."""
+    whole, facts = two_days[0], ("fct_boarding_pass", "fct_booking_ticket")
+    shutil.copytree(f"{whole.root}/stg", tmp_path / "stg")
+    store = Store(spark, str(tmp_path), bucket_bytes=1)
+    parts = [{r[0] for r in part(store.read("stg.tickets")).select("ticket_no").collect()} for part in _slices(store, "ticket_no")]
+    assert len(parts) == 2 and all(parts) and not parts[0] & parts[1]
+    assert parts[0] | parts[1] == {r["ticket_no"] for r in ROWS["tickets"]} and len(_slices(whole, "ticket_no")) == 1
+    names = ("dim_aircrafts", "dim_airport", "dim_passenger", *facts)
+    run_warehouse(store, DAY2, span=SPAN, names=names)
+    plain = lambda df: rows(df.drop("dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to"))
+    for name in facts:
+        assert plain(store.read_open(f"final.{name}")) == plain(whole.read_open(f"final.{name}")) != []
+    batch = store.read("stg.flights").where("flight_id = 3").select("flight_id", F.lit("Cancelled").alias("status"))
+    upsert_table(Store(spark, str(tmp_path)), TABLES["flights"], batch, DAY3)
+    run_warehouse(store, DAY3, span=SPAN, names=names)
+    passes = store.read_history("final.fct_boarding_pass")
+    got = {(r["status"], r["dbt_valid_to"]) for r in passes.where("flight_id = 3").collect()}
+    assert got == {("Arrived", DAY3), ("Cancelled", None)} and store.versions("final.fct_boarding_pass") == [1, 2]
+    assert plain(passes.where("flight_id <> 3")) == plain(whole.read_open("final.fct_boarding_pass").where("flight_id <> 3"))
+
+
+def test_large_facts_do_not_shuffle_at_once():
+    assert not any({"fct_boarding_pass", "fct_booking_ticket"} <= set(wave) for wave in WAVES)
+    assert sorted(name for wave in WAVES for name in wave) == sorted(TARGETS)
+
+
+def test_scratch_of_a_load_goes_with_it(spark, tmp_path):
+    left = lambda: {p for name in ("batch", "entries") for p in Path(scratch_root(spark)).glob(f"run-*/{name}")}
+    before, store = left(), Store(spark, str(tmp_path))
+    assert upsert_table(store, TABLES["flights"], frames(spark)["flights"], DAY1, rules=False)
+    assert left() == before and store.buckets("stg.flights", "flight_no-scheduled_departure")
+
+
 def test_passenger_repeated_by_natural_key_fails_its_snapshot(spark, two_days):
     store, *_ = two_days
     with pytest.raises(JOB_FAILURE, match="more than one row"):

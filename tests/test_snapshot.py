@@ -199,3 +199,34 @@ def test_a_history_without_rows(spark, tmp_path):
     assert [(r.w, r.dbt_valid_from, r.dbt_valid_to) for r in store.read_history("final.h").orderBy("dbt_valid_from").collect()] == [
         ("x", DAY[1], DAY[2]), ("y", DAY[2], None),
     ]
+
+
+def test_changes_in_parts_are_one_version(spark, tmp_path):
+    whole, parted = Store(spark, f"{tmp_path}/a"), Store(spark, f"{tmp_path}/b")
+    for run, values in enumerate(({1: "x", 2: "x", 3: None}, {1: "y", 2: "x", 4: "z"})):
+        df = keep(whole, spark, run, values)
+        known = parted.read_open("final.h") if run else None
+        part = lambda d, i: d if d is None else d.where(F.col("k") % 2 == i)
+        parted.append_history("final.h", *[snapshot_changes(part(known, i), part(df, i), ["k"], DAY[run]) for i in (0, 1)])
+    assert parted.versions("final.h") == [1, 2] and rows(parted.read_history("final.h")) == rows(whole.read_history("final.h"))
+
+
+def test_changes_are_written_where_they_were_compared(spark, tmp_path, monkeypatch):
+    """A shuffle of all changes before they are written took several times the disk of their files."""
+    store = Store(spark, str(tmp_path))
+    hints = []
+    monkeypatch.setattr(type(spark.range(1)), "hint", lambda df, *name: hints.append(name) or df)
+    keep(store, spark, 0, {k: "x" for k in range(50)})
+    keep(store, spark, 1, {k: "y" for k in range(50)})
+    assert not hints and store.read_history("final.h").count() == 100
+
+
+def test_small_files_of_changes_become_few(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    keep(store, spark, 0, {k: "x" for k in range(50)})
+    new = spark.createDataFrame([(k, "y") for k in range(50)], "k int, w string")
+    changes = snapshot_changes(store.read_open("final.h"), new, ["k"], DAY[1])
+    store.append_history("final.h", *[changes.where(F.col("k") % 5 == i) for i in range(5)])
+    assert len(list((tmp_path / "final/h/store_version=2").rglob("*.parquet"))) == 2
+    assert sorted((r.k, r.w) for r in store.read_open("final.h").collect()) == [(k, "y") for k in range(50)]
+    assert store.read_history("final.h").count() == 100
